@@ -21,8 +21,26 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False)
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack every document into sequences of 2048 tokens."""
+    import public_tokenizers
+
+    from inkwell.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of every document."""
+    from inkwell.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op4_packing": op4_packing,
+    "op10_minhash": op10_minhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
