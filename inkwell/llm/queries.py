@@ -21,6 +21,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False)
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License places and labels of every document."""
+    from inkwell.llm.licenses import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack every document into sequences of 2048 tokens."""
     import public_tokenizers
@@ -30,6 +37,20 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    from inkwell.llm.secrets import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from inkwell.llm.html import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of every document."""
     from inkwell.llm.minhash import near_duplicates
@@ -39,7 +60,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_licenses": op2_licenses,
     "op4_packing": op4_packing,
+    "op7_secrets": op7_secrets,
+    "op8_html": op8_html,
     "op10_minhash": op10_minhash,
 }
 
