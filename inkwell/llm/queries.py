@@ -28,6 +28,13 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors."""
+    from inkwell.llm.vectors import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack every document into sequences of 2048 tokens."""
     import public_tokenizers
@@ -61,6 +68,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_licenses": op2_licenses,
+    "op3_vectors": op3_vectors,
     "op4_packing": op4_packing,
     "op7_secrets": op7_secrets,
     "op8_html": op8_html,
