@@ -58,6 +58,13 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store every document as an image, read it back, compute features."""
+    from inkwell.llm.media import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of every document."""
     from inkwell.llm.minhash import near_duplicates
@@ -72,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op7_secrets": op7_secrets,
     "op8_html": op8_html,
+    "op9_media": op9_media,
     "op10_minhash": op10_minhash,
 }
 
