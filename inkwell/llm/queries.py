@@ -44,6 +44,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document by a hidden Markov model."""
+    from inkwell.llm.hmm import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
     from inkwell.llm.secrets import scan
@@ -77,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licenses": op2_licenses,
     "op3_vectors": op3_vectors,
     "op4_packing": op4_packing,
+    "op6_hmm": op6_hmm,
     "op7_secrets": op7_secrets,
     "op8_html": op8_html,
     "op9_media": op9_media,
