@@ -1,14 +1,56 @@
-"""A pipeline over documents: quality, near duplicates, secrets, packing."""
+"""A pipeline over documents: quality, near duplicates, secrets, packing.
+
+Each stage takes (spark, docs, sf_dir) and what its predecessor kept; all but the
+last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from inkwell.llm.minhash import near_duplicates
+from inkwell.llm.packing import pack
+from inkwell.llm.quality import filter_quality
+from inkwell.llm.secrets import redact
 from inkwell.session import stored
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps."""
+    return filter_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, the one with the smallest id; rows without id stay."""
+    found = stored(near_duplicates(docs, words=5, percent=80).where("doc_id IS NOT NULL"), "near-duplicates")
+    dropped = found.where("NOT kept").select("doc_id").distinct()
+    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    if found.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    return kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(kept.where("doc_id IS NULL"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in their texts masked and n_chars to match."""
+    masked = redact(docs)
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("near_duplicates", deduplicate),
+    ("secrets", secrets),
+    ("packing", packing),
+]
 
 #: The stages rest on models and tokenizers, which SQL can't express; tests hold them against brute force.
 ORACLE_SQL: str | None = None

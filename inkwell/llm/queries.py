@@ -44,6 +44,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and verdict of every document."""
+    from inkwell.llm.quality import perplexities
+
+    return perplexities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every document by a hidden Markov model."""
     from inkwell.llm.hmm import score
@@ -84,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licenses": op2_licenses,
     "op3_vectors": op3_vectors,
     "op4_packing": op4_packing,
+    "op5_quality": op5_quality,
     "op6_hmm": op6_hmm,
     "op7_secrets": op7_secrets,
     "op8_html": op8_html,
