@@ -4,13 +4,15 @@ Every text is read once: its set of word shingles gives a fingerprint, MinHash
 samples, band keys and an odd sketch, a bitmap that each (position, sample) flips
 one bit of. The number of bits in which two odd sketches differ tells how many
 samples differ, and does so best where texts are most alike. Copies with equal
-sets become one class. Classes that share a band key are candidates; candidates
-whose sketches are too far apart are dropped with a margin of five standard
-deviations, and the rest are confirmed on the full sets.
+sets become one class. Classes that share a band key and whose sketches differ in
+few enough bits, with a margin of five standard deviations, are candidates.
 
-No band's members are paired off: first all are held against the band's smallest
-id, and only those still in other components against each other, in blocks, each
-row's nearest partners first and in growing windows, until no window is cut short.
+Neither candidates nor links are listed pair by pair. A task holds two blocks of a
+band's classes and passes on a forest that joins all near ones; what these forests
+connect is a candidate group. Then a task holds two blocks of a group's full sets,
+counts all their intersections by products of membership columns, and passes on
+a forest of the confirmed links. Blocks are bounded, so a band or group of any
+size is dealt out over many tasks.
 
 Results on unusual rows: a text that is null, empty or without words has no
 shingles and is linked with nothing; with fewer words than a shingle has, all of
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.operators.graph import connected_components
@@ -35,7 +37,7 @@ from inkwell.session import stored
 
 #: MinHash samples of a document and bits of its odd sketch.
 SAMPLES, BITS = 120, 512
-#: Most rows of a band that are held against each other at once.
+#: Rows of a band or group in a block; a task holds two blocks.
 BLOCK = 256
 #: Most words whose hashes a worker remembers.
 CACHE = 500_000
@@ -163,59 +165,105 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def differing_bits(left: Column, right: Column) -> Column:
-    """Bits in which two sketches differ."""
-    return F.aggregate(F.zip_with(left, right, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, x: total + x)
+def forest(linked: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (id, smallest id reachable) of a symmetric boolean matrix, for ids that aren't the smallest."""
+    label = ids.copy()
+    most = np.iinfo(np.int64).max
+    while True:
+        least = np.minimum(label, np.where(linked, label[None, :], most).min(1))
+        if (least == label).all():
+            return ids[label != ids], label[label != ids]
+        label = least
+
+
+def common_counts(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets, by products of membership columns."""
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
+    several = count > 1
+    place = np.cumsum(several) - 1
+    kept = several[column]
+    rows, column = rows[kept], place[column[kept]]
+    order = np.argsort(column, kind="stable")
+    rows, column = rows[order], column[order]
+    total = np.zeros((len(sizes), len(sizes)), np.float32)
+    for first in range(0, int(several.sum()), 4096):
+        low, high = np.searchsorted(column, [first, first + 4096])
+        held = np.zeros((len(sizes), 4096), np.float32)
+        held[rows[low:high], column[low:high] - first] = 1
+        total += held @ held.T
+    return total
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Runs of rows with equal leading key columns, from batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [np.asarray(batch.column(k)) for k in range(keys)]
+        change = np.zeros(batch.num_rows, bool)
+        for column in columns:
+            change[1:] |= column[1:] != column[:-1]
+        starts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for first, last in zip(starts, starts[1:], strict=False):
+            now = tuple(column[first] for column in columns)
+            if held and now != key:
+                yield pa.Table.from_batches(held)
+                held = []
+            key = now
+            held.append(batch.slice(first, last - first))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def in_blocks(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of each key in blocks of about BLOCK, each pair of blocks together: columns key, block, other come first.
+
+    ``rows`` has id, and size, the number of rows of its key.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = rows.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    spread = own.select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("with"))
+    placed = spread.withColumn("block", F.least("own", "with")).withColumn("other", F.greatest("own", "with"))
+    order = [key, "block", "other"]
+    rest = [c for c in rows.columns if c not in (key, "size")]
+    return placed.select(*order, *rest).repartition(*order).sortWithinPartitions(*order)
 
 
-def block_pairs(members: DataFrame, percent: int, limit: int, low: int, high: int) -> DataFrame:
-    """Candidates a < b of different components within a band and block, each row's partners ranked low to high - 1.
+def sketch_forest(banded: DataFrame, percent: int, limit: int) -> DataFrame:
+    """Edges a, b that join all members of a band whose sketches are near enough."""
 
-    ``members``: key, block, other, id, component, n_shingles, sketch; a row is in
-    the blocks (block, other) of its band. Column ``more`` tells that a row has
-    partners beyond high.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in grouped(batches, 3):
+            if table.num_rows > 1:
+                ids, sizes = (np.asarray(table[c].combine_chunks()) for c in ("id", "n_shingles"))
+                bits = np.asarray(table["sketch"].combine_chunks().flatten()).reshape(len(ids), -1)
+                far = np.zeros((len(ids), len(ids)), np.int32)
+                for word in bits.T:
+                    far += np.bitwise_count(word[:, None] ^ word[None, :])
+                near = (far <= limit) & (100 * np.minimum.outer(sizes, sizes) >= percent * np.maximum.outer(sizes, sizes))
+                a, b = forest(near, ids)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    def pairs(group: list[tuple]) -> list[tuple]:
-        ids = np.array([r[3] for r in group])
-        home = np.array([r[4] for r in group])
-        sizes = np.array([r[5] for r in group])
-        bits = np.array([r[6] for r in group], np.int64)
-        far = np.bitwise_count(bits[:, None, :] ^ bits[None, :, :]).sum(-1, dtype=np.int32)
-        ok = (far <= limit) & (home[:, None] != home[None, :]) & (100 * np.minimum.outer(sizes, sizes) >= percent * np.maximum.outer(sizes, sizes))
-        out = []
-        # The ranks count all near partners, whatever their components now are: windows of later rounds follow on.
-        near = far <= limit
-        for at in np.flatnonzero(ok.any(1)):
-            partners = np.flatnonzero(near[at])
-            partners = partners[np.lexsort((ids[partners], far[at, partners]))]
-            window = partners[low:high]
-            more = bool(ok[at, partners[high:]].any())
-            taken = window[ok[at, window]]
-            out += [(int(min(ids[at], ids[x])), int(max(ids[at], ids[x])), more) for x in taken]
-            if more and not len(taken):
-                out.append((int(ids[at]), int(ids[at]), True))
-        return out
+    return in_blocks(banded, "key").mapInArrow(run, "a long, b long")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
 
-        def flush(group: list[tuple]) -> pa.RecordBatch:
-            found = pairs(group) if len(group) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in found], pa.int64()), pa.array([r[1] for r in found], pa.int64()), pa.array([r[2] for r in found], pa.bool_())], ["a", "b", "more"])
+def confirmed_forest(members: DataFrame, percent: int) -> DataFrame:
+    """Edges a, b that join what is linked on full sets within a candidate group."""
 
-        for batch in batches:
-            for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                if held and held[0][:3] != row[:3]:
-                    yield flush(held)
-                    held = []
-                held.append(row)
-        if held:
-            yield flush(held)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in grouped(batches, 3):
+            if table.num_rows > 1:
+                ids = np.asarray(table["id"].combine_chunks())
+                sets = table["shingles"].combine_chunks()
+                sizes = np.asarray(sets.value_lengths()).astype(np.int64)
+                common = common_counts(np.asarray(sets.flatten()), sizes).astype(np.int64)
+                a, b = forest(100 * common >= percent * (sizes[:, None] + sizes[None, :] - common), ids)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    order = ["key", "block", "other"]
-    ready = members.select(*order, "id", "component", "n_shingles", "sketch").repartition(*order).sortWithinPartitions(*order)
-    return ready.mapInArrow(run, "a long, b long, more boolean")
+    return in_blocks(members, "group").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -233,46 +281,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     heads = member.where("doc_id = class_id").select(F.col("doc_id").alias("id"), "n_shingles", "bands", "sketch")
 
     banded = heads.select("id", F.explode("bands").alias("key"))
-    crowded = banded.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("size")).where("size > 1")
-    shared = stored(banded.join(crowded, "key"), "shared-bands")  # key, id, first, size
-    sketches = heads.select("id", "n_shingles", "sketch")
-
-    def near(pairs: DataFrame) -> DataFrame:
-        left = sketches.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
-        right = sketches.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"))
-        both = pairs.join(left, "a").join(right, "b")
-        sized = both.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        return sized.where(differing_bits(F.col("sa"), F.col("sb")) <= limit).select("a", "b")
-
-    involved = shared.select(F.col("id").alias("doc_id")).distinct()
-    sets = stored(full_sets(source.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]), words), "sets")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-        right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-        both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
-        return both.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
-
-    star = shared.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    links = stored(confirmed(near(star)), "links")
-    low, high = 0, 8
-    while True:
-        parts = connected_components(links, "a", "b")
-        labelled = shared.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        mixed_keys = labelled.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("key")
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        open_rows = labelled.join(mixed_keys, "key").join(sketches, "id").withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-        spread = open_rows.select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("with"))
-        members = spread.withColumn("block", F.least("own", "with")).withColumn("other", F.greatest("own", "with"))
-        found = stored(block_pairs(members, percent, limit, low, high), "pairs")
-        new = found.where("a < b").select("a", "b").distinct()
-        more, some = found.agg(F.max("more"), F.count("*")).first()
-        if some:
-            links = stored(links.union(confirmed(new)), "links")
-        if not more:
-            break
-        low, high = high, 4 * high
-    parts = connected_components(links, "a", "b") if some else parts
+    crowded = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = banded.join(crowded, "key").join(heads.select("id", "n_shingles", "sketch"), "id")
+    candidates = stored(sketch_forest(shared, percent, limit).distinct(), "candidates")
+    groups = connected_components(candidates, "a", "b").select(F.col("node").alias("id"), F.col("component").alias("group"))
+    sized = stored(groups.join(groups.groupBy("group").agg(F.count("*").alias("size")), "group"), "groups")
+    sets = full_sets(source.join(sized.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]), words)
+    links = stored(confirmed_forest(sized.join(sets.drop("n"), "id"), percent), "links")
+    parts = connected_components(links, "a", "b")
     labels = parts.select(F.col("node").alias("class_id"), "component")
     joined = member.select("doc_id", "n_shingles", "class_id").join(labels, "class_id", "left")
     component = F.coalesce("component", "class_id", "doc_id")
