@@ -1,6 +1,6 @@
 """Plans of the registered queries; importing the modules registers them."""
 
-from inkwell.plans import text_queries  # noqa: F401
+from inkwell.plans import dedup_queries, line_queries, text_queries  # noqa: F401
 from inkwell.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
