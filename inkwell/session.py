@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -26,6 +27,17 @@ def local_session(cores: str = "8", name: str = "inkwell", **conf: str) -> Spark
     return session
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver has it.
+
+    On a cluster the package is installed or sent with --py-files.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
