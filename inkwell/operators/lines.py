@@ -105,8 +105,18 @@ def prose_score(line: Column, pack: NoisePack) -> Column:
     return F.least(total, F.lit(pack.most_prose))
 
 
+def scored(lines: DataFrame, pack: NoisePack) -> DataFrame:
+    """Adds prose, tier and signs, the single signs of noise.
+
+    Call it before lines are shuffled for their place or frequency: the patterns then run
+    once a line, where later filters can't copy them into their own expressions.
+    """
+    line = F.col("normal")
+    return lines.select("*", prose_score(line, pack).alias("prose"), noise_tier(line, pack).alias("tier"), hits(line, pack.weak_words, pack.weak).alias("signs"))
+
+
 def classify(lines: DataFrame, pack: NoisePack) -> DataFrame:
-    """Adds prose, noise_score and verdict (keep, weak or strong) to lines with position_score and frequency.
+    """Adds noise_score and verdict (keep, weak or strong) to scored lines with position_score and frequency.
 
     The rules are tried in order: headings and lines of one or two signs stay;
     repeated boilerplate goes; signs alone go unless prose protects them; tiers
@@ -122,8 +132,7 @@ def classify(lines: DataFrame, pack: NoisePack) -> DataFrame:
     frequency = frequency_score(F.coalesce("frequency", F.lit(0)))
     place = F.coalesce("position_score", F.lit(0))
     prose, tier = F.col("prose"), F.col("tier")
-    single = hits(line, pack.weak_words, pack.weak) > 0
-    soft = (single & (place >= 1) & (prose <= 3)) | (line.rlike(pack.soft_meta) & (prose <= 2))
+    soft = ((F.col("signs") > 0) & (place >= 1) & (prose <= 3)) | (line.rlike(pack.soft_meta) & (prose <= 2))
     weak = (tier == "weak") | soft
     early = (
         F.when(line.rlike(pack.heading), "keep")
@@ -139,9 +148,8 @@ def classify(lines: DataFrame, pack: NoisePack) -> DataFrame:
         .when((length < 50) & (alnum_share > 0.6) & (of_script < 5) & line.rlike(r"[A-Za-z0-9_.:/?&=%#@+\-]{8,}"), "strong")
     )
     late = F.when(weak & (place >= 2) & (frequency >= 1) & (prose <= 1), "strong").when(weak, "weak").otherwise("keep")
-    scored = lines.withColumn("prose", prose_score(line, pack)).withColumn("tier", noise_tier(line, pack))
     noise = F.when(tier == "weak", 2).when(soft, 1).otherwise(0)
-    return scored.withColumn("noise_score", F.when(noise > 0, noise + place + frequency).otherwise(0)).withColumn("verdict", F.coalesce(early, late))
+    return lines.withColumn("noise_score", F.when(noise > 0, noise + place + frequency).otherwise(0)).withColumn("verdict", F.coalesce(early, late))
 
 
 def cleaning_summary(classified: DataFrame) -> DataFrame:

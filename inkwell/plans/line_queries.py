@@ -45,7 +45,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _lines(spark, sf_dir)
     counts = L.frequencies(lines, L.LATIN).withColumnRenamed("n", "frequency")
-    placed = L.position_score(lines, L.LATIN).withColumn("key", L.frequency_key(F.col("normal")))
+    placed = L.position_score(L.scored(lines, L.LATIN), L.LATIN).withColumn("key", L.frequency_key(F.col("normal")))
     return L.classify(placed.join(counts, ["book", "key"], "left"), L.LATIN)
 
 
