@@ -70,6 +70,26 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.where("NOT held_out").select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def frequent_words(counts: DataFrame) -> tuple[list[bytes], np.ndarray]:
+    """The most frequent words and their counts, FREQUENT at most, most frequent first.
+
+    Sixteenths of powers of two are counted first, so that no task sends more words
+    to the driver than are kept.
+    """
+    step = F.floor(F.log2("c") * 16)
+    sizes = {row["step"]: row["count"] for row in counts.groupBy(step.alias("step")).count().collect()}  # a thousand rows at most
+    least, held = None, 0
+    for own in sorted(sizes, reverse=True):
+        held += sizes[own]
+        if held > FREQUENT:
+            break
+        least = own
+    if least is None:
+        return [], np.zeros(0, np.int64)
+    top = counts.where(step >= least).toPandas().sort_values(["c", "word"], ascending=[False, True], kind="stable")
+    return [bytes(w) for w in top["word"]], top["c"].to_numpy(np.int64)
+
+
 def encode(docs: DataFrame, frequent: list[bytes], counts: np.ndarray, symbols: int) -> DataFrame:
     """Symbols of every text, sums over its frequent words, and its other words.
 
@@ -264,9 +284,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("binary").alias("text"), held_out.alias("held_out"))
     counts = stored(count_words(source), "word-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).toPandas()
-    top = top.sort_values(["c", "word"], ascending=[False, True], kind="stable")
-    words, top_counts = [bytes(w) for w in top["word"]], top["c"].to_numpy(np.int64)
+    words, top_counts = frequent_words(counts)
     symbols = min(SYMBOLS, len(words))
     encoded = stored(encode(source, words, top_counts, symbols), "encoded")
 
