@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from inkwell.operators.graph import connected_components
 from inkwell.session import stored
 
-#: Most vectors that the codebooks are fitted on, and most whose links set the cutoff.
+#: Vectors that the codebooks are fitted on, about, and most whose links set the cutoff.
 FITTED, PROBES = 10_000, 1_000
 #: Vectors that a cell is to hold about, and most codewords of a half.
 CELL, CODEWORDS = 100, 2_048
@@ -186,7 +186,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     classes = stored(distinct.groupBy("node").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.first("embedding").alias("embedding")), "classes")
 
     count = classes.count()
-    sample = classes.orderBy(F.xxhash64("node"), "node").limit(FITTED).select("embedding").toArrow()
+    # Chosen by hash: about FITTED vectors in all, however many tasks there are.
+    chosen = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < math.ceil(min(1.0, FITTED / max(1, count)) * (1 << 30))
+    sample = classes.where(chosen).select("embedding").toArrow()
     size = max(1, min(CODEWORDS, math.ceil(math.sqrt(count / CELL))))
     books: Books = {}
     probes: dict[int, np.ndarray] = {}
