@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Most labelled pages that the weights are fitted on, and most features kept.
+#: Labelled pages that the weights are fitted on, about, and most features kept.
 LABELLED, FEATURES = 2_000, 2_000
 
 # Elements that open a block of their own.
@@ -182,8 +182,14 @@ def label_counts(source: str) -> Counter[tuple[str, bool]]:
 
 
 def fit_weights(pages: DataFrame) -> dict[str, float]:
-    """Weights from at most LABELLED pages that have an article element, by the hash of their html."""
-    labelled = pages.where(F.contains(F.lower("html"), F.lit("<article"))).select("html").orderBy(F.xxhash64("html"), "html").limit(LABELLED)
+    """Weights from about LABELLED pages that have an article element, chosen by hash.
+
+    The share to choose follows from their number, so no page leaves its task.
+    """
+    labelled = pages.where(F.contains(F.lower("html"), F.lit("<article")))
+    share = min(1.0, LABELLED / max(1, labelled.count()))
+    chosen = F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(1 << 30)) < math.ceil(share * (1 << 30))
+    labelled = labelled.where(chosen).select("html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[tuple[str, bool]] = Counter()
