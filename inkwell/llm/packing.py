@@ -17,6 +17,7 @@ is carried along; an empty table gives an empty result; other columns are ignore
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -29,17 +30,27 @@ from pyspark.sql import functions as F
 from inkwell.session import stored
 
 #: Most words whose ids a worker remembers.
-CACHE = 500_000
+CACHE = 900_000
 #: Pieces that a share of a length is to hold about.
 SHARE = 20_000
 
 #: White space as the tokenizers library sees it.
 _SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 _PYTHON_ONLY = re.compile("[\x1c-\x1f]")
+#: Letters beyond the Latin ones, and the one whose lower case is two signs.
+_UNLIKE = re.compile("[\u0130\u0250-\U0010ffff]")
+#: What keeps a text from the short way: such letters, a sign that a full stop or comma continues, Python's own white space.
+_UNSAFE = re.compile("[^0-9A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f][.,](?:[ \n]|\\Z)|[\u0130\x1c-\x1f\u0250-\U0010ffff]")
 
 
 class WordTokenizer:
-    """Ids of texts by a tokenizer that drops white space, remembered word by word."""
+    """Ids of texts by a tokenizer that lowers case and drops white space, remembered word by word.
+
+    In texts of Latin letters, full stops and commas behind a letter or digit count as words
+    of their own, which leaves the pretokens as they are and the words fewer. New words of
+    letters alone are tokenized together: each gives one token with a word end, by which
+    their ids are told apart. All other words are tokenized by themselves.
+    """
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -47,6 +58,14 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        data = json.loads(spec)
+        suffix = data["model"].get("end_of_word_suffix")
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        if suffix:
+            self.ends[[token for text, token in vocab.items() if text.endswith(suffix)]] = True
+        self.joins = bool(suffix)
+        self.marks = [item["content"][:2] for item in data["added_tokens"]]
         self.reset()
 
     def reset(self) -> None:
@@ -57,25 +76,43 @@ class WordTokenizer:
         self.ids = np.zeros(4096, np.uint32)
         self.used = 0
 
+    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        at = len(self.index)
+        while at + len(words) > len(self.start):
+            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.start[at : at + len(words)] = self.used + np.cumsum(sizes) - sizes
+        self.size[at : at + len(words)] = sizes
+        self.used += len(ids)
+        self.index.update(zip(words, range(at, at + len(words)), strict=True))
+
     def _add(self, words: list[str]) -> None:
-        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        for word, one in zip(words, encoded, strict=True):
-            ids, at = one.ids, len(self.index)
-            if at == len(self.start):
-                self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-                self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.start[at], self.size[at] = self.used, len(ids)
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.index[word] = at
+        plain = [w for w in words if w.isalpha() and not _UNLIKE.search(w)] if self.joins else []
+        if plain:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, np.int64)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(plain):
+                raise ValueError("a word gave more or less than one word end")
+            self._keep(plain, ids, np.diff(cuts, prepend=0))
+        other = [w for w in words if w not in self.index]
+        if other:
+            made = [one.ids for one in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
+            self._keep(other, np.array([t for ids in made for t in ids], np.int64), np.array(list(map(len, made)), np.int64))
+
+    def _words(self, text: str) -> list[str]:
+        if text and not _UNSAFE.search(text) and not any(mark in text for mark in self.marks):
+            text = text.lower().replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n").replace(",\n", " ,\n")
+            return (f"{text[:-1]} {text[-1]}" if text[-1] in ".," else text).split()
+        return [w for w in _SPACE.split(text) if w] if _PYTHON_ONLY.search(text) else text.split()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         if len(self.index) > CACHE or self.used > 16 * CACHE:
             self.reset()
-        split = [[w for w in _SPACE.split(x) if w] if _PYTHON_ONLY.search(x) else x.split() for x in texts]
+        split = list(map(self._words, texts))
         new: set[str] = set()
         for words in split:
             new.update(words)
@@ -111,8 +148,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared_tokenizer(spec.value)
         for whole in batches:
-            for first in range(0, whole.num_rows, 256):
-                batch = whole.slice(first, 256)
+            for first in range(0, whole.num_rows, 1024):
+                batch = whole.slice(first, 1024)
                 rows, pieces, starts, lengths, sums = [], [], [], [], []
                 for row, ids in enumerate(words.encode([x or "" for x in batch.column(1).to_pylist()])):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
