@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.session import stored
+
 
 def anchors(docs: DataFrame, id_col: str, text_col: str, size: int = 96, shortest: int = 18, stops: str = r"[。！？!?；;.\n\r]+", rejected: str = r"https?://|www\.") -> DataFrame:
     """The bottom-``size`` sketch: id, anchor, position of its first occurrence.
@@ -25,20 +27,44 @@ def anchors(docs: DataFrame, id_col: str, text_col: str, size: int = 96, shortes
     return first.withColumn("rank", rank).where(F.col("rank") <= size).drop("rank")
 
 
-def anchor_candidates(sketch: DataFrame, most: int = 64, least_shared: int = 4, most_pairs: int = 25_000_000) -> DataFrame:
-    """Pairs left < right that share enough anchors that 2 to ``most`` texts have: left, right, shared.
+def blocked_pairs(rows: DataFrame, key: str, block: int = 64) -> DataFrame:
+    """All pairs left < right of ids that share a key, however many do.
+
+    A key with more than about ``block`` rows is dealt out in blocks that meet two at a
+    time, so it is spread over many groups of the join. Rows are distinct (key, id).
+    """
+    held = rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key, F.ceil(F.col("n") / block).alias("blocks"))
+    own = rows.join(held, key).select(key, "id", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("own"))
+    placed = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(key, "id", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    a = placed.where("own = i").select(key, "i", "j", F.col("id").alias("a"))
+    b = placed.where("own = j").select(key, "i", "j", F.col("id").alias("b"))
+    met = a.join(b, [key, "i", "j"]).where("i < j OR a < b")
+    return met.select(key, F.least("a", "b").alias("left"), F.greatest("a", "b").alias("right"))
+
+
+def anchor_candidates(sketch: DataFrame, block: int = 64, least_shared: int = 4) -> DataFrame:
+    """Pairs left < right of texts that share enough anchors: left, right, shared.
 
-    The number of pairs is worked out from the frequencies first; more than
-    ``most_pairs`` is an error before any pair is made.
+    Equal sketches meet as one. Pairs are looked for under all but the most frequent
+    ``least_shared`` - 1 anchors of each side, in one order for all; those who share enough share
+    one of these. What they share is then counted over whole sketches.
     """
-    counted = sketch.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n").between(2, most))
-    planned = counted.agg(F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0))).first()[0]
-    if planned > most_pairs:
-        raise ValueError(f"{planned} anchor pairs are more than {most_pairs}")
-    usable = sketch.join(counted.select("anchor"), "anchor").select("anchor", "id")
-    left, right = usable.withColumnRenamed("id", "left"), usable.withColumnRenamed("id", "right")
-    pairs = left.join(right, "anchor").where(F.col("left") < F.col("right"))
-    return pairs.groupBy("left", "right").agg(F.count("*").alias("shared")).where(F.col("shared") >= least_shared)
+    lists = sketch.groupBy("id").agg(F.array_sort(F.collect_list("anchor")).alias("a")).where(F.size("a") >= least_shared)
+    lists = stored(lists.withColumn("same", F.sha2(F.concat_ws(",", "a"), 256)), "sketches")
+    member = lists.select("id", "same").join(lists.groupBy("same").agg(F.min("id").alias("head"), F.first(F.size("a")).alias("size")), "same").drop("same")
+    heads = lists.join(lists.groupBy("same").agg(F.min("id").alias("id")).select("id"), "id", "left_semi").select("id", "a")
+    posted = heads.select("id", F.size("a").alias("size"), F.explode("a").alias("anchor"))
+    counted = posted.join(posted.groupBy("anchor").agg(F.count("*").alias("n")), "anchor")
+    place = F.row_number().over(Window.partitionBy("id").orderBy("n", "anchor"))
+    rare = counted.withColumn("place", place).where(F.col("place") <= F.col("size") - (least_shared - 1)).select("anchor", "id")
+    met = stored(blocked_pairs(rare, "anchor", block).select("left", "right").distinct(), "met")
+    left, right = (heads.select(F.col("id").alias(side), F.col("a").alias(f"{side}_a")) for side in ("left", "right"))
+    shared = F.size(F.array_intersect("left_a", "right_a")).cast("long")
+    near = met.join(left, "left").join(right, "right").select("left", "right", shared.alias("shared")).where(F.col("shared") >= least_shared)
+    of_left, of_right = (member.select(F.col("head").alias(side), F.col("id").alias(f"{side}_id")) for side in ("left", "right"))
+    across = near.join(of_left, "left").join(of_right, "right").select(F.least("left_id", "right_id").alias("left"), F.greatest("left_id", "right_id").alias("right"), "shared")
+    within = blocked_pairs(member.select("head", "id"), "head", block).join(member.where("id = head").select("head", F.col("size").cast("long").alias("shared")), "head")
+    return across.union(within.select("left", "right", "shared"))
 
 
 def key_pairs(rows: DataFrame, key: str, id_col: str, most: int = 64) -> DataFrame:

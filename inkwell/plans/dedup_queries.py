@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from inkwell.operators import fingerprint as P
 from inkwell.operators.graph import connected_components
 from inkwell.plans.registry import query, table
+from inkwell.session import stored
 
 _SKETCH = r"""s AS (SELECT doc_id AS id, i AS position, regexp_replace(x, '\s+', '', 'g') AS sentence FROM
 (SELECT doc_id, unnest(regexp_split_to_array(text, '[。！？!?；;.\n\r]+')) AS x, generate_subscripts(regexp_split_to_array(text, '[。！？!?；;.\n\r]+'), 1) - 1 AS i FROM documents)),
@@ -35,19 +36,36 @@ def _sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.anchors(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-def _related(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _texts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Documents with the head (smallest id) of their equal texts, and the evidence of candidate heads."""
     docs = table(spark, sf_dir, "documents")
-    sketch = _sketch(spark, sf_dir)
-    lists = sketch.groupBy("id").agg(F.array_sort(F.collect_list("anchor")).alias("a"))
-    facts = docs.select(F.col("doc_id").alias("id"), "source", "n_chars", F.sha2("text", 256).alias("raw"), F.sha2(F.regexp_replace("text", r"(?U)\s+", ""), 256).alias("logical")).join(lists, "id")
-    left, right = (facts.select([F.col(c).alias(f"{side}_{c}" if c != "id" else side) for c in facts.columns]) for side in ("left", "right"))
+    facts = docs.select(F.col("doc_id").alias("id"), "source", "n_chars", F.sha2("text", 256).alias("raw"), F.sha2(F.regexp_replace("text", r"(?U)\s+", ""), 256).alias("logical"))
+    members = stored(facts.join(facts.groupBy("raw", "n_chars").agg(F.min("id").alias("head")), ["raw", "n_chars"]), "texts")
+    heads = members.where("id = head")
+    sketch = stored(P.anchors(docs.join(heads.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), "doc_id", "text"), "sketch")
+    lists = stored(heads.select("id", "n_chars", "raw", "logical").join(sketch.groupBy("id").agg(F.array_sort(F.collect_list("anchor")).alias("a")), "id"), "lists")
+    left, right = (lists.select([F.col(c).alias(f"{side}_{c}" if c != "id" else side) for c in lists.columns]) for side in ("left", "right"))
     both = P.anchor_candidates(sketch).drop("shared").join(left, "left").join(right, "right").withColumn("c", P.compared(F.col("left_a"), F.col("right_a")))
-    return both.select(
+    evidence = both.select(
         "left", "right", "c.*",
         (F.least("left_n_chars", "right_n_chars") / F.greatest("left_n_chars", "right_n_chars")).alias("length_ratio"), F.least("left_n_chars", "right_n_chars").alias("chars"),
-        (F.col("left_raw") == F.col("right_raw")).alias("same_raw"), (F.col("left_logical") == F.col("right_logical")).alias("same_text"),
-        (F.col("left_source") == F.col("right_source")).alias("same_title"), F.lit(1.0).alias("order"), F.lit(True).alias("consistent"),
-    ).select("left", "right", "shared", "jaccard", "containment", P.relation(P.Thresholds(least_chars=500)).alias("relation"))
+        (F.col("left_raw") == F.col("right_raw")).alias("same_raw"), (F.col("left_logical") == F.col("right_logical")).alias("same_text"), F.lit(1.0).alias("order"), F.lit(True).alias("consistent"),
+    )
+    return members.join(lists.select(F.col("id").alias("head"), F.size("a").cast("long").alias("anchors")), "head"), evidence
+
+
+def _relation(evidence: DataFrame) -> DataFrame:
+    return evidence.select("left", "right", "shared", "jaccard", "containment", P.relation(P.Thresholds(least_chars=500)).alias("relation"))
+
+
+def _related(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, evidence = _texts(spark, sf_dir)
+    left, right = (members.select(F.col("head").alias(side), F.col("id").alias(f"{side}_id"), F.col("source").alias(f"{side}_source")) for side in ("left", "right"))
+    across = evidence.join(left, "left").join(right, "right").withColumn("same_title", F.col("left_source") == F.col("right_source"))
+    across = _relation(across.withColumn("left", F.least("left_id", "right_id")).withColumn("right", F.greatest("left_id", "right_id")))
+    copies = members.where("anchors >= 4")
+    within = P.blocked_pairs(copies.select("head", "id"), "head").join(copies.where("id = head").select("head", F.col("anchors").alias("shared")), "head")
+    return across.union(within.select("left", "right", "shared", F.lit(1.0).alias("jaccard"), F.lit(1.0).alias("containment"), F.lit("byte_exact").alias("relation")))
 
 
 @query(f"WITH {_SKETCH} SELECT id, anchor, position FROM k")
@@ -73,8 +91,10 @@ both_ways AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge), reach AS (SELE
 SELECT node, min(other) AS component FROM reach GROUP BY 1""")
 def near_dup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GD5, GD6, SO3: works, as components of automatic relations."""
-    auto = _related(spark, sf_dir).where(F.col("relation").isin("byte_exact", "text_exact", "same_edition", "same_work_version"))
-    return connected_components(P.edges_of(auto, "left", "right"), "left", "right")
+    members, evidence = _texts(spark, sf_dir)
+    auto = _relation(evidence.withColumn("same_title", F.lit(False))).where(F.col("relation").isin("byte_exact", "text_exact", "same_edition", "same_work_version"))
+    copies = members.where("anchors >= 4 AND id <> head").select(F.col("head").alias("left"), F.col("id").alias("right"))
+    return connected_components(P.edges_of(auto.select("left", "right").union(copies), "left", "right"), "left", "right")
 
 
 @query("""WITH few AS (SELECT p_name FROM part GROUP BY 1 HAVING count(*) BETWEEN 2 AND 64)
