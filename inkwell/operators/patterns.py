@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.operators.fingerprint import blocked_pairs
+from inkwell.session import stored
+
 
 def shared_terms(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Jaccard of term sets for pairs that share a term: keys, left, right, jaccard.
@@ -122,19 +125,33 @@ def summed_usage(rows: DataFrame, group: str, mapping: str) -> DataFrame:
 
 
 def suppressed(rows: DataFrame, library: str, name: str, support_col: str, terms: str, limit: float = 0.88) -> DataFrame:
-    """Greedy suppression within each library, strongest first: adds cluster, the name that a row falls to."""
-    import pandas as pd
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values([support_col, name], ascending=[False, True], kind="stable")
-        accepted: list[tuple[str, set]] = []
-        out = []
-        for own, values in zip(frame[name], frame[terms], strict=True):
-            own_terms = set(values)
-            near = next((kept for kept, kept_terms in accepted if own_terms | kept_terms and len(own_terms & kept_terms) / len(own_terms | kept_terms) >= limit), None)
-            if near is None:
-                accepted.append((own, own_terms))
-            out.append(near or own)
-        return frame.assign(cluster=out)
-
-    return rows.groupBy(library).applyInPandas(run, rows.schema.simpleString()[7:-1].replace(":", " ", len(rows.columns)) + ", cluster string")
+    """Greedy suppression within each library, strongest first: adds cluster, the name that a row falls to.
+
+    Equal term sets fall together. The others meet on their rarest terms, so many that a
+    pair at the limit shares one of them. Each round accepts what no undecided stronger one
+    is near to and rejects what is near to an accepted one; names are unique in a library.
+    """
+    keyed = stored(rows.withColumn("__terms", F.array_sort(F.array_distinct(terms))).withColumn("__id", F.sha2(F.to_json(F.struct(library, "__terms")), 256)), "patterns")
+    order = F.struct((-F.col(support_col)).alias("strength"), F.col(name).alias("name"))
+    sets = stored(keyed.where(F.size("__terms") > 0).groupBy(F.col(library).alias("library"), F.col("__id").alias("id")).agg(F.min(order).alias("order"), F.first("__terms").alias("terms")), "sets")
+    posted = sets.select("id", "library", F.size("terms").alias("size"), F.explode("terms").alias("term")).select("id", "size", F.struct("library", "term").alias("token"))
+    counted = posted.join(posted.groupBy("token").agg(F.count("*").alias("n")), "token")
+    place = F.row_number().over(Window.partitionBy("id").orderBy("n", "token"))
+    rare = counted.withColumn("place", place).where(F.col("place") <= F.col("size") - F.ceil(limit * F.col("size") - 1e-9) + 1).select("token", "id")
+    met = stored(blocked_pairs(rare, "token").select("left", "right").distinct(), "met")
+    a, b = (sets.select(F.col("id").alias(side), F.col("order").alias(f"{side}_order"), F.col("terms").alias(f"{side}_terms")) for side in ("left", "right"))
+    common = F.size(F.array_intersect("left_terms", "right_terms"))
+    jaccard = common / (F.size("left_terms") + F.size("right_terms") - common)
+    swap = F.col("left_order") < F.col("right_order")
+    near = met.join(a, "left").join(b, "right").where(jaccard >= limit)
+    edges = stored(near.select(F.when(swap, F.col("left")).otherwise(F.col("right")).alias("strong"), F.when(swap, F.col("right")).otherwise(F.col("left")).alias("weak"), F.least("left_order", "right_order").alias("order")), "near")
+    undecided, rejected = edges.select("strong", "weak"), edges.select(F.col("weak").alias("id")).limit(0)
+    while not undecided.isEmpty():
+        accepted = undecided.join(undecided.select(F.col("weak").alias("strong")), "strong", "left_anti")
+        out = stored(accepted.select(F.col("weak").alias("id")).distinct(), "rejected")
+        rejected = rejected.union(out)
+        undecided = stored(undecided.join(out.withColumnRenamed("id", "strong"), "strong", "left_anti").join(out.withColumnRenamed("id", "weak"), "weak", "left_anti"), "undecided")
+    falls = edges.join(rejected.withColumnRenamed("id", "weak"), "weak", "left_semi").join(rejected.withColumnRenamed("id", "strong"), "strong", "left_anti")
+    falls = falls.groupBy("weak").agg(F.min("order").alias("to")).withColumnRenamed("weak", "id")
+    cluster = sets.join(falls, "id", "left").select(F.col("id").alias("__id"), F.coalesce("to.name", "order.name").alias("cluster"))
+    return keyed.join(cluster, "__id", "left").select(*rows.columns, F.coalesce("cluster", F.col(name)).alias("cluster"))

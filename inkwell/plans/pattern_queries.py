@@ -13,8 +13,10 @@ _T = f"t AS (SELECT doc_id AS id, lang, source, n_chars, {_TERMS} AS terms FROM
 _PAIR = f"""WITH {_T}, p AS (SELECT a.lang, a.id AS l, b.id AS r, count(*) / (min(a.n) + min(b.n) - count(*)) AS jaccard FROM x a JOIN x b ON a.lang = b.lang AND a.term = b.term AND a.id % 10 = 0 AND b.id % 10 <> 0 GROUP BY 1, 2, 3)"""
 
 
-def _instances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = F.array_sort(F.array_distinct(F.filter(F.split(F.lower(F.substring("text", 1, 300)), "[^a-z]+"), lambda x: F.length(x) >= 7)))
+def _instances(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """Terms of openings, as the SQL has them, or of whole texts."""
+    text = F.col("text") if whole else F.substring("text", 1, 300)
+    words = F.array_sort(F.array_distinct(F.filter(F.split(F.lower(text), "[^a-z]+"), lambda x: F.length(x) >= 7)))
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", "source", "n_chars", words.alias("terms"))
 
 
@@ -130,5 +132,5 @@ def merged_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def suppressed_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GD8, GD9, GD10, AG15: greedy suppression of near-duplicate patterns; tests hold it against a plain loop."""
-    rows = _instances(spark, sf_dir).select("lang", F.col("id").cast("string").alias("name"), F.col("n_chars").alias("support"), "terms")
+    rows = _instances(spark, sf_dir, whole=True).select("lang", F.col("id").cast("string").alias("name"), F.col("n_chars").alias("support"), "terms")
     return P.suppressed(rows, "lang", "name", "support", "terms", 0.5)
