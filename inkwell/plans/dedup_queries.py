@@ -82,7 +82,7 @@ def near_dup_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_RELATED} SELECT * FROM rel")
 def near_dup_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GD3, GD4, SO2: evidence and relation of candidates."""
+    """GD3, SO2: evidence and relation of candidates, with order taken as 1."""
     return _related(spark, sf_dir)
 
 
@@ -90,7 +90,7 @@ def near_dup_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
 both_ways AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge), reach AS (SELECT a AS node, a AS other FROM both_ways UNION SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON reach.other = both_ways.a)
 SELECT node, min(other) AS component FROM reach GROUP BY 1""")
 def near_dup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GD5, GD6, SO3: works, as components of automatic relations."""
+    """GD5, SO3: works, as components of automatic relations."""
     members, evidence = _texts(spark, sf_dir)
     auto = _relation(evidence.withColumn("same_title", F.lit(False))).where(F.col("relation").isin("byte_exact", "text_exact", "same_edition", "same_work_version"))
     copies = members.where("anchors >= 4 AND id <> head").select(F.col("head").alias("left"), F.col("id").alias("right"))
