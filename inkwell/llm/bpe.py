@@ -26,8 +26,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: Most pretokens and chunks that a worker remembers; the tables are then begun anew.
-CACHE = 400_000
+#: Most chunks that a worker remembers, and how many of the first of them, mostly frequent ones, outlive a full table.
+CACHE, KEPT = 900_000, 200_000
 
 #: White space other than single spaces and line feeds between words.
 UNUSUAL_SPACE = re.compile(r"[^\S\n ]|\s\s|\A\s|\s\Z")
@@ -85,8 +85,7 @@ class Encoder:
         data = json.loads(spec)
         vocab: dict[str, int] = data["model"]["vocab"]
         added = {item["content"]: item["id"] for item in data["added_tokens"]}
-        self.letters = byte_letters()
-        to_byte = {letter: byte for byte, letter in enumerate(self.letters)}
+        to_byte = {letter: byte for byte, letter in enumerate(byte_letters())}
         self.size = {token: len(text) for text, token in vocab.items()}
         # Ranks order the merges; single bytes come before all of them.
         self.rank = {token: -1 for token in vocab.values()}
@@ -99,9 +98,10 @@ class Encoder:
             if token not in self.parts:
                 self.rank[token], self.parts[token] = rank, (vocab[left], vocab[right])
         reachable = [text for text, token in vocab.items() if len(text) == 1 or token in self.parts]
+        # The automaton reads bytes as the letters of the same numbers.
         self.longest = ahocorasick.Automaton()
         for text in reachable:
-            self.longest.add_word(text, (len(text), vocab[text]))
+            self.longest.add_word(bytes(to_byte[x] for x in text).decode("latin-1"), vocab[text])
         self.longest.make_automaton()
         known = set(reachable)
         self.shorter: dict[int, int] = {}
@@ -109,7 +109,7 @@ class Encoder:
             cut = next((n for n in range(len(text) - 1, 0, -1) if text[:n] in known), 0)
             if cut:
                 self.shorter[vocab[text]] = vocab[text[:cut]]
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}  # by left << 32 | right
         # The offset table: bytes of token t are flat[start[t] : start[t] + length[t]].
         pieces: dict[int, bytes] = {token: bytes(to_byte[x] for x in text) for text, token in vocab.items()}
         pieces |= {token: text.encode() for text, token in added.items()}
@@ -124,7 +124,7 @@ class Encoder:
 
     def reset(self) -> None:
         """Forget what was cached."""
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, tuple[int, ...]] = {}  # pretokens that are no chunk of the spaced kind
         self.spaced: dict[str, int] = {}  # chunks that a space precedes, without it; or that begin with a line feed
         self.chunks: dict[str, int] = {}  # other chunks
         self.chunk_text: list[str] = []
@@ -133,6 +133,17 @@ class Encoder:
         self.chunk_ids = np.zeros(4096, np.int32)
         self.used = 0
 
+    def _shrink(self) -> None:
+        """Forget all chunks but the first KEPT, which are mostly frequent ones."""
+        self.words.clear()
+        self.spaced = {text: index for text, index in self.spaced.items() if index < KEPT}
+        self.chunks = {text: index for text, index in self.chunks.items() if index < KEPT}
+        del self.chunk_text[KEPT:]
+        last = len(self.chunk_text) - 1
+        self.used = int(self.chunk_start[last] + self.chunk_size[last]) if last >= 0 else 0
+        if self.used >= 8 * CACHE:
+            self.reset()
+
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging in rank order leaves these two tokens side by side.
 
@@ -140,10 +151,7 @@ class Encoder:
         touch form a pair whose merge comes earlier than the one undone, that
         merge would have happened first.
         """
-        key = (left, right)
-        known = self.fits.get(key)
-        if known is not None:
-            return known
+        key = left << 32 | right
         bound = 1 << 60
         answer = True
         while True:
@@ -158,36 +166,47 @@ class Encoder:
                 bound, right = self.rank[right] + 1, self.parts[right][0]
             else:
                 break
-        if len(self.fits) >= CACHE:
+        if len(self.fits) >= CACHE // 2:
             self.fits.clear()
         self.fits[key] = answer
         return answer
 
-    def encode_pretoken(self, text: str) -> tuple[int, ...]:
+    def encode_pretoken(self, text: str) -> list[int]:
         """Ids of one pretoken by the backtracking walk."""
-        letters = "".join(map(self.letters.__getitem__, text.encode()))
+        letters = text.encode().decode("latin-1")
         n = len(letters)
+        size, shorter, fits = self.size, self.shorter, self.fits
         best = [0] * n
-        for end, (length, token) in self.longest.iter(letters):
-            best[end - length + 1] = token  # later ends are longer
-        ids: list[int] = []
-        starts: list[int] = []
+        for end, token in self.longest.iter(letters):
+            best[end - size[token] + 1] = token  # later ends are longer
+        token = best[0]
+        if size[token] == n:
+            return [token]  # a whole token stands alone: nothing beside it to merge with
+        ids: list[int] = [token]
+        starts: list[int] = [0]
         dead = bytearray(n + 1)
-        at, token = 0, best[0]
-        size, shorter = self.size, self.shorter
-        while at < n:
+        at = size[token]
+        left, token = token, best[at]
+        while True:
             end = at + size[token]
-            if not dead[end] and (not ids or self.compatible(ids[-1], token)):
-                ids.append(token)
-                starts.append(at)
-                at = end
-                token = best[at] if at < n else 0
-            elif token in shorter:
+            if not dead[end]:
+                fit = True if left < 0 else fits.get(left << 32 | token)
+                if fit is None:
+                    fit = self.compatible(left, token)
+                if fit:
+                    ids.append(token)
+                    if end == n:
+                        return ids
+                    starts.append(at)
+                    at, left, token = end, token, best[end]
+                    continue
+            if token in shorter:
                 token = shorter[token]
             else:
                 dead[at] = 1
                 token, at = ids.pop(), starts.pop()
-        return tuple(ids)
+                left = ids[-1] if ids else -1
+                # The token taken back is tried in its shorter forms only: its end is dead.
 
     def _pretokens(self, text: str) -> list[str]:
         body = text[1:] if text[0] in " \n" else text
@@ -201,14 +220,30 @@ class Encoder:
 
     def _chunk(self, text: str, table: dict[str, int], key: str) -> int:
         """The index of a chunk, which begins at a line feed or with the space before a word."""
+        pretokens = self._pretokens(text)
+        if len(pretokens) == 1:
+            return self._keep(table, key, self.encode_pretoken(text))
         found: list[int] = []
-        for word in self._pretokens(text):
-            ids = self.words.get(word)
-            if ids is None:
-                ids = self.encode_pretoken(word)
-                if len(word) < 64:
-                    self.words[word] = ids
+        for word in pretokens:
+            if word[0] == " " and len(word) > 1:  # a chunk of its own
+                index = self.spaced.get(word[1:])
+                if index is None:
+                    ids = self.encode_pretoken(word)
+                    if len(word) < 64:
+                        self._keep(self.spaced, word[1:], ids)
+                else:
+                    start = self.chunk_start[index]
+                    ids = self.chunk_ids[start : start + self.chunk_size[index]].tolist()
+            else:
+                ids = self.words.get(word)
+                if ids is None:
+                    ids = self.encode_pretoken(word)
+                    if len(word) < 64:
+                        self.words[word] = tuple(ids)
             found += ids
+        return self._keep(table, key, found)
+
+    def _keep(self, table: dict[str, int], key: str, found: list[int]) -> int:
         index = len(self.chunk_text)
         table[key] = index
         self.chunk_text.append(",".join(map(str, found)))
@@ -224,8 +259,8 @@ class Encoder:
 
     def _plain(self, text: str) -> tuple[np.ndarray, list[str]]:
         """Ids of text without added tokens, as an array and as decimal strings."""
-        if len(self.chunk_text) >= CACHE or len(self.words) >= CACHE or self.used >= 16 * CACHE:
-            self.reset()
+        if len(self.chunk_text) >= CACHE or len(self.words) >= KEPT or self.used >= 16 * CACHE:
+            self._shrink()
         make, chunks = self._chunk, self.chunks
         if UNUSUAL_SPACE.search(text):
             index = []
