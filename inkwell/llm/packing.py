@@ -39,8 +39,21 @@ _SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u2
 _PYTHON_ONLY = re.compile("[\x1c-\x1f]")
 #: Letters beyond the Latin ones, and the one whose lower case is two signs.
 _UNLIKE = re.compile("[\u0130\u0250-\U0010ffff]")
-#: What keeps a text from the short way: such letters, a sign that a full stop or comma continues, Python's own white space.
-_UNSAFE = re.compile("[^0-9A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f][.,](?:[ \n]|\\Z)|[\u0130\x1c-\x1f\u0250-\U0010ffff]")
+#: What keeps a text from the short way: such letters, Python's own white space, and a sign that a full stop or comma continues.
+_UNSAFE = re.compile("[\u0130\x1c-\x1f\u0250-\U0010ffff]")
+_CONTINUED = re.compile("[.,](?<![0-9A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f][.,])(?:[ \n]|\\Z)")
+
+
+class Numbers(dict):
+    """Words by number; a new word takes the next number and is listed in ``new``."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
 
 
 class WordTokenizer:
@@ -70,40 +83,42 @@ class WordTokenizer:
 
     def reset(self) -> None:
         """Forget what was cached."""
-        self.index: dict[str, int] = {}
+        self.index = Numbers()
         self.start = np.zeros(1024, np.int64)
         self.size = np.zeros(1024, np.int64)
         self.ids = np.zeros(4096, np.uint32)
         self.used = 0
 
-    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        at = len(self.index)
-        while at + len(words) > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+    def _keep(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used : self.used + len(ids)] = ids
-        self.start[at : at + len(words)] = self.used + np.cumsum(sizes) - sizes
-        self.size[at : at + len(words)] = sizes
+        self.start[numbers] = self.used + np.cumsum(sizes) - sizes
+        self.size[numbers] = sizes
         self.used += len(ids)
-        self.index.update(zip(words, range(at, at + len(words)), strict=True))
 
-    def _add(self, words: list[str]) -> None:
-        plain = [w for w in words if w.isalpha() and not _UNLIKE.search(w)] if self.joins else []
-        if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, np.int64)
+    def _fill(self) -> None:
+        """Tokenize the words that are new."""
+        words, self.index.new = self.index.new, []
+        first = len(self.index) - len(words)
+        while len(self.index) > len(self.start):
+            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+        plain = np.array([self.joins and w.isalpha() and (w.isascii() or not _UNLIKE.search(w)) for w in words], bool)
+        together = [w for w, is_plain in zip(words, plain, strict=True) if is_plain]
+        if together:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(together)], add_special_tokens=False)[0].ids, np.int64)
             cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(plain):
+            if len(cuts) != len(together):
                 raise ValueError("a word gave more or less than one word end")
-            self._keep(plain, ids, np.diff(cuts, prepend=0))
-        other = [w for w in words if w not in self.index]
-        if other:
+            self._keep(first + np.flatnonzero(plain), ids, np.diff(cuts, prepend=0))
+        if len(together) < len(words):
+            other = [w for w, is_plain in zip(words, plain, strict=True) if not is_plain]
             made = [one.ids for one in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
-            self._keep(other, np.array([t for ids in made for t in ids], np.int64), np.array(list(map(len, made)), np.int64))
+            self._keep(first + np.flatnonzero(~plain), np.array([t for ids in made for t in ids], np.int64), np.array(list(map(len, made)), np.int64))
 
     def _words(self, text: str) -> list[str]:
-        if text and not _UNSAFE.search(text) and not any(mark in text for mark in self.marks):
+        if text and not (_UNSAFE.search(text) or _CONTINUED.search(text) or any(mark in text for mark in self.marks)):
             text = text.lower().replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n").replace(",\n", " ,\n")
             return (f"{text[:-1]} {text[-1]}" if text[-1] in ".," else text).split()
         return [w for w in _SPACE.split(text) if w] if _PYTHON_ONLY.search(text) else text.split()
@@ -112,19 +127,17 @@ class WordTokenizer:
         """Ids of each text."""
         if len(self.index) > CACHE or self.used > 16 * CACHE:
             self.reset()
-        split = list(map(self._words, texts))
-        new: set[str] = set()
-        for words in split:
-            new.update(words)
-        self._add([w for w in new if w not in self.index])
-        out = []
-        for words in split:
-            at = np.array(list(map(self.index.__getitem__, words)), np.int64)
-            sizes = self.size[at]
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(self.ids[np.repeat(self.start[at] - ends + sizes, sizes) + np.arange(total)])
-        return out
+        number = self.index.__getitem__
+        found = [np.fromiter(map(number, words), np.int64, len(words)) for words in map(self._words, texts)]
+        if self.index.new:
+            self._fill()
+        at = np.concatenate([np.zeros(0, np.int64), *found])
+        sizes = self.size[at]
+        ends = np.cumsum(sizes)
+        all_ids = self.ids[np.repeat(self.start[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        last = np.cumsum(np.array(list(map(len, found)), np.int64))
+        stops = np.concatenate([[0], ends])[last]
+        return np.split(all_ids, stops[:-1]) if texts else []
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -147,19 +160,20 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared_tokenizer(spec.value)
+        end = int(end_id).to_bytes(4, "little")
         for whole in batches:
             for first in range(0, whole.num_rows, 1024):
                 batch = whole.slice(first, 1024)
                 rows, pieces, starts, lengths, sums = [], [], [], [], []
                 for row, ids in enumerate(words.encode([x or "" for x in batch.column(1).to_pylist()])):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                    for piece, start in enumerate(range(0, len(ids), capacity)):
-                        part = ids[start : start + capacity]
+                    whole_ids = ids.astype("<u4").tobytes() + end
+                    total = len(ids) + 1
+                    for piece, start in enumerate(range(0, total, capacity)):
                         rows.append(row)
                         pieces.append(piece)
                         starts.append(start)
-                        lengths.append(len(part))
-                        sums.append(zlib.crc32(part.tobytes()))
+                        lengths.append(min(capacity, total - start))
+                        sums.append(zlib.crc32(whole_ids[4 * start : 4 * (start + capacity)]))
                 columns = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(pieces, pa.int32()), *(pa.array(x, pa.int64()) for x in (starts, lengths, sums))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
@@ -215,7 +229,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,
     # A length splits few of the groups of like sequences, so the plan's size follows the capacity, not the input.
     slots = spark.createDataFrame(plan(histogram, capacity), schema)
     shares = 64 + sum(histogram.values()) // SHARE
-    shared = pieces.withColumn("share", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(shares)))
+    shared = pieces.withColumn("share", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shares)))
     before = Window.partitionBy("length").orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
     shifts = shared.groupBy("length", "share").count().select("length", "share", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("shift"))
     within = Window.partitionBy("length", "share").orderBy("doc_id", "piece", "ids_crc32")
