@@ -12,18 +12,23 @@ def ordinals(rows: DataFrame, key: str, order: str) -> DataFrame:
     return rows.withColumn("index", F.row_number().over(by_order) - 1).withColumn("total", F.count("*").over(Window.partitionBy(key)))
 
 
-def window_starts(total: Column, size: int, step: int, least: int, pull_back: bool) -> Column:
-    """Starts of count-based windows.
+def window_starts(index: Column, total: Column, size: int, step: int, least: int, pull_back: bool) -> Column:
+    """The windows (start, window) that a row of this index falls into, by arithmetic: size / step + 1 at most.
 
-    With ``pull_back`` a tail shorter than ``size`` begins at total - size instead, and
-    keys with fewer than ``least`` rows have one window; without it a window opens at each
-    step until one reaches the end.
+    Windows begin at multiples of the step. With ``pull_back`` a tail shorter than
+    ``size`` begins at total - size, and keys with at most ``size`` or ``least`` rows have
+    one window; without it a window opens at each step until one reaches the end.
     """
-    last = F.greatest(total - size, F.lit(0))
-    regular = F.sequence(F.lit(0), F.when(total <= size, 0).otherwise(last), F.lit(step))
-    if pull_back:
-        return F.when(total <= F.greatest(F.lit(size), F.lit(least)), F.array(F.lit(0).cast("int"))).otherwise(F.array_distinct(F.concat(regular, F.array(last.cast("int")))))
-    return F.sequence(F.lit(0), F.when(total <= size, 0).otherwise(F.ceil((total - size) / step) * step).cast("int"), F.lit(step))
+    one = total <= (max(size, least) if pull_back else size)
+    last = F.when(one, 0).otherwise(total - size if pull_back else F.ceil((total - size) / step) * step).cast("int")
+    low = F.greatest(F.lit(0), F.ceil((index - size + 1) / step)).cast("int")
+    high = F.floor(F.least(index, last) / step).cast("int")
+    place = lambda start, window: F.struct(start.cast("int").alias("start"), window.cast("int").alias("window"))
+    regular = F.when(low <= high, F.transform(F.sequence(low, F.greatest(low, high)), lambda k: place(k * step, k + 1))).otherwise(F.array().cast("array<struct<start:int,window:int>>"))
+    if not pull_back:
+        return regular
+    tail = (last % step != 0) & (index >= last) & (index < last + size)
+    return F.when(tail, F.array_append(regular, place(last, F.floor(last / step) + 2))).otherwise(regular)
 
 
 def sliding_windows(rows: DataFrame, key: str, order: str, size: int = 20, overlap: int = 10, least: int = 8, pull_back: bool = True) -> DataFrame:
@@ -31,13 +36,35 @@ def sliding_windows(rows: DataFrame, key: str, order: str, size: int = 20, overl
 
     Rows find their windows by arithmetic on their index, so nothing is joined.
     """
-    step = size - overlap
-    placed = ordinals(rows, key, order).withColumn("index", F.col("index").cast("int")).withColumn("total", F.col("total").cast("int"))
-    starts = window_starts(F.col("total"), size, step, least, pull_back)
-    mine = F.filter(starts, lambda s: (s <= F.col("index")) & (F.col("index") < s + size))
-    shared = placed.select(key, order, F.explode(mine).alias("start"), starts.alias("starts"))
-    grouped = shared.groupBy(key, "start").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("rows"), F.array_sort(F.collect_list(order)).alias("orders"), F.first("starts").alias("starts"))
-    return grouped.withColumn("window", F.array_position("starts", F.col("start"))).drop("starts")
+    placed = ordinals(rows, key, order)
+    mine = window_starts(F.col("index").cast("int"), F.col("total").cast("int"), size, size - overlap, least, pull_back)
+    shared = placed.select(key, order, F.explode(mine).alias("w")).select(key, order, "w.start", "w.window")
+    return shared.groupBy(key, "start", "window").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("rows"), F.array_sort(F.collect_list(order)).alias("orders"))
+
+
+def tiled(windows: DataFrame, segments: DataFrame, keys: list[str]) -> DataFrame:
+    """Segments repaired so that they tile their windows: keys, first, last, gap.
+
+    ``windows``: keys, orders (sorted); ``segments``: keys, first, last. Segments shrink to
+    the orders that they hold. By start and end, one begins behind the largest end before it,
+    and is dropped where nothing is left; what no segment holds is a gap. A window without
+    segments is one gap.
+    """
+    within = lambda test: F.size(F.filter("orders", test))
+    low, high = within(lambda x: x < F.col("from")), within(lambda x: x <= F.col("to")) - 1
+    named = segments.select(*keys, F.col("first").alias("from"), F.col("last").alias("to"))
+    held = windows.join(named, keys).withColumn("low", low).withColumn("high", high).where("low <= high")
+    in_order = Window.partitionBy(*keys).orderBy("low", "high")
+    before = F.coalesce(F.max("high").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))
+    own = held.select(*keys, "orders", "low", "high", before.alias("before")).where("high > before")
+    # A mark at the end of each window closes it with a gap, if orders are left.
+    closing = windows.select(*keys, "orders", F.size("orders").alias("low"), F.size("orders").alias("high"))
+    done = own.groupBy(*keys).agg(F.max("high").alias("before"))
+    ends = closing.join(done, keys, "left").select(*keys, "orders", "low", "high", F.coalesce("before", F.lit(-1)).alias("before"))
+    at = lambda place: F.get("orders", place)
+    gaps = own.union(ends).where("low > before + 1").select(*keys, at(F.col("before") + 1).alias("first"), at(F.col("low") - 1).alias("last"), F.lit(True).alias("gap"))
+    kept = own.select(*keys, at(F.greatest("low", F.col("before") + 1)).alias("first"), at(F.col("high")).alias("last"), F.lit(False).alias("gap"))
+    return kept.union(gaps)
 
 
 def sessions(rows: DataFrame, key: str, order: str, opens: Column) -> DataFrame:

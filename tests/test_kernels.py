@@ -5,14 +5,35 @@ from pyspark.sql import functions as F
 
 
 def test_chunks_cover_and_overlap():
-    from inkwell.operators.kernels import pack_paragraphs
+    from inkwell.operators.kernels import text_chunks
 
-    parts = pack_paragraphs(["a" * 900, "b" * 500, "c" * 300, "d" * 1600], 1500, 200)
-    assert [p[0] for p in parts] == [1, 2, 3]
-    assert parts[0][3] == "a" * 900 + "\n" + "b" * 500
-    assert parts[1][3] == "b" * 500 + "\n" + "c" * 300 and parts[1][1] == parts[0][2] - 500
-    assert parts[2][3] == "c" * 300 + "\n" + "d" * 1600
-    assert pack_paragraphs([], 1500, 200) == []
+    parts = text_chunks("\n".join(["a" * 900, "b" * 500, "c" * 300, "d" * 1600]), 1500, 200)
+    assert [p["index"] for p in parts] == [1, 2, 3]
+    assert parts[0]["text"] == "a" * 900 + "\n" + "b" * 500
+    assert parts[1]["text"] == "b" * 500 + "\n" + "c" * 300 and parts[1]["start_char"] == parts[0]["end_char"] - 500
+    assert parts[2]["text"] == "c" * 300 + "\n" + "d" * 1600
+    assert text_chunks("", 1500, 200) == []
+
+
+def test_chunks_equal_a_definition():
+    import random
+
+    import numpy as np
+
+    from inkwell.operators.kernels import chunk_bounds
+
+    choose = random.Random(8)
+    for _ in range(300):
+        sizes = [choose.randint(1, 40) for _ in range(choose.randint(0, 25))]
+        size, overlap = choose.randint(10, 90), choose.choice([0, 5, 30])
+        for k, (first, stop) in enumerate(bounds := chunk_bounds(np.array(sizes, np.int64), size, overlap)):
+            least = bounds[k - 1][1] + 1 if k else first + 1
+            length = lambda n, first=first: sum(sizes[first:n]) + n - first - 1
+            ends = [n for n in range(least, len(sizes) + 1) if n == len(sizes) or length(n) + sizes[n] > size]
+            assert stop == ends[0]
+            if k + 1 < len(bounds):
+                back = [f for f in range(first, stop + 1) if sum(sizes[f:stop]) >= overlap]
+                assert bounds[k + 1][0] == max(back, default=first)
 
 
 def test_units_keep_all_text_within_bounds():
@@ -33,12 +54,28 @@ def test_segments():
     assert summary_segments("", 8) == []
 
 
-def test_tile():
-    from inkwell.operators.kernels import tile
+def test_units_by_hand():
+    import re
+
+    from inkwell.operators.kernels import unit_numbers, without_tiny
+
+    assert unit_numbers([5, 5, 5, 30, 4, 9, 2], [False] * 7, 10, 20) == [1, 1, 2, 3, 4, 4, 5]
+    assert unit_numbers([12, 3, 3], [True, False, True], 10, 20) == [1, 1, 2]
+    assert unit_numbers([15, 10], [True, False], 18, 20) == [1, 2]
+    assert without_tiny(["a", "b", "c" * 9, "d", "e" * 20], 3, 12) == ["a\n\nb", "c" * 9 + "\n\nd", "e" * 20]
+    assert without_tiny(["a", "c" * 12], 3, 12) == ["a", "c" * 12] and without_tiny([], 3, 12) == []
+    from inkwell.operators.kernels import narrative_units
+
+    assert narrative_units("One. Two! " + "x" * 12, 6, 10, 2, re.compile("^#")) == ["One.\n\nTwo!", "x" * 10, "xx"]
+
+
+def test_tile(spark):
+    from inkwell.operators.sequences import tiled
 
-    orders = list(range(1, 11))
-    assert tile(orders, [(3, 5), (4, 7), (5, 6), (20, 30)]) == [(1, 2, True), (3, 5, False), (6, 7, False), (8, 10, True)]
-    assert tile(orders, []) == [(1, 10, True)]
+    windows = spark.createDataFrame([("a", list(range(1, 11))), ("b", [1, 3, 5])], "w string, orders array<int>")
+    segments = spark.createDataFrame([("a", 3, 5), ("a", 4, 7), ("a", 5, 6), ("a", 20, 30)], "w string, first int, last int")
+    got = sorted(tuple(r) for r in tiled(windows, segments, ["w"]).collect())
+    assert got == [("a", 1, 2, True), ("a", 3, 5, False), ("a", 6, 7, False), ("a", 8, 10, True), ("b", 1, 5, True)]
 
 
 def test_order_and_titles(spark):
