@@ -2,11 +2,12 @@
 
 Texts become payloads, payloads 8-bit greyscale PNG images, 64 samples wide, one
 byte a sample. Executors write the images as members of tar archives in the shared
-folder. The data source ``media_archive`` plans byte ranges over the archives: a
-range owns the members whose headers begin in it, finds its first header by the
-members' fixed alignment and checksum, and streams them in Arrow batches. A
+folder; the last member of an archive lists the offsets of all others, under a
+checksum. The data source ``media_archive`` plans byte ranges over the archives: a
+range owns the members whose headers begin in it and streams them in Arrow batches. A
 member is found by its offset alone, so a read that fails is tried again for that
-member and not for the archive; a member that stays unreadable raises.
+member and not for the archive. A member, list or archive that stays unreadable,
+whatever is damaged, missing or cut off, raises: no row is lost silently.
 
 Results on unusual rows: a null or empty text has the payload of 64 zero bytes;
 equal texts have equal values; a null id and repeated ids are carried along, as the
@@ -23,6 +24,7 @@ import struct
 import tarfile
 import time
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +42,9 @@ WIDTH = 64
 RANGE, BATCH, TRIES = 32 << 20, 8 << 20, 4
 
 _HEAD = 512
+_LIST = ".offsets"
+#: Behind the offsets: how many there are, and the hash of them and their number.
+_TRAILER = struct.Struct("<Q32s")
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
 
 
@@ -115,6 +120,7 @@ def write_archives(docs: DataFrame, path: str) -> DataFrame:
         store.create_dir(folder, recursive=True)
         with store.open_output_stream(attempt) as raw:
             # A plain writer: tarfile asks for positions that output streams of stores may lack.
+            offsets, at = array("Q"), 0
             for batch in batches:
                 for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     payload = payload_of(text)
@@ -127,7 +133,12 @@ def write_archives(docs: DataFrame, path: str) -> DataFrame:
                     raw.write(image)
                     raw.write(bytes(-len(image) % _HEAD))
                     members += 1
-            raw.write(bytes(2 * _HEAD))
+                    offsets.append(at)
+                    at += 2 * _HEAD + (len(image) - 1) // _HEAD * _HEAD
+            listed = offset_list(np.frombuffer(offsets, np.uint64))
+            info = tarfile.TarInfo(_LIST)
+            info.size = len(listed)
+            raw.write(info.tobuf(tarfile.USTAR_FORMAT) + listed + bytes(2 * _HEAD))
         store.move(attempt, f"{folder}/{name}")
         size = store.get_file_info(f"{folder}/{name}").size
         yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([members], pa.int64()), pa.array([size], pa.int64())], ["archive", "members", "bytes"])
@@ -135,6 +146,13 @@ def write_archives(docs: DataFrame, path: str) -> DataFrame:
     return docs.mapInArrow(run, "archive string, members long, bytes long")
 
 
+def offset_list(offsets: np.ndarray) -> bytes:
+    """The offsets, zeros, and the trailer, in whole blocks."""
+    body = offsets.astype("<u8").tobytes()
+    trailer = _TRAILER.pack(len(offsets), hashlib.sha256(body + len(offsets).to_bytes(8, "little")).digest())
+    return body + bytes(-(len(body) + len(trailer)) % _HEAD) + trailer
+
+
 class ByteRange(InputPartition):
     """The members of an archive whose headers begin in [start, end)."""
 
@@ -160,6 +178,7 @@ class MediaReader(DataSourceReader):
     """Plans ranges on the driver; reads members on the executors."""
 
     def __init__(self, options):  # noqa: ANN001
+        self.options = dict(options)
         self.path = options["path"]
         self.range = int(options.get("rangeBytes", RANGE))
         self.tries = int(options.get("tries", TRIES))
@@ -168,85 +187,89 @@ class MediaReader(DataSourceReader):
         store, folder = _store(self.path)
         found = store.get_file_info(pyarrow.fs.FileSelector(folder, allow_not_found=True))
         archives = sorted((x.base_name, x.size) for x in found if x.is_file and x.base_name.endswith(".tar") and x.base_name[0] != "_")
+        for expected, seen in (("archives", len(archives)), ("bytes", sum(size for _, size in archives))):
+            if expected in self.options and int(self.options[expected]) != seen:
+                raise OSError(f"{self.path}: {expected} are {seen}, not {self.options[expected]}")
         return [ByteRange(name, start, min(start + self.range, size)) for name, size in archives for start in range(0, size, self.range)] or [ByteRange("", 0, 0)]
 
-    def _bytes(self, store, path: str, offset: int, size: int, check=None) -> bytes:  # noqa: ANN001
-        """Bytes at an offset, read anew from a newly opened file after a failure."""
+    def _tried(self, path: str, read):  # noqa: ANN001, ANN202
+        """What ``read`` gives for the newly opened file, tried again after a failure."""
+        store, inside = _store(path)
         for attempt in range(self.tries):
             try:
-                with store.open_input_file(path) as file:
-                    file.seek(offset)
-                    data = file.read(size)
-                if check is not None:
-                    check(data)
-                return data
-            except (OSError, ValueError, zlib.error) as error:
+                with store.open_input_file(inside) as file:
+                    return read(file)
+            except (OSError, ValueError, IndexError, zlib.error, struct.error, tarfile.TarError) as error:
                 if attempt + 1 == self.tries:
-                    raise OSError(f"{path} at {offset}: {error}") from error
+                    raise OSError(f"{path}: {type(error).__name__} {error}") from error
                 time.sleep(0.2 * 2**attempt)
         raise AssertionError
 
+    def offsets(self, path: str) -> np.ndarray:
+        """Where the members begin, and at the end where the list itself does."""
+
+        def read(file) -> np.ndarray:  # noqa: ANN001
+            end = file.size() - 2 * _HEAD
+            file.seek(end - _TRAILER.size)
+            count, digest = _TRAILER.unpack(file.read(_TRAILER.size))
+            size = -(-(8 * count + _TRAILER.size) // _HEAD) * _HEAD
+            if size + _HEAD > end:
+                raise ValueError("no list of offsets")
+            file.seek(end - size)
+            body = file.read(8 * count)
+            if hashlib.sha256(body + count.to_bytes(8, "little")).digest() != digest:
+                raise ValueError("the list of offsets is damaged")
+            return np.append(np.frombuffer(body, "<u8").astype(np.int64), end - size - _HEAD)
+
+        return self._tried(path, read)
+
+    @staticmethod
+    def member(block: bytes) -> tuple[int | None, int, bytes]:
+        """The id, unpadded size and image of one member's bytes, checked."""
+        info = tarfile.TarInfo.frombuf(block[:_HEAD], "utf-8", "strict")
+        image = block[_HEAD : _HEAD + info.size]
+        if _HEAD + -(-info.size // _HEAD) * _HEAD != len(block):
+            raise ValueError("a member of another size")
+        key, n_bytes = json.loads(info.linkname)
+        decode_image(image)
+        return key, n_bytes, image
+
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         if not partition.archive:
             return
-        store, folder = _store(self.path)
-        path = f"{folder}/{partition.archive}"
-        total = store.get_file_info(path).size
+        path = f"{self.path.rstrip('/')}/{partition.archive}"
+        bounds = self.offsets(path)
+        first, last = np.searchsorted(bounds[:-1], [partition.start, partition.end])
+        keys, sizes, offsets, images, held = [], [], [], [], 0
         window, window_at = b"", 0
+        for at, end in zip(bounds[first:last].tolist(), bounds[first + 1 : last + 1].tolist(), strict=True):
+            if at < window_at or end > window_at + len(window):
 
-        def view(offset: int, size: int) -> bytes:
-            nonlocal window, window_at
-            if offset < window_at or offset + size > window_at + len(window):
-                window = self._bytes(store, path, offset, min(max(size, 4 << 20), total - offset))
-                window_at = offset
-            return window[offset - window_at : offset - window_at + size]
-
-        def header(offset: int) -> tarfile.TarInfo | None:
-            block = view(offset, _HEAD)
-            if len(block) < _HEAD or block[257:262] != b"ustar":
-                return None
-            try:
-                return tarfile.TarInfo.frombuf(block, "utf-8", "strict")
-            except tarfile.HeaderError:
-                return None
-
-        # Compressed images can't pass for a header with a right checksum at an aligned place but by rare chance;
-        # the range before this one settles it: headers are also followed to the next one.
-        at = partition.start
-        while at < partition.end and not self._is_member(header, at, total):
-            at += _HEAD
-        keys, sizes, offsets, images, held = [], [], [], [], 0
-        while at < partition.end:
-            info = header(at)
-            if info is None:
-                break
-            image = view(at + _HEAD, info.size)
+                def stretch(file, at: int = at, size: int = max(end - at, 4 << 20)) -> bytes:  # noqa: ANN001
+                    file.seek(at)
+                    return file.read(size)
+
+                window, window_at = self._tried(path, stretch), at
             try:
-                decode_image(image)
-            except (ValueError, zlib.error, struct.error):
-                image = self._bytes(store, path, at + _HEAD, info.size, decode_image)
-            key, n_bytes = json.loads(info.linkname)
+                key, n_bytes, image = self.member(window[at - window_at : end - window_at])
+            except (ValueError, IndexError, zlib.error, struct.error, tarfile.TarError):
+
+                def alone(file, at: int = at, size: int = end - at) -> tuple:  # noqa: ANN001
+                    file.seek(at)
+                    return self.member(file.read(size))
+
+                key, n_bytes, image = self._tried(path, alone)
             keys.append(key)
             sizes.append(n_bytes)
             offsets.append(at)
             images.append(image)
             held += len(image)
-            at += _HEAD + -(-info.size // _HEAD) * _HEAD
             if held >= BATCH:
                 yield self._batch(partition.archive, keys, sizes, offsets, images)
                 keys, sizes, offsets, images, held = [], [], [], [], 0
         if keys:
             yield self._batch(partition.archive, keys, sizes, offsets, images)
 
-    @staticmethod
-    def _is_member(header, at: int, total: int) -> bool:  # noqa: ANN001
-        """A header here, and a header or the end of the archive behind its member."""
-        info = header(at)
-        if info is None:
-            return False
-        after = at + _HEAD + -(-info.size // _HEAD) * _HEAD
-        return after + 2 * _HEAD == total or header(after) is not None
-
     @staticmethod
     def _batch(archive: str, keys: list, sizes: list, offsets: list, images: list) -> pa.RecordBatch:
         count = len(keys)
@@ -276,20 +299,25 @@ def media_features(members: DataFrame) -> DataFrame:
     return members.select("doc_key", "n_bytes", "image").mapInArrow(run, schema)
 
 
-def store_media(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> int:
-    """Write the archives of all texts; how many members there are."""
+def store_media(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> dict[str, int]:
+    """Write the archives of all texts; how many archives, members and bytes there are."""
     source = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    return write_archives(source, path).agg(F.coalesce(F.sum("members"), F.lit(0))).first()[0]
+    total = lambda name: F.coalesce(F.sum(name), F.lit(0)).alias(name)
+    return write_archives(source, path).agg(F.count("*").alias("archives"), total("members"), total("bytes")).first().asDict()
 
 
-def read_media(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """The members of the archives in a folder."""
+def read_media(spark: SparkSession, path: str, **options: object) -> DataFrame:
+    """The members of the archives in a folder.
+
+    With the options ``archives`` and ``bytes``, as ``store_media`` gives them, a folder that
+    holds other archives raises.
+    """
     spark.dataSource.register(MediaArchive)
-    return spark.read.format("media_archive").options(**options).load(path)
+    return spark.read.format("media_archive").options(**{k: str(v) for k, v in options.items()}).load(path)
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Store every text as an image, read the stored bytes back and compute features: one row per document."""
     path = fresh_path(docs.sparkSession, "media")
-    store_media(docs, path, id_col, text_col)
-    return media_features(read_media(docs.sparkSession, path))
+    stored = store_media(docs, path, id_col, text_col)
+    return media_features(read_media(docs.sparkSession, path, archives=stored["archives"], bytes=stored["bytes"]))

@@ -283,10 +283,59 @@ def test_media(spark, docs, no_docs):
     assert got == want
     assert round_trip(no_docs).count() == 0
     path = fresh_path(spark, "media")
-    assert store_media(docs, path) == len(ROWS)
+    assert store_media(docs, path)["members"] == len(ROWS)
     assert read_media(spark, path, rangeBytes="1024").count() == len(ROWS)
 
 
+def test_media_features_by_definition(docs):
+    from inkwell.llm.media import decode_image, encode_image, payload_of, round_trip
+
+    want = {}
+    for _, text, _ in ROWS:
+        payload = payload_of(text)
+        image = encode_image(payload)
+        assert decode_image(image) == payload
+        shares = [n / len(payload) for n in Counter(payload).values()]
+        mean = sum(payload) / len(payload)
+        deviation = math.sqrt(sum((x - mean) ** 2 for x in payload) / len(payload))
+        step = sum(abs(a - b) for a, b in zip(payload, payload[1:], strict=False)) / (len(payload) - 1)
+        feature = f"h={len(payload) // 64};mean={mean:.4f};dev={deviation:.4f};bits={-sum(p * math.log2(p) for p in shares):.4f};step={step:.4f}"
+        want[hashlib.sha256(payload).hexdigest()] = (len(image), hashlib.sha256(image).hexdigest(), feature)
+    for r in round_trip(docs).collect():
+        assert (r.media_bytes, r.media_sha256, r.feature.replace("bits=-0.0", "bits=0.0")) == (*want[r.payload_sha256][:2], want[r.payload_sha256][2].replace("bits=-0.0", "bits=0.0"))
+
+
+def test_media_loses_nothing(tmp_path, docs):
+    """Whatever byte is damaged, and wherever the archive is cut off, all rows come or an error does."""
+    from inkwell.llm import media
+
+    media.store_media(docs.where("doc_id IS NULL OR doc_id < 9").coalesce(1), f"file://{tmp_path}")
+    archive = next(tmp_path.glob("*.tar"))
+    good = archive.read_bytes()
+
+    def rows(**options):
+        reader = media.MediaReader({"path": f"file://{tmp_path}", "tries": "1", **options})
+        return [r for part in reader.partitions() for b in reader.read(part) for r in zip(b.column(0).to_pylist(), b.column(4).to_pylist(), strict=True)]
+
+    want = rows()
+    assert len(want) == 11 and rows(rangeBytes="600") == want
+    choose = random.Random(6)
+    for at in [*range(0, 1600, 37), *(choose.randrange(len(good)) for _ in range(150)), *range(len(good) - 1100, len(good) - 1000, 9)]:
+        archive.write_bytes(good[:at] + bytes([good[at] ^ 0x41]) + good[at + 1 :])
+        for options in ({}, {"rangeBytes": "1024"}):
+            try:
+                assert rows(**options) == want
+            except OSError:
+                pass
+    for length in (0, 100, 512, 3000, len(good) - 1, len(good) - 1024):
+        archive.write_bytes(good[:length])
+        with pytest.raises(OSError):
+            rows(bytes=str(len(good)))
+    archive.unlink()
+    with pytest.raises(OSError):
+        rows(archives="1")
+
+
 def test_media_retries_a_member(tmp_path, spark, docs, monkeypatch):
     from inkwell.llm import media
 
