@@ -41,11 +41,14 @@ def importable(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Where the setting is absent (tests in one JVM) a temporary folder takes its
-    place and becomes the session's checkpoint folder.
+    Where the setting is absent and all runs in one JVM, as in tests, a temporary
+    folder takes its place and becomes the session's checkpoint folder. On a cluster
+    executors couldn't read that, so there it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="inkwell-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
