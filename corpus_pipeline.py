@@ -28,7 +28,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest id; rows without id stay."""
     found = stored(near_duplicates(docs, words=5, percent=80).where("doc_id IS NOT NULL"), "near-duplicates")
     dropped = found.where("NOT kept").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(dropped, "doc_id", "left_anti").select(*[f"`{name}`" for name in docs.columns])
     if found.groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept
     return kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(kept.where("doc_id IS NULL"))
