@@ -39,6 +39,8 @@ from inkwell.session import stored
 SAMPLES, BITS = 120, 512
 #: Rows of a band or group in a block; a task holds two blocks.
 BLOCK = 256
+#: A key with one row in so many is joined by broadcast.
+HOT = 1_000
 #: Most words whose hashes a worker remembers.
 CACHE = 500_000
 
@@ -266,6 +268,18 @@ def confirmed_forest(members: DataFrame, percent: int) -> DataFrame:
     return in_blocks(members, "group").mapInArrow(run, "a long, b long")
 
 
+def joined_by_class(rows: DataFrame, classes: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """``rows`` left-joined with one row for each key; ``classes`` has the column size, the number of rows with its key.
+
+    Keys that hold a thousandth of all rows or more, so 1,000 at most, are broadcast, and only the rows of
+    the others are shuffled.
+    """
+    many = F.col("size") * HOT >= total
+    hot = F.broadcast(classes.where(many).drop("size"))
+    rest = rows.join(hot.select(*keys), keys, "left_anti").join(classes.where(~many).drop("size"), keys, "left")
+    return rows.join(hot, keys).unionByName(rest)
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -276,8 +290,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     rows, limit = band_rows(percent / 100), most_differing_bits(percent / 100)
     signed = stored(signatures(source, words, rows), "signatures")
     print_cols = ["n_shingles", "f1", "f2"]
-    classes = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*print_cols).agg(F.min("doc_id").alias("class_id"))
-    member = stored(signed.join(classes, print_cols, "left").select("doc_id", "n_shingles", "class_id", "bands", "sketch"), "members")
+    some = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    classes = stored(some.groupBy(*print_cols).agg(F.min("doc_id").alias("class_id"), F.count("*").alias("size")), "classes")
+    total = signed.count()
+    classed = joined_by_class(some, classes, print_cols, total)
+    rest = signed.where("NOT (n_shingles > 0 AND doc_id IS NOT NULL) OR doc_id IS NULL").withColumn("class_id", F.lit(None).cast("long"))
+    member = stored(classed.unionByName(rest).select("doc_id", "n_shingles", "class_id", "bands", "sketch"), "members")
     heads = member.where("doc_id = class_id").select(F.col("doc_id").alias("id"), "n_shingles", "bands", "sketch")
 
     banded = heads.select("id", F.explode("bands").alias("key"))
@@ -289,8 +307,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     sets = full_sets(source.join(sized.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]), words)
     links = stored(confirmed_forest(sized.join(sets.drop("n"), "id"), percent), "links")
     parts = connected_components(links, "a", "b")
-    labels = parts.select(F.col("node").alias("class_id"), "component")
-    joined = member.select("doc_id", "n_shingles", "class_id").join(labels, "class_id", "left")
+    labels = parts.select(F.col("node").alias("class_id"), "component").join(classes.select("class_id", "size"), "class_id")
+    slim = member.select("doc_id", "n_shingles", "class_id")
+    joined = joined_by_class(slim, labels, ["class_id"], total)
     component = F.coalesce("component", "class_id", "doc_id")
     return joined.select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")
