@@ -43,6 +43,8 @@ RECALL = 0.9999
 MARGIN = 4.0
 #: Vectors and visitors in a block.
 BLOCK = 1_024
+#: Vectors whose distances to all codewords a worker holds at once.
+SLICE = 512
 #: Bins of excess when the cutoff is set.
 _BINS, _MOST = 4_000, 4.0
 
@@ -97,11 +99,14 @@ def traverse(first: np.ndarray, second: np.ndarray, cutoff: float) -> list[int]:
     return cells
 
 
-def by_length(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """The rows of each vector length."""
-    lengths = np.array(batch.column(name).value_lengths())
-    for length in np.unique(lengths):
-        yield int(length), batch.filter(pa.array(lengths == length))
+def by_length(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of each vector length, in slices of SLICE at most."""
+    for whole in batches:
+        for first in range(0, whole.num_rows, SLICE):
+            batch = whole.slice(first, SLICE)
+            lengths = np.array(batch.column(name).value_lengths())
+            for length in np.unique(lengths):
+                yield int(length), batch.filter(pa.array(lengths == length))
 
 
 def set_cutoff(classes: DataFrame, probes: dict[int, np.ndarray], books: Books, threshold: float) -> float:
@@ -110,17 +115,16 @@ def set_cutoff(classes: DataFrame, probes: dict[int, np.ndarray], books: Books,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(_BINS, np.int64)
         known = {length: excesses(rows, books[length]) for length, rows in probes.items()}
-        for whole in batches:
-            for length, batch in by_length(whole, "embedding"):
-                if length not in probes:
-                    continue
-                rows, (p1, p2) = units(batch.column("embedding")), known[length]
-                at, probe = np.nonzero(rows @ probes[length].T >= threshold)
-                e1, e2 = excesses(rows, books[length])
-                forth = e1[at, p1.argmin(1)[probe]] + e2[at, p2.argmin(1)[probe]]
-                back = p1[probe, e1.argmin(1)[at]] + p2[probe, e2.argmin(1)[at]]
-                bins = np.minimum(np.minimum(forth, back) / _MOST * _BINS, _BINS - 1).astype(int)
-                counts += np.bincount(bins, minlength=_BINS)
+        for length, batch in by_length(batches, "embedding"):
+            if length not in probes:
+                continue
+            rows, (p1, p2) = units(batch.column("embedding")), known[length]
+            at, probe = np.nonzero(rows @ probes[length].T >= threshold)
+            e1, e2 = excesses(rows, books[length])
+            forth = e1[at, p1.argmin(1)[probe]] + e2[at, p2.argmin(1)[probe]]
+            back = p1[probe, e1.argmin(1)[at]] + p2[probe, e2.argmin(1)[at]]
+            bins = np.minimum(np.minimum(forth, back) / _MOST * _BINS, _BINS - 1).astype(int)
+            counts += np.bincount(bins, minlength=_BINS)
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(counts[some], pa.int64())], ["bin", "links"])
 
@@ -181,34 +185,37 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     source = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vector_col].alias("embedding"))
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < math.inf)
     valid = F.col("vec_id").isNotNull() & F.coalesce(F.forall("embedding", finite) & F.exists("embedding", lambda x: x != 0), F.lit(False))
-    rows = stored(source.select("vec_id", F.when(valid, F.col("embedding")).alias("embedding")).withColumn("node", F.when(valid, F.xxhash64("embedding"))), "vectors")
-    distinct = rows.where("node IS NOT NULL").distinct()
-    classes = stored(distinct.groupBy("node").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.first("embedding").alias("embedding")), "classes")
+    kept = source.select("vec_id", F.when(valid, F.col("embedding")).alias("embedding"))
+    # Two hashes by different starts: equal pairs of unequal vectors are beyond any table's size.
+    rows = stored(kept.withColumn("h1", F.when(valid, F.xxhash64("embedding"))).withColumn("h2", F.when(valid, F.xxhash64(F.lit("second"), "embedding"))), "vectors")
+    distinct = rows.where("h1 IS NOT NULL").distinct()
+    classes = stored(distinct.groupBy("h1", "h2").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.first("embedding").alias("embedding")).withColumn("node", F.monotonically_increasing_id()), "classes")
 
     count = classes.count()
     # Chosen by hash: about FITTED vectors in all, however many tasks there are.
-    chosen = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < math.ceil(min(1.0, FITTED / max(1, count)) * (1 << 30))
+    chosen = F.pmod("h1", F.lit(1 << 30)) < math.ceil(min(1.0, FITTED / max(1, count)) * (1 << 30))
     sample = classes.where(chosen).select("embedding").toArrow()
     size = max(1, min(CODEWORDS, math.ceil(math.sqrt(count / CELL))))
     books: Books = {}
     probes: dict[int, np.ndarray] = {}
-    for batch in sample.combine_chunks().to_batches():
-        for length, part in by_length(batch, "embedding"):
-            all_rows = units(part.column("embedding"))
-            cut = length // 2
-            books[length] = (fit_book(all_rows[:, :cut], min(size, len(all_rows))), fit_book(all_rows[:, cut:], min(size, len(all_rows))))
-            probes[length] = all_rows[:PROBES]
+    rows_of: dict[int, list[np.ndarray]] = {}
+    for length, part in by_length(sample.to_batches(), "embedding"):
+        rows_of.setdefault(length, []).append(units(part.column("embedding")))
+    for length, parts_of in rows_of.items():
+        all_rows = np.concatenate(parts_of)
+        cut = length // 2
+        books[length] = (fit_book(all_rows[:, :cut], min(size, len(all_rows))), fit_book(all_rows[:, cut:], min(size, len(all_rows))))
+        probes[length] = all_rows[:PROBES]
     cutoff = set_cutoff(classes, probes, books, threshold) if books else 0.0
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for length, batch in by_length(whole, "embedding"):
-                home, visits = np.zeros(batch.num_rows, np.int64), [[0]] * batch.num_rows
-                if length in books:  # lengths that the sample missed are all in one cell
-                    e1, e2 = excesses(units(batch.column("embedding")), books[length])
-                    visits = [traverse(a, b, cutoff) for a, b in zip(e1, e2, strict=True)]
-                    home = e1.argmin(1) * e2.shape[1] + e2.argmin(1)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([length] * batch.num_rows, pa.int32()), pa.array(home, pa.int64()), pa.array(visits, pa.list_(pa.int64()))], [*batch.schema.names, "length", "home", "cells"])
+        for length, batch in by_length(batches, "embedding"):
+            home, visits = np.zeros(batch.num_rows, np.int64), [[0]] * batch.num_rows
+            if length in books:  # lengths that the sample missed are all in one cell
+                e1, e2 = excesses(units(batch.column("embedding")), books[length])
+                visits = [traverse(a, b, cutoff) for a, b in zip(e1, e2, strict=True)]
+                home = e1.argmin(1) * e2.shape[1] + e2.argmin(1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([length] * batch.num_rows, pa.int32()), pa.array(home, pa.int64()), pa.array(visits, pa.list_(pa.int64()))], [*batch.schema.names, "length", "home", "cells"])
 
     placed = stored(classes.select("node", "copies", "embedding").mapInArrow(visit, "node long, copies long, embedding " + classes.schema["embedding"].dataType.simpleString() + ", length int, home long, cells array<long>"), "placed")
     visiting = placed.select("node", "copies", "embedding", "length", "home", F.explode("cells").alias("cell"))
@@ -224,10 +231,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     parts = connected_components(found, "node", "head")
-    heads = classes.select("node", "first", "copies").join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
+    heads = classes.select("h1", "h2", "node", "first", "copies").join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
     least = heads.groupBy("part").agg(F.min("first").alias("component_id"))
-    known = heads.join(least, "part").join(links, "node", "left").select("node", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    result = rows.select("vec_id", "node").join(known, "node", "left")
+    known = heads.join(least, "part").join(links, "node", "left").select("h1", "h2", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    result = rows.select("vec_id", "h1", "h2").join(known, ["h1", "h2"], "left")
     component = F.coalesce("component_id", "vec_id")
     return result.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
 
