@@ -91,18 +91,18 @@ def random_looking(run: Column) -> Column:
     return F.when(allowed, False).otherwise(window_bits(run) >= least)
 
 
-def with_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The same rows with columns assign, access, hex and entropy, arrays of spans."""
-    text = F.replace(F.coalesce(F.col("__text"), F.lit("")), F.lit(_MARK), F.lit(_TWIN))
-    marked = docs.withColumn("__text", docs[text_col].cast("string")).withColumn("__text", text)
-    found = marked.select(
-        *[c for c in marked.columns if c != "__text"],
-        F.filter(matches(F.col("__text"), ASSIGN, 0), lambda x: F.length(F.regexp_extract(x["part"], ASSIGN, 2)) >= 12).alias("__assign"),
-        matches(F.col("__text"), ACCESS, 1).alias("__access"),
-        matches(F.col("__text"), HEX, 2).alias("__hex"),
-        matches(F.col("__text"), RUN, 3).alias("__runs"),
+def with_spans(rows: DataFrame) -> DataFrame:
+    """The column ``row`` with assign, access, hex and entropy, arrays of spans of the column ``text``, and text."""
+    text = F.replace(F.coalesce(F.col("text"), F.lit("")), F.lit(_MARK), F.lit(_TWIN))
+    found = rows.select("row", "text", text.alias("clean")).select(
+        "row",
+        "text",
+        F.filter(matches(F.col("clean"), ASSIGN, 0), lambda x: F.length(F.regexp_extract(x["part"], ASSIGN, 2)) >= 12).alias("assign"),
+        matches(F.col("clean"), ACCESS, 1).alias("access"),
+        matches(F.col("clean"), HEX, 2).alias("hex"),
+        matches(F.col("clean"), RUN, 3).alias("runs"),
     )
-    return found.withColumn("__entropy", F.filter("__runs", lambda x: random_looking(x["part"]))).drop("__runs")
+    return found.withColumn("entropy", F.filter("runs", lambda x: random_looking(x["part"]))).drop("runs")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -110,8 +110,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     Spans are kind:start:end, in code points with the end exclusive, by start and then by kind.
     """
-    source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    found = with_spans(source).select("doc_id", "__assign", "__access", "__hex", "__entropy", F.concat("__assign", "__access", "__hex").alias("__base"))
+    source = docs.select(docs[id_col].alias("row"), docs[text_col].cast("string").alias("text"))
+    found = with_spans(source).select(F.col("row").alias("doc_id"), "assign", "access", "hex", "entropy", F.concat("assign", "access", "hex").alias("base"))
 
     def joined(spans: Column) -> Column:
         name = lambda x: F.element_at(F.array(*map(F.lit, KINDS)), x["rank"] + 1)
@@ -120,19 +120,23 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     count = lambda name: F.size(name).cast("long")
     return found.select(
         "doc_id",
-        count("__assign").alias("n_assign"),
-        count("__access").alias("n_access"),
-        count("__hex").alias("n_hex"),
-        count("__entropy").alias("n_entropy"),
-        F.sha2(joined(F.col("__base")), 256).alias("base_sha256"),
-        joined(F.concat("__base", "__entropy")).alias("spans"),
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        count("entropy").alias("n_entropy"),
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(F.concat("base", "entropy")).alias("spans"),
     )
 
 
 def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
-    """The same rows and columns with each span of the text replaced by ``mask``; a null text stays null."""
-    found = with_spans(docs, text_col).withColumn("__all", F.array_sort(F.concat("__assign", "__access", "__hex", "__entropy")))
-    text = F.col(text_col)
+    """The same rows and columns with each span of the text replaced by ``mask``; a null text stays null.
+
+    Other columns are carried along inside a struct, so their names can be any.
+    """
+    source = docs.select(F.struct("*").alias("row"), docs[f"`{text_col}`"].cast("string").alias("text"))
+    found = with_spans(source).withColumn("spans", F.array_sort(F.concat("assign", "access", "hex", "entropy")))
+    text = F.col("text")
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def step(state: Column, span: Column) -> Column:
@@ -140,6 +144,6 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> D
         overlaps = (span["start"] < state["at"]) & (state["at"] > 0)
         return F.struct(F.when(overlaps, state["out"]).otherwise(fresh).alias("out"), F.greatest(state["at"], span["end"]).alias("at"))
 
-    rebuilt = F.aggregate("__all", start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    changed = F.when(F.size("__all") > 0, rebuilt).otherwise(text)
-    return found.select(*[changed.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    rebuilt = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    changed = F.when(F.size("spans") > 0, rebuilt).otherwise(text)
+    return found.select(*[(changed if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])

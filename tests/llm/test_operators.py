@@ -164,7 +164,7 @@ def test_quality(spark, docs, no_docs):
     kept = {r.doc_id for r in perplexities(frame, labels).collect() if r.kept}
     assert kept == {i for i in range(300) if i % 5}
     assert filter_quality(frame, labels).columns == frame.columns
-    assert filter_quality(docs, labels.limit(0)).count() == len(ROWS)
+    assert filter_quality(docs.withColumn("a.b", docs["lang"]), labels.limit(0)).count() == len(ROWS)
     assert filter_quality(no_docs, labels).count() == 0
 
 
@@ -243,6 +243,8 @@ def test_secrets(docs, no_docs):
         joined = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
         want.append(str((key, hashlib.sha256(joined.encode()).hexdigest())))
     assert sorted(str((r.doc_id, r.base_sha256)) for r in scan(docs).collect()) == sorted(want)
+    for name in ("row", "clean", "assign", "access", "hex", "runs", "entropy", "spans", "__text", "a.b"):
+        docs = docs.withColumn(name, docs["lang"])
     masked = redact(docs)
     assert masked.columns == docs.columns
     assert [r.text for r in masked.where("doc_id = 8").collect()] == ['[SECRET]" [SECRET] [SECRET] token:short']
