@@ -40,34 +40,56 @@ _RAW = frozenset("script style template noscript svg iframe object textarea titl
 # Elements, and words in class, id and role attributes, of what isn't the article.
 _OUTSIDE = frozenset("head nav footer aside form menu dialog button select option optgroup fieldset legend frameset dir".split())
 _OUTSIDE_NAMES = frozenset(
-    "ad ads adv advert advertisement adverts advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert warning"
-    " popup modal overlay menu nav navbar navigation breadcrumb breadcrumbs sidebar aside rail widget widgets footer comment comments disqus reply replies"
-    " respond discussion related recommended share sharing social subscribe subscription newsletter signup login search pagination pager toolbar skip"
-    " contentinfo complementary masthead".split()
+    "ad ads adv advert advertisement adverts advertising sponsor sponsored promo promotion cookie cookies consent gdpr"
+    " popup modal overlay nav navbar navigation breadcrumb breadcrumbs sidebar aside widget widgets footer comments disqus"
+    " subscribe subscription newsletter signup login pagination pager toolbar contentinfo complementary masthead".split()
 )
+# Ordinary words that tell the same if a name has no other words than these and the following.
+_DOUBTFUL_NAMES = frozenset("banner notice notices alert warning menu rail comment reply replies respond discussion related recommended share sharing social search skip".split())
+_FRAME_NAMES = frozenset("area bar block body box button buttons col column container content feed form group header icons inner item items link links list news outer page panel post posts row section site stories text thread title top bottom left right wrap wrapper".split())
 _INSIDE_NAMES = frozenset("article content post entry main story text".split())
 _LOOSE_NAMES = frozenset("header topbar top bottom".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|[^<]+|<""", re.S)
+# A quote opens a value only behind an equals sign and if it is closed; so each tag ends at its first ">" outside values.
+_TOKEN = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')?|["'])*+)(?:>|\Z)|[^<]+|<""", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PARTS = re.compile(r"[^a-z0-9]+")
 
 
+def tells_outside(names: list[str]) -> bool:
+    """Whether class, id or role names are those of what isn't the article."""
+    for name in names:
+        parts = set(filter(None, _PARTS.split(name)))
+        if parts & _OUTSIDE_NAMES or (parts & _DOUBTFUL_NAMES and all(x in _DOUBTFUL_NAMES or x in _FRAME_NAMES or x.isdigit() for x in parts)):
+            return True
+    return False
+
+
 class Page:
-    """Blocks of a page and the elements that hold them."""
+    """Blocks of a page and the elements that hold them.
+
+    Elements are numbered as they open, so those within an element are the numbers from its
+    own to ``last``.
+    """
 
     def __init__(self, source: str, weights: dict[str, float]):
         self.blocks: list[str] = []
         self.features: list[Counter[str]] = []  # tags since the block before
-        self.paths: list[tuple[int, ...]] = []
+        self.holders: list[int] = []  # the innermost element of each block
         self.names: list[str] = ["#page"]
         self.keys: list[tuple[str, ...]] = [()]
+        self.parents: list[int] = [0]
+        self.last: list[int] = [0]
         self.outside: list[bool] = [False]
+        self.inside: list[bool] = [False]  # in or at an article or main element
         self._weights = weights
         self._stack = [0]
+        self._open_names: Counter[str] = Counter()
         self._text: list[str] = []
         self._tags: Counter[str] = Counter()
         self._read(source)
+        while self._stack:
+            self._close()
 
     def _flush(self) -> None:
         if self._text:
@@ -76,25 +98,34 @@ class Page:
             if text:
                 self.blocks.append(text)
                 self.features.append(self._tags)
-                self.paths.append(tuple(self._stack))
+                self.holders.append(self._stack[-1])
                 self._tags = Counter()
 
+    def _close(self) -> str:
+        element = self._stack.pop()
+        self.last[element] = len(self.names) - 1
+        self._open_names[self.names[element]] -= 1
+        return self.names[element]
+
     def _open(self, name: str, attributes: str) -> None:
-        words: set[str] = set()
-        for found in _NAMES.finditer(attributes) if attributes else ():
-            words.update(filter(None, _PARTS.split((found[1] or found[2] or found[3] or "").lower())))
+        names = [word for found in _NAMES.finditer(attributes) for word in (found[1] or found[2] or found[3] or "").lower().split()] if attributes else []
+        words = {part for word in names for part in _PARTS.split(word) if part}
         keys = (name, *(f"{name}.{word}" for word in sorted(words)))
-        inside = any(self.names[i] in ("article", "main") for i in self._stack)
-        out = name in _OUTSIDE or bool(words & _OUTSIDE_NAMES) or (not inside and (name == "header" or bool(words & _LOOSE_NAMES) and not words & _INSIDE_NAMES))
+        parent = self._stack[-1]
+        out = name in _OUTSIDE or tells_outside(names) or (not self.inside[parent] and (name == "header" or bool(words & _LOOSE_NAMES) and not words & _INSIDE_NAMES))
         if name not in ("article", "main", "body", "html"):
             # A bare element name tells too little: only names that the page gave are learned.
             out = out or any(self._weights.get(f"in {key}", 0.0) < -2 for key in keys[1:])
         elif name != "article" or not words & {"comment", "comments", "reply", "replies", "ad", "ads", "advert", "sponsored", "promo"}:
             out = False
         self._stack.append(len(self.names))
+        self._open_names[name] += 1
         self.names.append(name)
         self.keys.append(keys)
-        self.outside.append(self.outside[self._stack[-2]] or out)
+        self.parents.append(parent)
+        self.last.append(0)
+        self.outside.append(self.outside[parent] or out)
+        self.inside.append(self.inside[parent] or name in ("article", "main"))
 
     def _read(self, source: str) -> None:
         at, end = 0, len(source)
@@ -122,15 +153,15 @@ class Page:
                 continue
             self._flush()
             if closing:
-                if any(self.names[i] == name for i in self._stack[1:]):
-                    while self.names[self._stack.pop()] != name:
+                if self._open_names[name]:
+                    while self._close() != name:
                         pass
             elif name not in _VOID:
                 # These end by themselves where the next one begins.
-                while self._stack[-1] and self.names[self._stack[-1]] in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
-                    self._stack.pop()
+                while self.names[self._stack[-1]] in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
+                    self._close()
                 if name in ("li", "dt", "dd", "option", "tr") and self.names[self._stack[-1]] == name:
-                    self._stack.pop()
+                    self._close()
                 self._open(name, token[3])
         self._flush()
 
@@ -144,20 +175,25 @@ def region(page: Page, weights: dict[str, float]) -> list[str]:
         if total <= 0:
             total, start = 0.0, at
         words = text.count(" ") + 1
-        total += -2.0 * words if page.outside[page.paths[at][-1]] else words
+        total += -2.0 * words if page.outside[page.holders[at]] else words
         if total > best:
             best, best_span = total, (start, at + 1)
     if best_span is None:
         return []
     first, last = best_span
-    inside = [i for i in range(first, last) if not page.outside[page.paths[i][-1]]]
-    common = [i for i in page.paths[inside[0]] if all(i in page.paths[k] for k in inside)]
-    named = [i for i in common if page.names[i] in ("article", "main")]
-    holder = named[0] if named else common[-1]
+    inside = [i for i in range(first, last) if not page.outside[page.holders[i]]]
+    low, high = min(page.holders[i] for i in inside), max(page.holders[i] for i in inside)
+    holder = low
+    while page.last[holder] < high:
+        holder = page.parents[holder]
+    above = holder  # the outermost article or main element around the run
+    while above:
+        holder = above if page.names[above] in ("article", "main") else holder
+        above = page.parents[above]
     if page.names[holder] in ("#page", "html", "body"):
         chosen = inside
     else:
-        chosen = [i for i, path in enumerate(page.paths) if holder in path and not page.outside[path[-1]]]
+        chosen = [i for i, own in enumerate(page.holders) if holder <= own <= page.last[holder] and not page.outside[own]]
     return [page.blocks[i] for i in chosen]
 
 
@@ -170,14 +206,22 @@ def label_counts(source: str) -> Counter[tuple[str, bool]]:
     """Tags and containers, and whether they are inside the page's article element."""
     counts: Counter[tuple[str, bool]] = Counter()
     page = Page(source, {})
-    for text, tags, path in zip(page.blocks, page.features, page.paths, strict=True):
-        article = next((k for k, i in enumerate(path) if page.names[i] == "article"), None)
+    below = [False] * len(page.names)  # strictly within an article element
+    for element in range(1, len(page.names)):
+        parent = page.parents[element]
+        below[element] = below[parent] or page.names[parent] == "article"
+    within = [below[i] or name == "article" for i, name in enumerate(page.names)]
+    words = [0] * len(page.names)
+    for text, tags, holder in zip(page.blocks, page.features, page.holders, strict=True):
+        words[holder] += text.count(" ") + 1
         for tag, n in tags.items():
-            counts[tag, article is not None] += n
-        # Containers outside the article, or within it.
-        for i in path[0 if article is None else article + 1 :]:
-            for key in page.keys[i]:
-                counts[f"in {key}", article is not None] += text.count(" ") + 1
+            counts[tag, within[holder]] += n
+    for element in range(len(page.names) - 1, 0, -1):
+        # A container within the article counts as inside, one without as outside for its words that no article holds.
+        if page.names[element] != "article" or below[element]:
+            for key in page.keys[element]:
+                counts[f"in {key}", below[element]] += words[element]
+            words[page.parents[element]] += words[element] if within[page.parents[element]] or not within[element] else 0
     return counts
 
 
