@@ -216,18 +216,98 @@ def test_forward_is_exact():
         assert abs(math.log10(total) - log) < 1e-9
 
 
+def test_stretches_are_exact(monkeypatch):
+    """Cut in short stretches, texts have the same probabilities and expected counts as whole ones."""
+    from inkwell.llm import hmm
+
+    model = hmm.Model.first(np.array([5.0, 3, 2, 1]), 3)
+    choose = np.random.default_rng(2)
+    texts = [choose.integers(0, 4, n) for n in (1, 7, 23, 4, 12, 40)]
+    whole = hmm.Stretches(model, texts)
+    want, logs = whole.expected(), whole.scores().copy()
+    assert abs(want[3] - logs.sum()) < 1e-9
+    monkeypatch.setattr(hmm, "STRETCH", 4)
+    cut = hmm.Stretches(model, texts)
+    for a, b in zip(cut.expected()[:3], want[:3], strict=True):
+        assert np.allclose(a, b, atol=1e-9)
+    assert np.allclose(cut.scores(), logs, atol=1e-9)
+
+
+def brute_expected(model, texts):
+    """Expected counts by listing all paths of states, and the likelihood."""
+    states, symbols = model.emit.shape
+    starts, moves, emits, likelihood = np.zeros(states), np.zeros((states, states)), np.zeros((states, symbols)), 0.0
+    for codes in texts:
+        paths = {}
+        for path in product(range(states), repeat=len(codes)):
+            p = model.start[path[0]] * math.prod(model.emit[s, c] for s, c in zip(path, codes, strict=True))
+            paths[path] = p * math.prod(model.move[a, b] for a, b in zip(path, path[1:], strict=False))
+        total = sum(paths.values())
+        likelihood += math.log10(total)
+        for path, p in paths.items():
+            starts[path[0]] += p / total
+            for s, c in zip(path, codes, strict=True):
+                emits[s, c] += p / total
+            for a, b in zip(path, path[1:], strict=False):
+                moves[a, b] += p / total
+    return starts, moves, emits, likelihood
+
+
+def test_score_end_to_end(spark, monkeypatch):
+    """Scores equal a plain version that trains and scores by listing all paths."""
+    from inkwell.llm import hmm
+
+    for name, value in (("STATES", 2), ("SYMBOLS", 3), ("FREQUENT", 4), ("ROUNDS", 2), ("STRETCH", 2), ("RISE", -math.inf)):
+        monkeypatch.setattr(hmm, name, value)
+    monkeypatch.setattr(hmm.math, "isqrt", lambda n: 0)
+    choose = random.Random(3)
+    rows = [(i, " ".join(choose.choice(["a", "a", "b", "b", "c", "d", "e"]) for _ in range(choose.randint(0, 6)))) for i in range(30)]
+    tokens = {i: [*text.encode().split(), b" "] for i, text in rows}
+    trained = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 10]
+    counts = Counter(t for i in trained for t in tokens[i])
+    # The most frequent words by whole steps of counts, FREQUENT at most; the first of them are symbols.
+    steps = Counter(math.floor(math.log2(c) * 16) for c in counts.values())
+    held, least = 0, None
+    for step in sorted(steps, reverse=True):
+        if held + steps[step] > 4:
+            break
+        held, least = held + steps[step], step
+    words = sorted((w for w, c in counts.items() if math.floor(math.log2(c) * 16) >= least), key=lambda w: (-counts[w], w))
+    symbol = {w: i for i, w in enumerate(words[:3])}
+    total, distinct, n = sum(counts.values()), len(counts), len(symbol)
+    rest = total - sum(counts[w] for w in symbol)
+    symbol_counts = np.array([*(counts[w] for w in symbol), rest], float)
+    share = (symbol_counts + 0.1) / (symbol_counts + 0.1).sum()
+    codes = {i: [symbol.get(t, n) for t in tokens[i]] for i in tokens}
+    model = hmm.Model.first(symbol_counts, 2)
+    for _ in range(2):
+        start, move, emit, _ = brute_expected(model, [codes[i] for i in trained])
+        model = hmm.Model.from_counts(start, move, emit, share)
+    got = {r.doc_id: r.score for r in hmm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in tokens:
+        inside = sum(math.log10((counts[t] + 0.1) / (rest + 0.1 * (distinct - n + 1))) for t in tokens[i] if t not in symbol)
+        assert abs(got[i] - brute_expected(model, [codes[i]])[3] - inside) < 1e-9
+
+
+def test_many_words_of_one_count(spark, monkeypatch):
+    from inkwell.llm import hmm
+
+    monkeypatch.setattr(hmm, "FREQUENT", 10)
+    words, counts = hmm.frequent_words(spark.createDataFrame([(f"w{i}".encode(), 3) for i in range(200)], "word binary, c long"))
+    assert 0 < len(words) < 40 and set(counts) == {3}
+
+
 def test_baum_welch_never_falls():
     from inkwell.llm.hmm import Lanes, Model
 
     choose = np.random.default_rng(1)
     sequences = [choose.integers(0, 6, n) for n in (30, 5, 17, 1)]
-    share = np.full(6, 1 / 6)
     model, last = Model.first(np.ones(6), 3), -math.inf
     for _ in range(8):
         start, move, emit, log = Lanes(sequences).expected(model, np.broadcast_to(model.start, (4, 3)), np.ones(4, bool))
         assert abs(emit.sum() - 53) < 1e-9 and abs(start.sum() - 4) < 1e-9 and abs(move.sum() - 49) < 1e-9
-        assert log >= last - 0.5  # smoothing may cost a little
-        model, last = Model.from_counts(start, move, emit, share * 1e-6), log
+        assert log >= last - 1e-9
+        model, last = Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True)), log
 
 
 def test_secrets(docs, no_docs):
@@ -263,6 +343,10 @@ PAGES = [
     ("<html><head><title>T</title></head><body><nav><a>menu</a></nav><article><h1>Head &amp; line</h1><p>One  two <b>three</b></p><script>var a='</p>'</script><p>four</p></article><footer>foot words are here</footer></body></html>", "Head & line\n\nOne two three\n\nfour"),
     ("<body><header>Site name here</header><div class='content'><p>One two three four five six</p><ul><li>a<li>b</ul><div class='ad'>buy now</div><form><p>sign up now</p></form></div><div id='comments'><p>I think this comment is far longer than the text is</p></div>", "One two three four five six\n\na\n\nb"),
     (None, ""), ("", ""), ("<p", ""), ("<div>hello world<!-- cut", "hello world"), ("plain text only", "plain text only"),
+    ('<p title="x>bar baz</p><p>more words</p>', "bar baz\n\nmore words"),
+    ("<p data=it's>one two</p><p>don't <b class='a>b'>stop</b></p>", "one two\n\ndon't stop"),
+    ("<!--><p>after a short comment</p><!---><p>and another</p><!-- x --!><p>third</p>", "after a short comment\n\nand another\n\nthird"),
+    ("<article><p>one two three</p><div class='related-work'><p>kept words here</p></div><div class='related-posts'><p>dropped</p></div></article>", "one two three\n\nkept words here"),
 ]
 
 
@@ -275,6 +359,33 @@ def test_html(spark):
     assert extract(frame.limit(0)).count() == 0
 
 
+def test_html_depth():
+    """Deep and unclosed nesting costs no more than its length."""
+    from inkwell.llm.html import label_counts, main_text
+
+    page = "<div>word " * 60_000
+    assert main_text(page, {}).count("word") == 60_000 or main_text(page, {}) == "word"
+    assert label_counts("<article>" + page)["in div", True] == 60_000 * 60_001 // 2
+
+
+def test_html_label_counts_by_paths():
+    from inkwell.llm.html import Page, label_counts
+
+    source = "<div class=a><p>one two</p><article><div class=b><p>three</p><article><p>x y z</p></article></div></article><section><p>four five</p></section></div><nav>m</nav>"
+    page, want = Page(source, {}), Counter()
+    for text, tags, holder in zip(page.blocks, page.features, page.holders, strict=True):
+        path = [holder]
+        while path[0]:
+            path.insert(0, page.parents[path[0]])
+        article = next((k for k, i in enumerate(path) if page.names[i] == "article"), None)
+        for tag, n in tags.items():
+            want[tag, article is not None] += n
+        for i in path[0 if article is None else article + 1 :]:
+            for key in page.keys[i]:
+                want[f"in {key}", article is not None] += text.count(" ") + 1
+    assert +label_counts(source) == want
+
+
 def test_media(spark, docs, no_docs):
     from inkwell.llm.media import payload_of, read_media, round_trip, store_media
     from inkwell.session import fresh_path
