@@ -42,7 +42,7 @@ BLOCK = 256
 #: A key with one row in so many is joined by broadcast.
 HOT = 1_000
 #: Most words whose hashes a worker remembers.
-CACHE = 500_000
+CACHE = 300_000
 
 _WORDS: dict[bytes, int] = {}
 
