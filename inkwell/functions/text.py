@@ -169,39 +169,6 @@ def work_class(chars: Column, parts: Column, discovered: Column) -> Column:
     return F.when((chars >= 180_000) | ((chars >= 100_000) & (parts >= 8)) | (discovered >= 20), "book").otherwise("story")
 
 
-_DIGITS = "零一二三四五六七八九"
-
-
-def chinese_number(text: Column) -> Column:
-    """Chinese numerals or ASCII digits as a whole number; null where another sign occurs.
-
-    A 万 multiplies all before it, with a bare one counted as ten thousand more, as
-    the tables that these numbers come from have it: 十万 is 110000.
-    """
-    start = F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("section"), F.lit(0).cast("long").alias("number"), F.lit(True).alias("ok"))
-    unit = lambda c: F.when(c == "十", 10).when(c == "百", 100).when(c == "千", 1000)
-    digit = lambda c: F.when(c == "两", 2).when(c == "〇", 0).otherwise(F.instr(F.lit(_DIGITS), c) - 1)
-
-    def step(s: Column, c: Column) -> Column:
-        grown = F.when(s["number"] == 0, 1).otherwise(s["number"])
-        is_unit, is_wan = unit(c).isNotNull(), c == "万"
-        number = F.when(is_unit | is_wan, 0).otherwise(digit(c))
-        section = F.when(is_unit, s["section"] + grown * unit(c)).when(is_wan, 0).otherwise(s["section"])
-        total = F.when(is_wan, (s["total"] + s["section"] + grown) * 10_000).otherwise(s["total"])
-        ok = s["ok"] & (is_unit | is_wan | (digit(c) >= 0))
-        return F.struct(total.cast("long").alias("total"), section.cast("long").alias("section"), number.cast("long").alias("number"), ok.alias("ok"))
-
-    parsed = F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), start, step)
-    value = F.when(parsed["ok"] & (text != ""), parsed["total"] + parsed["section"] + parsed["number"])
-    return F.when(text.rlike(r"^\d+$"), text.try_cast("long")).otherwise(value)
-
-
-def heading_number(title: Column) -> Column:
-    """The number of a heading 第N章, 节, 節 or 回; null without one."""
-    found = F.regexp_extract(title, "第([0-9零〇一二两三四五六七八九十百千万]+)[章节節回]", 1)
-    return F.when(found != "", chinese_number(found))
-
-
 def coverage(summary: Column, body: Column, size: int = 3) -> Column:
     """Character n-grams of ``body`` that ``summary`` has, per n-gram of ``body``."""
     grams = char_grams(body, size)

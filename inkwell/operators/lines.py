@@ -30,6 +30,10 @@ class NoisePack:
     most_prose: int = field(default=6)
 
 
+# Fixed value: a whole line of letters, digits and address signs.
+CODE_LINE = r"^[A-Za-z0-9_.:/?&=%#@+\-]{8,}$"
+
+
 def _word(words: str) -> str:
     """A pattern of whole words; the engines' own word boundaries differ beyond ASCII."""
     return rf"(?:^|[^\p{{L}}])(?:{words})(?:[^\p{{L}}]|$)"
@@ -145,7 +149,7 @@ def classify(lines: DataFrame, pack: NoisePack) -> DataFrame:
         .when((length < 50) & (symbol_share > 0.35) & (prose >= 2), "keep")
         .when((length < 50) & (symbol_share > 0.35) & (of_script == 0) & (alnum == 0), "strong")
         .when((length < 50) & (alnum_share > 0.6) & (of_script < 5) & (prose >= 2), "keep")
-        .when((length < 50) & (alnum_share > 0.6) & (of_script < 5) & line.rlike(r"[A-Za-z0-9_.:/?&=%#@+\-]{8,}"), "strong")
+        .when((length < 50) & (alnum_share > 0.6) & (of_script < 5) & line.rlike(CODE_LINE), "strong")
     )
     late = F.when(weak & (place >= 2) & (frequency >= 1) & (prose <= 1), "strong").when(weak, "weak").otherwise("keep")
     noise = F.when(tier == "weak", 2).when(soft, 1).otherwise(0)

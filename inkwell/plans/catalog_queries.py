@@ -107,7 +107,7 @@ def guarded_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT 'run-1' AS run_id, doc_id, '{"doc_id":' || doc_id || ',"lang":"' || lang || '","n_chars":' || n_chars || '}' AS document FROM documents""")
 def frozen_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CT1, CT5: an immutable snapshot of rows as JSON."""
+    """CT1: an immutable snapshot of rows as JSON."""
     return C.frozen(table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), "run-1", "doc_id")
 
 
@@ -119,7 +119,7 @@ def status_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT user_id, count(*) AS n, min(event_id) AS first_seen FROM events GROUP BY 1 ORDER BY n DESC, first_seen LIMIT 10""")
 def top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AG12, W17: the most frequent values, ties in order of first occurrence."""
+    """AG12: the most frequent values, ties in order of first occurrence."""
     return C.top_values(table(spark, sf_dir, "events"), "user_id", "event_id", 10)
 
 
@@ -138,7 +138,7 @@ def approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH known AS (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) * 10 AS id FROM part WHERE p_partkey % 11 = 0), g AS (SELECT p_name AS name, min(id) AS id FROM part LEFT JOIN known USING (p_partkey) GROUP BY 1)
 SELECT name, CASE WHEN id IS NOT NULL THEN id ELSE (SELECT max(id) FROM known) + row_number() OVER (PARTITION BY id IS NULL ORDER BY name) END AS id FROM g""")
 def reused_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J15, J16, AG3, CT11: groups take a known id, else the next."""
+    """J15, J16, CT11 in part: groups take a known id, else the next."""
     rows = table(spark, sf_dir, "part").select(F.col("p_name").alias("name"), "p_partkey")
     known, _ = C.ranks(rows.where("p_partkey % 11 = 0").select("p_partkey"), "p_partkey")
     return C.reuse_ids(rows, known.select("p_partkey", ((F.col("rank") + 1) * 10).alias("id")), "name", "p_partkey", "id")
@@ -168,7 +168,7 @@ def stable_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT c_custkey, coalesce(o.n, 0) AS n, CASE WHEN o.n IS NULL THEN 'no_output' WHEN o.n < 3 THEN 'short' ELSE 'ok' END AS issue FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) o ON o_custkey = c_custkey""")
 def registry_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J8, CT13, CT14, CT15, AG11: a registry against its outputs."""
+    """J8, AG11 in part: a registry against its outputs."""
     outputs = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
     issue = F.when(F.col("n").isNull(), "no_output").when(F.col("n") < 3, "short").otherwise("ok")
     return table(spark, sf_dir, "customer").select("c_custkey").join(outputs, "c_custkey", "left").select("c_custkey", F.coalesce("n", F.lit(0)).alias("n"), issue.alias("issue"))
@@ -176,7 +176,7 @@ def registry_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_extendedprice DESC) = 1""")
 def tidy_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SO4, CT19: the last entry of each order."""
+    """SO4: the last entry of each order."""
     rows = table(spark, sf_dir, "lineitem")
     return rows.groupBy("l_orderkey", "l_linenumber").agg(F.max_by("l_extendedprice", F.struct("l_partkey", "l_extendedprice")).alias("l_extendedprice"))
 

@@ -34,7 +34,7 @@ z AS (SELECT *, CASE WHEN is_heading THEN 'keep' WHEN fr > 0 AND regexp_matches(
 WHEN regexp_matches(normal, '^[\\p{{N}}\\p{{P}}\\p{{S}}\\s]+$') THEN CASE WHEN prose >= 4 THEN 'weak' ELSE 'strong' END
 WHEN tier = 'strong' AND prose >= 2 THEN 'weak' WHEN prose >= 4 THEN CASE WHEN tier = 'clean' THEN 'keep' ELSE 'weak' END WHEN tier = 'strong' THEN 'strong'
 WHEN len < 50 AND (len - le) / len > 0.35 AND prose >= 2 THEN 'keep' WHEN len < 50 AND (len - le) / len > 0.35 AND sc = 0 AND an = 0 THEN 'strong'
-WHEN len < 50 AND an / len > 0.6 AND sc < 5 AND prose >= 2 THEN 'keep' WHEN len < 50 AND an / len > 0.6 AND sc < 5 AND regexp_matches(normal, '[A-Za-z0-9_.:/?&=%#@+\\-]{{8,}}') THEN 'strong'
+WHEN len < 50 AND an / len > 0.6 AND sc < 5 AND prose >= 2 THEN 'keep' WHEN len < 50 AND an / len > 0.6 AND sc < 5 AND regexp_matches(normal, '^[A-Za-z0-9_.:/?&=%#@+\\-]{{8,}}$') THEN 'strong'
 WHEN (tier = 'weak' OR soft) AND place >= 2 AND fr >= 1 AND prose <= 1 THEN 'strong' WHEN tier = 'weak' OR soft THEN 'weak' ELSE 'keep' END AS verdict FROM y)"""
 
 

@@ -14,7 +14,7 @@ _POINTS = " UNION ALL ".join(f"SELECT p_partkey, '{g}' AS genre, {s * 1.7!r}::DO
 
 @query("""SELECT * FROM (VALUES ('a/《山海》作者：王五.txt', '山海', '王五', 0.99), ('夜行 作者 李四.txt', '夜行', '李四', 0.9154), ('风-张三.txt', '风', '张三', 0.6128), ('独行.txt', '独行', NULL, 0.74)) t(raw, title, author, confidence)""".replace("0.99)", "0.99::DOUBLE)").replace("0.9154)", "0.9154::DOUBLE)"))
 def book_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PR7, PR6: titles and authors from file names."""
+    """PR7 in part: titles and authors from file names."""
     rows = spark.createDataFrame([(x,) for x in ("a/《山海》作者：王五.txt", "夜行 作者 李四.txt", "风-张三.txt", "独行.txt")], "raw string")
     return rows.select("raw", M.book_name(F.col("raw")).alias("n")).select("raw", "n.title", "n.author", "n.confidence")
 
@@ -74,7 +74,7 @@ def allowed_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN substr(text, 1, 20) WHEN turn % 3 = 1 THEN role ELSE array_to_string(list_slice(regexp_split_to_array(text, '\. '), 1, 3), '；') END AS synopsis FROM conversations""")
 def synopses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PR25, PR24: the first text that is there."""
+    """PR25 in part: the first text that is there."""
     turn = F.col("turn") % 3
     made = M.synopsis(F.when(turn == 0, F.substring("text", 1, 20)), F.when(turn == 1, F.col("role")), F.split("text", r"\. "))
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", made.alias("synopsis"))

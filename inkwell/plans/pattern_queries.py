@@ -22,7 +22,7 @@ def _instances(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFra
 
 @query(f'{_PAIR} SELECT lang, l AS "left", r AS "right", jaccard FROM p QUALIFY row_number() OVER (PARTITION BY lang, l ORDER BY jaccard DESC, r) <= 6')
 def shortlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J13, TK9: the six nearest existing patterns of each candidate."""
+    """The six nearest existing patterns of each candidate."""
     rows = _instances(spark, sf_dir)
     return P.nearest(P.shared_terms(rows.where("id % 10 = 0"), rows.where("id % 10 <> 0"), ["lang"]), ["lang"], 6).drop("rank")
 
@@ -30,7 +30,7 @@ def shortlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""{_PAIR} SELECT lang, l AS "left", r AS "right", 0.6 * least(1.0::DOUBLE, (r % 3) / 2) + 0.3 * jaccard + CASE WHEN l % 2 = r % 2 THEN 0.1 ELSE 0.0 END::DOUBLE AS score FROM p
 QUALIFY row_number() OVER (PARTITION BY lang, l ORDER BY 0.6 * least(1.0::DOUBLE, (r % 3) / 2) + 0.3 * jaccard + CASE WHEN l % 2 = r % 2 THEN 0.1 ELSE 0.0 END::DOUBLE DESC, r) <= 2""")
 def cross_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J12, PT8: scored relations, two for each source."""
+    """J12 in part: scored relations, two for each source."""
     rows = _instances(spark, sf_dir)
     pairs = P.shared_terms(rows.where("id % 10 = 0"), rows.where("id % 10 <> 0"), ["lang"])
     score = P.relation_score(F.col("right") % 3, F.col("jaccard"), F.col("left") % 2 == F.col("right") % 2)
@@ -48,7 +48,7 @@ q AS (SELECT *, CASE WHEN length(source) > 4 THEN 0.24 ELSE 0.0 END + CASE WHEN
 + CASE WHEN slots >= 2 THEN 0.14 WHEN slots = 1 THEN 0.06 ELSE 0.0 END + CASE WHEN conditions >= 2 AND axes >= 2 THEN 0.14 WHEN conditions > 0 OR axes > 0 THEN 0.06 ELSE 0.0 END + 0.08 + CASE WHEN instances >= 3 THEN 0.04 ELSE 0.0 END AS quality FROM s)
 SELECT lang, source, round(quality::DOUBLE, 6) AS quality, CASE WHEN quality < 0.72 THEN 'low_quality' WHEN books >= 3 AND instances >= 8 THEN 'universal' WHEN instances >= 3 THEN 'emerging' ELSE 'rejected' END AS status FROM q""")
 def cross_book_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AG14, AG15, FI12, PT7: quality and status of patterns."""
+    """AG14, AG15 in part, PT7: quality and status of patterns."""
     n = F.col("n_chars")
     rows = table(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.count("*").alias("instances"), F.countDistinct(F.col("doc_id") % 5).alias("books"), (F.max(n) % 4).alias("slots"), (F.min(n) % 3).alias("conditions"), (F.sum(n) % 3).alias("axes"))
     quality = P.pattern_quality(F.length("source") > 4, F.col("instances"), F.col("books"), F.col("slots"), F.col("conditions"), F.col("axes"), F.lit(True), F.lit(True))
@@ -68,7 +68,7 @@ def candidate_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH k AS (SELECT lang, source, CASE WHEN n_chars % 9 = 0 THEN 'rejected' WHEN n_chars % 4 = 0 THEN 'seed' WHEN n_chars % 4 = 1 THEN 'candidate' ELSE 'raw' END AS tier, n_chars % 100 AS score FROM documents)
 SELECT lang, count(*) FILTER (tier = 'seed') AS seed, count(*) FILTER (tier = 'candidate') AS candidate, count(*) FILTER (tier = 'raw') AS raw, count(*) FILTER (tier = 'rejected') AS rejected, avg(score) AS mean_score FROM k GROUP BY 1""")
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AG17, AG20, PT9: tiers and mean scores by library."""
+    """AG17, PT9 in part: tiers and mean scores by library."""
     n = F.col("n_chars")
     tier = F.when(n % 9 == 0, "rejected").when(n % 4 == 0, "seed").when(n % 4 == 1, "candidate").otherwise("raw")
     rows = table(spark, sf_dir, "documents").select("lang", tier.alias("tier"), (n % 100).alias("score"))
@@ -79,7 +79,7 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 t AS (SELECT role, count(*) AS total FROM conversations GROUP BY 1), c AS (SELECT role, slot, count(*) AS n FROM r GROUP BY 1, 2)
 SELECT role, slot, n / total AS ratio FROM c JOIN t USING (role) QUALIFY row_number() OVER (PARTITION BY role ORDER BY n / total DESC, slot) <= 2 AND n / total >= .5""")
 def role_support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PT2, PT6: slots that most instances fill."""
+    """PT2: slots that most instances fill."""
     slots = F.array("role", F.when(F.length("text") > 300, "long").otherwise("short"), F.when(F.col("turn") == 0, "first").otherwise(F.col("role")))
     rows = table(spark, sf_dir, "conversations").select("role", slots.alias("slots"))
     found = P.role_support(rows.withColumnRenamed("role", "pattern"), "pattern", "slots")
@@ -98,7 +98,7 @@ def divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH s AS (SELECT source, count(DISTINCT lang) AS books, count(*) AS instances, count(DISTINCT n_chars % 5) AS variants, count(*) FILTER (n_chars < 60) AS issues FROM documents GROUP BY 1) SELECT source, books >= 3 AND instances >= 8 AND variants >= 2 AND issues = 0 AS ready FROM s""")
 def promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PT4, PT5: patterns that may be promoted."""
+    """PT4: patterns that may be promoted."""
     rows = table(spark, sf_dir, "documents").groupBy("source").agg(F.countDistinct("lang").alias("books"), F.count("*").alias("instances"), F.countDistinct(F.col("n_chars") % 5).alias("variants"), F.count_if(F.col("n_chars") < 60).alias("issues"))
     return rows.select("source", P.promotion(*[F.col(c) for c in ("books", "instances", "variants", "issues")]).alias("ready"))
 
@@ -131,6 +131,6 @@ def merged_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def suppressed_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GD8, GD9, GD10, AG15: greedy suppression of near-duplicate patterns; tests hold it against a plain loop."""
+    """GD9, AG15 in part: greedy suppression of near-duplicate patterns; tests hold it against a plain loop."""
     rows = _instances(spark, sf_dir, whole=True).select("lang", F.col("id").cast("string").alias("name"), F.col("n_chars").alias("support"), "terms")
     return P.suppressed(rows, "lang", "name", "support", "terms", 0.5)

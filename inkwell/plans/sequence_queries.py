@@ -128,7 +128,7 @@ def latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 j AS (SELECT e.*, version FROM e LEFT JOIN k USING (work, edition)), m AS (SELECT *, coalesce(max(version) OVER (PARTITION BY work), 0) AS l, row_number() OVER (PARTITION BY work, version IS NULL ORDER BY edition) AS t FROM j)
 SELECT work, edition, coalesce(version, l + t) AS version FROM m""")
 def stable_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W19, CT4: known version numbers stay, new ones follow."""
+    """Known version numbers stay, new ones follow."""
     from pyspark.sql import Window
 
     rows = table(spark, sf_dir, "documents").select(F.col("source").alias("work"), F.col("doc_id").alias("edition"))

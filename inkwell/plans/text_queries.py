@@ -138,10 +138,3 @@ def paragraph_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", T.paragraphs(F.col("text")).alias("p"))
     longest = F.coalesce(F.array_max(F.transform("p", F.length)), F.lit(0))
     return docs.select("doc_id", F.size("p").cast("long").alias("n_paragraphs"), longest.cast("long").alias("longest"))
-
-
-@query("""SELECT * FROM (VALUES ('第十二章 起', 12::BIGINT), ('第三百零五回', 305), ('第十万章', 110000), ('第7节 x', 7), ('序', NULL), ('第两千章', 2000)) t(title, number)""")
-def heading_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PR16, PR17, FN23: numbers of headings, in both scripts."""
-    titles = spark.createDataFrame([(x,) for x in ("第十二章 起", "第三百零五回", "第十万章", "第7节 x", "序", "第两千章")], "title string")
-    return titles.select("title", T.heading_number(F.col("title")).alias("number"))
