@@ -241,7 +241,8 @@ def sketch_forest(banded: DataFrame, percent: int, limit: int) -> DataFrame:
         for table in grouped(batches, 3):
             if table.num_rows > 1:
                 ids, sizes = (np.asarray(table[c].combine_chunks()) for c in ("id", "n_shingles"))
-                bits = np.asarray(table["sketch"].combine_chunks().flatten()).reshape(len(ids), -1)
+                # Unsigned: of a negative number, numpy counts the bits of its absolute value.
+                bits = np.asarray(table["sketch"].combine_chunks().flatten()).view(np.uint64).reshape(len(ids), -1)
                 far = np.zeros((len(ids), len(ids)), np.int32)
                 for word in bits.T:
                     far += np.bitwise_count(word[:, None] ^ word[None, :])

@@ -484,6 +484,16 @@ def brute_components(rows, words, percent):
     return sets, part
 
 
+def test_sketch_distances(spark):
+    """Sketches whose words differ in their top bits are as far as their bits say."""
+    from inkwell.llm.minhash import sketch_forest
+
+    rows = [(7, 1, 10, [0] * 8, 2), (7, 2, 10, [-1] + [0] * 7, 2), (8, 3, 10, [0] * 8, 2), (8, 4, 10, [-(1 << 63), *[0] * 7], 2)]
+    frame = spark.createDataFrame(rows, "key long, id long, n_shingles long, sketch array<long>, size long")
+    assert {tuple(r) for r in sketch_forest(frame, 80, 63).collect()} == {(4, 3)}
+    assert {tuple(r) for r in sketch_forest(frame, 80, 64).collect()} == {(2, 1), (4, 3)}
+
+
 def test_minhash_edges(docs, no_docs):
     from inkwell.llm.minhash import near_duplicates
 
