@@ -25,13 +25,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one with the smallest id; rows without id stay."""
-    found = stored(near_duplicates(docs, words=5, percent=80).where("doc_id IS NOT NULL"), "near-duplicates")
-    dropped = found.where("NOT kept").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*[f"`{name}`" for name in docs.columns])
-    if found.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(kept.where("doc_id IS NULL"))
+    """One document of each near-duplicate group, the one with the smallest id; rows without id stay.
+
+    Where rows repeat an id they are told apart by a row number, so that different texts of one id are
+    different documents, and of equal rows with words one stays.
+    """
+    node = "node".ljust(max(map(len, docs.columns)) + 1, "_")  # longer than any column's name
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    if repeated.isEmpty():
+        found = near_duplicates(docs, words=5, percent=80)
+        dropped = found.where("doc_id IS NOT NULL AND NOT kept").select("doc_id")
+        return docs.join(dropped, "doc_id", "left_anti").select(*[f"`{name}`" for name in docs.columns])
+    number = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
+    # Written, so that a repeated task gives a row no other number.
+    rows = stored(docs.withColumn(node, number), "numbered")
+    found = stored(near_duplicates(rows, words=5, percent=80, id_col=node).where("doc_id IS NOT NULL"), "near-duplicates")
+    found = found.withColumnRenamed("doc_id", node).join(rows.select(F.col("doc_id"), node), node)
+    first = found.groupBy("component_id").agg(F.min(F.struct("doc_id", node)).getField(node).alias(node))
+    kept = rows.join(first.select(node), node, "left_semi").unionByName(rows.where("doc_id IS NULL"))
+    return kept.select(*[f"`{name}`" for name in docs.columns])
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
