@@ -58,6 +58,19 @@ def test_stages_and_run(spark):
     assert max(Counter(r.sequence_id for r in rows for _ in range(r.length)).values()) <= 2048
 
 
+def test_repeated_ids(spark):
+    """Different texts of one id are different documents; of equal rows and of near copies one stays, with the smallest id."""
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, b), (2, c), (2, c), (0, a + " end"), (3, ""), (3, ""), (4, None), (None, a), (None, a)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, `node.x` string")
+    kept = corpus_pipeline.deduplicate(spark, docs, SF)
+    assert kept.columns == docs.columns
+    found = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert found == Counter([(1, b), (2, c), (0, a + " end"), (3, ""), (3, ""), (4, None), (None, a), (None, a)])
+
+
 def test_fewest_sequences():
     """The plan over counts opens as many sequences as best-fit over single pieces in falling order."""
     import random
