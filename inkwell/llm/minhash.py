@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.llm.workers import give_back
 from inkwell.operators.graph import connected_components
 from inkwell.session import stored
 
@@ -41,7 +42,7 @@ SAMPLES, BITS = 120, 512
 BLOCK = 256
 #: A key with one row in so many is joined by broadcast.
 HOT = 1_000
-#: Most words whose hashes a worker remembers.
+#: Most words whose hashes a worker remembers within a task.
 CACHE = 300_000
 
 _WORDS: dict[bytes, int] = {}
@@ -61,6 +62,12 @@ def word_hashes(text: bytes) -> np.ndarray:
     return np.array(found, np.uint64)
 
 
+def forget_words() -> None:
+    """Forget the words that ``word_hashes`` remembers; the next task's memory is its own."""
+    _WORDS.clear()
+    give_back()
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection that spreads all bits."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
@@ -147,6 +154,9 @@ def signatures(docs: DataFrame, words: int, rows: int) -> DataFrame:
                     ],
                     ["doc_id", "n_shingles", "f1", "f2", "bands", "sketch"],
                 )
+            batch = whole = None
+            give_back()
+        forget_words()
 
     return docs.mapInArrow(run, schema)
 
@@ -163,6 +173,9 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["id", "n", "shingles"]
                 )
+            batch = whole = None
+            give_back()
+        forget_words()
 
     return docs.mapInArrow(run, schema)
 
@@ -249,6 +262,7 @@ def sketch_forest(banded: DataFrame, percent: int, limit: int) -> DataFrame:
                 near = (far <= limit) & (100 * np.minimum.outer(sizes, sizes) >= percent * np.maximum.outer(sizes, sizes))
                 a, b = forest(near, ids)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        give_back()
 
     return in_blocks(banded, "key").mapInArrow(run, "a long, b long")
 
@@ -265,6 +279,7 @@ def confirmed_forest(members: DataFrame, percent: int) -> DataFrame:
                 common = common_counts(np.asarray(sets.flatten()), sizes).astype(np.int64)
                 a, b = forest(100 * common >= percent * (sizes[:, None] + sizes[None, :] - common), ids)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        give_back()
 
     return in_blocks(members, "group").mapInArrow(run, "a long, b long")
 

@@ -21,16 +21,18 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.llm.workers import give_back
 from inkwell.session import stored
 
-#: Most words whose ids a worker remembers.
-CACHE = 900_000
+#: Most words whose ids a worker remembers, and the first ones, mostly frequent, that outlive a full table.
+CACHE, LASTING = 400_000, 200_000
 #: Pieces that a share of a length is to hold about.
 SHARE = 20_000
 
@@ -81,6 +83,14 @@ class WordTokenizer:
         self.marks = [item["content"][:2] for item in data["added_tokens"]]
         self.reset()
 
+    def forget(self) -> None:
+        """Keep the words that came first."""
+        lasting = min(LASTING, len(self.index))
+        words = list(islice(self.index, lasting))
+        self.index.clear()
+        self.index.update(zip(words, range(lasting), strict=True))
+        self.used = int((self.start[:lasting] + self.size[:lasting]).max(initial=0))
+
     def reset(self) -> None:
         """Forget what was cached."""
         self.index = Numbers()
@@ -126,7 +136,9 @@ class WordTokenizer:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         if len(self.index) > CACHE or self.used > 16 * CACHE:
-            self.reset()
+            self.forget()
+            if self.used > 8 * CACHE:
+                self.reset()
         number = self.index.__getitem__
         found = [np.fromiter(map(number, words), np.int64, len(words)) for words in map(self._words, texts)]
         if self.index.new:
@@ -159,6 +171,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id
     schema = f"doc_id {source.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         words = shared_tokenizer(spec.value)
         end = int(end_id).to_bytes(4, "little")
         for whole in batches:
@@ -176,6 +189,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id
                         sums.append(zlib.crc32(whole_ids[4 * start : 4 * (start + capacity)]))
                 columns = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(pieces, pa.int32()), *(pa.array(x, pa.int64()) for x in (starts, lengths, sums))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
+            batch = columns = whole = None
+            give_back()
 
     return source.mapInArrow(run, schema)
 

@@ -526,3 +526,25 @@ def test_minhash_brute_force(spark, words, percent, monkeypatch):
     _, part = brute_components(rows, words, percent)
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words, percent).collect()
     assert {r.doc_id: r.component_id for r in got} == part
+
+
+def test_words_outlive_a_full_table(monkeypatch):
+    """Ids stay the library's when words are forgotten again and again."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from inkwell.llm import packing
+
+    monkeypatch.setattr(packing, "CACHE", 60)
+    monkeypatch.setattr(packing, "LASTING", 25)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    library.no_truncation()
+    with open(path, encoding="utf-8") as file:
+        words = packing.WordTokenizer(file.read())
+    choose = random.Random(11)
+    some = ["".join(choose.choice("abcdeé漢1.,'") for _ in range(choose.randint(1, 9))) for _ in range(400)]
+    for _ in range(60):
+        texts = [" ".join(choose.choice(some) for _ in range(choose.randint(0, 30))) for _ in range(4)]
+        want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+        assert [ids.tolist() for ids in words.encode(texts)] == want
