@@ -130,10 +130,11 @@ def paragraphs(text: Column) -> Column:
 
 
 def char_grams(text: Column, size: int) -> Column:
-    """Distinct character n-grams."""
+    """Distinct character n-grams, from the text's array of characters, as a place in a string takes a walk to it."""
     count = F.length(text) - size + 1
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.substring(text, i, F.lit(size)))
-    return F.when(count > 0, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+    grams = lambda c: F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.concat(*[F.try_element_at(c, i + k) for k in range(size)]))
+    found = F.element_at(F.transform(F.array(F.split(text, "")), grams), 1)
+    return F.when(count > 0, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
 
 
 def jaccard(left: Column, right: Column) -> Column:

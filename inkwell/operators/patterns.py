@@ -9,15 +9,18 @@ from inkwell.operators.fingerprint import blocked_pairs
 from inkwell.session import stored
 
 
-def shared_terms(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def shared_terms(left: DataFrame, right: DataFrame, keys: list[str], blocks: int = 16) -> DataFrame:
     """Jaccard of term sets for pairs that share a term: keys, left, right, jaccard.
 
     Both frames have the keys, id and terms. Pairs meet on terms, so those without a
-    common term, whose Jaccard is 0, are never made.
+    common term, whose Jaccard is 0, are never made. Right rows lie in ``blocks`` by their
+    id, and left rows visit each, so that a frequent term isn't one task's.
     """
     a = left.select(*keys, F.col("id").alias("left"), F.size("terms").alias("na"), F.explode("terms").alias("term"))
+    a = a.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     b = right.select(*keys, F.col("id").alias("right"), F.size("terms").alias("nb"), F.explode("terms").alias("term"))
-    both = a.join(b, [*keys, "term"]).groupBy(*keys, "left", "right", "na", "nb").agg(F.count("*").alias("n"))
+    b = b.withColumn("block", F.pmod(F.xxhash64("right"), F.lit(blocks)))
+    both = a.join(b, [*keys, "term", "block"]).groupBy(*keys, "left", "right", "na", "nb").agg(F.count("*").alias("n"))
     return both.withColumn("jaccard", F.col("n") / (F.col("na") + F.col("nb") - F.col("n"))).drop("na", "nb", "n")
 
 

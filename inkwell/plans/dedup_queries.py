@@ -51,7 +51,7 @@ def _texts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         (F.least("left_n_chars", "right_n_chars") / F.greatest("left_n_chars", "right_n_chars")).alias("length_ratio"), F.least("left_n_chars", "right_n_chars").alias("chars"),
         (F.col("left_raw") == F.col("right_raw")).alias("same_raw"), (F.col("left_logical") == F.col("right_logical")).alias("same_text"), F.lit(1.0).alias("order"), F.lit(True).alias("consistent"),
     )
-    return members.join(lists.select(F.col("id").alias("head"), F.size("a").cast("long").alias("anchors")), "head"), evidence
+    return members.join(lists.select(F.col("id").alias("head"), F.size("a").cast("long").alias("anchors")), "head", "left"), evidence
 
 
 def _relation(evidence: DataFrame) -> DataFrame:
@@ -87,13 +87,15 @@ def near_dup_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH RECURSIVE {_RELATED}, edge AS (SELECT "left" AS a, "right" AS b FROM rel WHERE relation IN ('byte_exact', 'text_exact', 'same_edition', 'same_work_version')),
-both_ways AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge), reach AS (SELECT a AS node, a AS other FROM both_ways UNION SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON reach.other = both_ways.a)
+equal AS (SELECT doc_id AS a, min(doc_id) OVER (PARTITION BY sha256(regexp_replace(text, '\\s+', '', 'g'))) AS b FROM documents WHERE text IS NOT NULL),
+same AS (SELECT a, b FROM edge UNION SELECT a, b FROM equal WHERE a <> b), both_ways AS (SELECT a, b FROM same UNION SELECT b, a FROM same), reach AS (SELECT a AS node, a AS other FROM both_ways UNION SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON reach.other = both_ways.a)
 SELECT node, min(other) AS component FROM reach GROUP BY 1""")
 def near_dup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GD5, SO3: works, as components of automatic relations."""
+    """GD5, SO3: works, as components of automatic relations; texts that are equal but for white space link with or without anchors."""
     members, evidence = _texts(spark, sf_dir)
+    first = members.groupBy("logical").agg(F.min("id").alias("left"))
     auto = _relation(evidence.withColumn("same_title", F.lit(False))).where(F.col("relation").isin("byte_exact", "text_exact", "same_edition", "same_work_version"))
-    copies = members.where("anchors >= 4 AND id <> head").select(F.col("head").alias("left"), F.col("id").alias("right"))
+    copies = members.select("logical", F.col("id").alias("right")).join(first, "logical").select("left", "right")
     return connected_components(P.edges_of(auto.select("left", "right").union(copies), "left", "right"), "left", "right")
 
 

@@ -8,31 +8,33 @@ from pyspark.sql import functions as F
 from inkwell.operators import patterns as P
 from inkwell.plans.registry import query, table
 
-_TERMS = "list_sort(list_distinct(list_filter(regexp_split_to_array(lower(substr(text, 1, 300)), '[^a-z]+'), lambda x: length(x) >= 7)))"
+_TERMS = "list_sort(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: length(x) >= 7)))"
 _T = f"t AS (SELECT doc_id AS id, lang, source, n_chars, {_TERMS} AS terms FROM documents), x AS (SELECT id, lang, source, n_chars, len(terms) AS n, unnest(terms) AS term FROM t)"
-_PAIR = f"""WITH {_T}, p AS (SELECT a.lang, a.id AS l, b.id AS r, count(*) / (min(a.n) + min(b.n) - count(*)) AS jaccard FROM x a JOIN x b ON a.lang = b.lang AND a.term = b.term AND a.id % 10 = 0 AND b.id % 10 <> 0 GROUP BY 1, 2, 3)"""
+_PAIR = f"""WITH {_T}, p AS (SELECT a.lang, a.id AS l, b.id AS r, count(*) / (min(a.n) + min(b.n) - count(*)) AS jaccard FROM x a JOIN x b ON a.lang = b.lang AND a.term = b.term AND a.id % 50 = 0 AND a.id <> b.id GROUP BY 1, 2, 3)"""
 
 
-def _instances(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    """Terms of openings, as the SQL has them, or of whole texts."""
-    text = F.col("text") if whole else F.substring("text", 1, 300)
-    words = F.array_sort(F.array_distinct(F.filter(F.split(F.lower(text), "[^a-z]+"), lambda x: F.length(x) >= 7)))
+def _instances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms of whole texts."""
+    words = F.array_sort(F.array_distinct(F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda x: F.length(x) >= 7)))
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", "source", "n_chars", words.alias("terms"))
 
 
+def _searched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _instances(spark, sf_dir)
+    return P.shared_terms(rows.where("id % 50 = 0"), rows, ["lang"]).where(F.col("left") != F.col("right"))
+
+
 @query(f'{_PAIR} SELECT lang, l AS "left", r AS "right", jaccard FROM p QUALIFY row_number() OVER (PARTITION BY lang, l ORDER BY jaccard DESC, r) <= 6')
 def shortlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The six nearest existing patterns of each candidate."""
-    rows = _instances(spark, sf_dir)
-    return P.nearest(P.shared_terms(rows.where("id % 10 = 0"), rows.where("id % 10 <> 0"), ["lang"]), ["lang"], 6).drop("rank")
+    """The six nearest patterns of each candidate. A search: ids divisible by 50 look through all rows but themselves."""
+    return P.nearest(_searched(spark, sf_dir), ["lang"], 6).drop("rank")
 
 
 @query(f"""{_PAIR} SELECT lang, l AS "left", r AS "right", 0.6 * least(1.0::DOUBLE, (r % 3) / 2) + 0.3 * jaccard + CASE WHEN l % 2 = r % 2 THEN 0.1 ELSE 0.0 END::DOUBLE AS score FROM p
 QUALIFY row_number() OVER (PARTITION BY lang, l ORDER BY 0.6 * least(1.0::DOUBLE, (r % 3) / 2) + 0.3 * jaccard + CASE WHEN l % 2 = r % 2 THEN 0.1 ELSE 0.0 END::DOUBLE DESC, r) <= 2""")
 def cross_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J12 in part: scored relations, two for each source."""
-    rows = _instances(spark, sf_dir)
-    pairs = P.shared_terms(rows.where("id % 10 = 0"), rows.where("id % 10 <> 0"), ["lang"])
+    """J12 in part: scored relations, two for each source, searched for as in ``shortlist``."""
+    pairs = _searched(spark, sf_dir)
     score = P.relation_score(F.col("right") % 3, F.col("jaccard"), F.col("left") % 2 == F.col("right") % 2)
     return P.nearest(pairs.withColumn("score", score), ["lang"], 2, "score").drop("rank", "jaccard")
 
@@ -132,5 +134,5 @@ def merged_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def suppressed_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GD9, AG15 in part: greedy suppression of near-duplicate patterns; tests hold it against a plain loop."""
-    rows = _instances(spark, sf_dir, whole=True).select("lang", F.col("id").cast("string").alias("name"), F.col("n_chars").alias("support"), "terms")
+    rows = _instances(spark, sf_dir).select("lang", F.col("id").cast("string").alias("name"), F.col("n_chars").alias("support"), "terms")
     return P.suppressed(rows, "lang", "name", "support", "terms", 0.5)

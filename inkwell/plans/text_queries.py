@@ -98,13 +98,13 @@ def distinct_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.size(items).cast("long").alias("n_items"))
 
 
-@query(r"""WITH d AS (SELECT doc_id, substr(lower(text), 1, 60) AS t FROM documents), g AS (
-SELECT doc_id, list_distinct([substr(t, i::BIGINT, 3) for i in range(1, length(t) - 1)]) AS g FROM d)
+@query(r"""WITH d AS (SELECT doc_id, string_split(lower(text), '') AS c FROM documents), g AS (
+SELECT doc_id, list_distinct([c[i::BIGINT] || c[i::BIGINT + 1] || c[i::BIGINT + 2] for i in range(1, len(c) - 1)]) AS g FROM d)
 SELECT a.doc_id, len(a.g) AS n_grams, CASE WHEN len(list_distinct(list_concat(a.g, b.g))) = 0 THEN 0.0 ELSE len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))) END AS jaccard
 FROM g a JOIN g b ON b.doc_id = a.doc_id + 1""")
 def gram_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FN5, SO2: Jaccard of character 3-grams of the openings of neighbouring documents."""
-    grams = table(spark, sf_dir, "documents").select("doc_id", T.char_grams(F.substring(F.lower("text"), 1, 60), 3).alias("g"))
+    """FN5, SO2: Jaccard of character 3-grams of neighbouring documents, over whole texts."""
+    grams = table(spark, sf_dir, "documents").select("doc_id", T.char_grams(F.lower("text"), 3).alias("g"))
     other = grams.select((F.col("doc_id") - 1).alias("doc_id"), F.col("g").alias("h"))
     return grams.join(other, "doc_id").select("doc_id", F.size("g").cast("long").alias("n_grams"), T.jaccard(F.col("g"), F.col("h")).alias("jaccard"))
 

@@ -33,3 +33,13 @@ def test_large_groups_stay_together(spark, tmp_path):
     assert all(found[name].count() == 140 * 139 // 2 for name in ("near_dup_candidates", "near_dup_relations", "sketch_order"))
     kinds = {r.relation: r.n for r in found["near_dup_relations"].groupBy("relation").agg(F.count("*").alias("n")).collect()}
     assert kinds == {"byte_exact": 70 * 69 // 2, "same_edition": 70 * 70 + 70 * 69 // 2}
+
+
+def test_short_copies_are_one_work(spark, tmp_path):
+    from inkwell.plans import QUERIES
+
+    texts = ["one line", "one line", "other line", "one  line\n", None, None, "", "other  line"]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.node: r.component for r in QUERIES["near_dup_components"](spark, str(tmp_path)).collect()}
+    assert got == {0: 0, 1: 0, 3: 0, 2: 2, 7: 2}
