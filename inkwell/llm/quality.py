@@ -1,11 +1,16 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model.
 
-The model is fitted on a bounded sample of trusted documents (label quality 1). Its
-trigrams are counted and joined with the counts of their contexts in Spark, all by
-64-bit keys of words: highest-order counts, continuation counts below, discounts from
-the counts of counts, and the weight that each context leaves to the order below. The
-sample bounds the tables, so they go to all workers, which join a text's n-grams with them
-by sorted keys. A document's mean log probability is drawn towards the trusted mean
+The model is fitted on all trusted documents (label quality 1, not toxic) but a fixed
+share, by the hash of the id, that gives the limits. Its trigrams are counted in shards
+by their middle word, so that a shard holds all that a pair or a context of that word
+counts: highest-order counts, continuation counts below, and the weight that each context
+leaves to the order below. Discounts come from the counts of counts of all shards. Words'
+own counts are summed over the shards and joined to those that ask for them. A text's
+trigrams go to the same shards, which answer with sums by text; nothing of the model goes
+to the driver or to all workers but a bounded number of words. A text's log probability
+is a sum of one term for each n-gram: the words' own, and what the pair, the trigram and the
+contexts change about it. The shards take turns, so that only a part of all trigrams
+is on disk at a time. A document's mean log probability is drawn towards the trusted mean
 as if it had a few more words, so a short text isn't rejected for a rare word. Limits are
 quantiles of trusted documents that are never fitted on, by language, less a margin.
 
@@ -18,7 +23,9 @@ are carried along; an empty table gives an empty result; other columns are carri
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +34,10 @@ from pyspark.sql import functions as F
 
 from inkwell.llm.minhash import forget_words, mixed, word_hashes
 from inkwell.llm.workers import give_back
-from inkwell.session import stored
+from inkwell.session import drop_stored, stored
 
-#: Most trusted documents that the model is fitted on, and the longest of them in characters.
-TRUSTED, LONGEST = 2_500, 20_000
+#: Bytes of trusted text a shard in a turn, turns, tokens that are dealt out together, words whose own probability goes to all workers.
+SHARD, TURNS, TOGETHER, FREQUENT = 8 << 20, 3, 1 << 19, 200_000
 #: One trusted document in so many, by the hash of its id, is never fitted on; the limits come from these.
 HELD = 5
 #: Words by which a short text's mean is drawn towards the trusted mean.
@@ -38,20 +45,36 @@ DRAWN = 20
 #: The share of trusted documents below a limit, the margin in log10 a word, and the least documents for a limit of a language's own.
 QUANTILE, MARGIN, LEAST = 0.002, 0.15, 50
 
-_START = np.uint64(0x5BD1E9955BD1E995)
+#: Bits of a word's hash; as what stands before a text's first word.
+_WORD = np.uint64((1 << 48) - 1)
+_START = np.uint64(0x1BD1E9955BD1)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+#: Rows of shards. Kinds: 0 trigrams of the model with counts, 1 trigrams of texts, 2 sums and lengths of texts, 3 words of texts.
+_NAMES = ["shard", "kind", "two", "before", "word", "n", "key"]
+_SCHEMA = "shard int, kind int, two binary, before binary, word binary, n binary, key binary"
+
+
+def released(df: DataFrame, name: str) -> DataFrame:
+    """``stored``, and the files of the shuffles that led there are deleted at once, not when the driver's memory is next collected."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return stored(df, name)
+    finally:
+        conf.set(key, before)
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mixed(mixed(a * _GOLDEN) + b)
 
 
-def keys_of(hashes: np.ndarray) -> list[np.ndarray]:
-    """Keys of each word alone, with the word before, and with two; then of the word before, and of the two before."""
-    before = np.concatenate([[_START], hashes[:-1]]) if len(hashes) else hashes
-    two = np.concatenate([[_START], before[:-1]]) if len(hashes) else hashes
-    context = _pair(two, before)
-    return [hashes, _pair(before, hashes), _pair(context, hashes), before, context]
+def parts_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each word with the two before it, as 48 bits of their hashes: two before, one before, the word."""
+    words = hashes & _WORD
+    before = np.concatenate([[_START], words[:-1]]) if len(words) else words
+    two = np.concatenate([[_START], before[:-1]]) if len(words) else words
+    return two, before, words
 
 
 def discounts(counts: dict[int, int]) -> tuple[float, float, float]:
@@ -64,55 +87,106 @@ def discounts(counts: dict[int, int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k - 0.05) for k, d in enumerate(raw, 1))
 
 
-class Model:
-    """Sorted keys of words, pairs and triples with what is looked up by them.
+def _off(n: np.ndarray, by_count: tuple[float, float, float]) -> np.ndarray:
+    """What each count is discounted by."""
+    return np.array([0.0, *by_count])[np.minimum(n, 3)]
 
-    A pair's key is also the key of the context that it makes for the word behind it, as a word's key is, so one
-    search gives both an n-gram's share and its weight as a context.
-    """
 
-    def __init__(self, grams: list[tuple[np.ndarray, np.ndarray]], contexts: list[tuple[np.ndarray, np.ndarray]], unknown: float):
-        self.unknown = unknown
-        self.words = self._joined(grams[0], contexts[0], unknown)
-        self.pairs = self._joined(grams[1], contexts[1], 0.0)
-        self.triples = self._joined(grams[2], (np.zeros(0, np.uint64), np.zeros(0)), 0.0)
-        start = np.array([_START], np.uint64)
-        self.start_word = self._look(self.words, start, unknown)[1][0]
-        self.start_pair = self._look(self.pairs, _pair(start, start), 0.0)[1][0]
-
-    @staticmethod
-    def _joined(grams: tuple[np.ndarray, np.ndarray], contexts: tuple[np.ndarray, np.ndarray], absent: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        keys = np.union1d(grams[0], contexts[0])
-        shares, weights = np.full(len(keys), absent), np.ones(len(keys))
-        shares[np.searchsorted(keys, grams[0])] = grams[1]
-        weights[np.searchsorted(keys, contexts[0])] = contexts[1]
-        return keys, shares, weights
-
-    @staticmethod
-    def _look(table: tuple[np.ndarray, np.ndarray, np.ndarray], keys: np.ndarray, absent: float) -> tuple[np.ndarray, np.ndarray]:
-        """Shares and context weights of keys; ``absent`` and 1 for those that the table lacks."""
-        known, shares, weights = table
-        if not len(known):
-            return np.full(len(keys), absent), np.ones(len(keys))
-        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        found = known[at] == keys
-        return np.where(found, shares[at], absent), np.where(found, weights[at], 1.0)
+def _packed(x: np.ndarray) -> np.ndarray:
+    """The low six bytes of each number."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
 
-    def log_probabilities(self, hashes: np.ndarray) -> np.ndarray:
-        """log10 of each word's probability after the two before it."""
-        _, two, three, _, _ = keys_of(hashes)
-        p, as_context = self._look(self.words, hashes, self.unknown)
-        before = np.concatenate([[self.start_word], as_context[:-1]])
-        # Only words that the model knows are the second of a pair, only pairs that it knows begin a triple.
-        pair, pair_as_context = np.zeros(len(hashes)), np.ones(len(hashes))
-        some = np.flatnonzero((p != self.unknown) & (before != 1.0))
-        pair[some], pair_as_context[some] = self._look(self.pairs, two[some], 0.0)
-        p = pair + before * p
-        context = np.concatenate([[self.start_pair], pair_as_context[:-1]])
-        triple = np.zeros(len(hashes))
-        some = np.flatnonzero((context != 1.0) & (pair > 0))
-        triple[some] = self._look(self.triples, three[some], 0.0)[0]
-        return np.log10(triple + context * p)
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    out = np.zeros((len(blob) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
+def _shard(words: np.ndarray, shards: int) -> np.ndarray:
+    return (mixed(words) % np.uint64(shards)).astype(np.int32)
+
+
+def _cuts(shard: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard that occurs and the places of its rows, in ``order``."""
+    if not len(order):
+        return
+    dealt = shard[order]
+    starts = np.flatnonzero(np.diff(dealt, prepend=-1))
+    for low, high in zip(starts, np.append(starts[1:], len(dealt)), strict=True):
+        yield int(dealt[low]), order[low:high]
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], _NAMES)
+
+
+def count_trigrams(texts: DataFrame, shards: int) -> DataFrame:
+    """Trigrams of texts with their counts in a group of texts, dealt by the middle word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            two, before, words = (np.concatenate(x) for x in zip(*[parts_of(h) for _, h in group], strict=True))
+            _, first, n = np.unique(_pair(_pair(two, before), words), return_index=True, return_counts=True)
+            two, before, words = two[first], before[first], words[first]
+            shard = _shard(before, shards)
+            rows = [(s, 0, _packed(two[at]).tobytes(), _packed(before[at]).tobytes(), _packed(words[at]).tobytes(), n[at].astype("<u4").tobytes(), b"") for s, at in _cuts(shard, np.lexsort((before, shard)))]
+            yield _batch(rows)
+        forget_words()
+
+    return texts.select(F.col("text").cast("binary"), F.lit(0).cast("long").alias("key")).mapInArrow(run, _SCHEMA)
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """(key, hashes) of texts with words, about TOGETHER tokens a list."""
+    held, total = [], 0
+    for batch in batches:
+        for text, key in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            hashes = word_hashes(text.as_py() or b"")
+            if len(hashes):
+                held.append((key, hashes))
+                total += len(hashes)
+            if total >= TOGETHER or len(held) >= 1 << 16:
+                yield held
+                held, total = [], 0
+    if held:
+        yield held
+
+
+class Trigrams:
+    """The distinct trigrams of a shard, with the pairs and contexts that they make. All trigrams of a middle word are in one shard."""
+
+    def __init__(self, rows: list[tuple]):
+        two, before, words = (_unpacked(b"".join(r[k] for r in rows)) for k in range(3))
+        n = np.frombuffer(b"".join(r[3] for r in rows), "<u4")
+        self.context = _pair(two, before)
+        self.key, first, inverse = np.unique(_pair(self.context, words), return_index=True, return_inverse=True)
+        self.n = np.bincount(inverse, n, len(self.key)).astype(np.int64)
+        before, words = before[first], words[first]
+        self.contexts, self.of_context = np.unique(self.context[first], return_inverse=True)
+        self.pair, first, self.of_pair = np.unique(_pair(before, words), return_index=True, return_inverse=True)
+        self.pair_n = np.bincount(self.of_pair, minlength=len(self.pair))
+        self.pair_word = words[first]
+        self.before, self.of_before = np.unique(before[first], return_inverse=True)
+
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        """Words and the number of pairs here that they end."""
+        return np.unique(self.pair_word, return_counts=True)
+
+
+def _shares(n: np.ndarray, group: np.ndarray, by_count: tuple[float, float, float]) -> tuple[np.ndarray, np.ndarray]:
+    """Each one's discounted share of its group, and what a group leaves to the order below."""
+    off = _off(n, by_count)
+    total = np.bincount(group, n)
+    return (n - off) / total[group], np.bincount(group, off) / total
+
+
+def _find(known: np.ndarray, keys: np.ndarray, values: np.ndarray, absent: float = 0.0) -> np.ndarray:
+    if not len(known):
+        return np.full(len(keys), absent)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, values[at], absent)
 
 
 def trusted_ids(labels: DataFrame, held: bool) -> DataFrame:
@@ -122,76 +196,181 @@ def trusted_ids(labels: DataFrame, held: bool) -> DataFrame:
     return ids.where(share if held else ~share).distinct()
 
 
-def trusted_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """At most TRUSTED trusted texts, by the hash of their ids."""
-    chosen = docs.where(F.length("text").between(1, LONGEST)).join(trusted_ids(labels, False), "doc_id", "left_semi").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED)
-    ids = [row[0] for row in chosen.collect()]  # TRUSTED at most
-    return docs.where(F.col("doc_id").isin(ids) & (F.length("text") <= LONGEST)).select("text") if ids else docs.select("text").limit(0)
+def trusted_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The texts of all trusted documents that may be fitted on."""
+    return docs.join(trusted_ids(labels, False), "doc_id", "left_semi").select("text")
 
 
-def fit(texts: DataFrame) -> Model:
-    """The model of a bounded number of texts."""
+class Model:
+    """Trigram counts in shards, the words that each shard needs, and what is known of all counts together."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [keys_of(word_hashes(text or b"")) for text in batch.column(0).to_pylist()]
-            columns = [np.concatenate([p[k] for p in parts]).astype(np.uint64).view(np.int64) for k in range(5)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["k1", "k2", "k3", "before", "context"])
-        forget_words()
+    def __init__(self, trigrams: DataFrame, words: DataFrame, shards: int, off: list[tuple[float, float, float]], pairs: int, unknown: float, frequent: tuple[np.ndarray, np.ndarray]):
+        self.trigrams, self.words, self.shards, self.off, self.pairs, self.unknown, self.frequent = trigrams, words, shards, off, pairs, unknown, frequent
 
-    words = texts.select(F.col("text").cast("binary")).mapInArrow(run, "k1 long, k2 long, k3 long, before long, context long")
-    three = stored(words.groupBy("k3", "context", "k2", "before", "k1").agg(F.count("*").alias("n")), "trigrams").withColumnRenamed("k3", "key")
-    two = three.groupBy("k2", "before", "k1").agg(F.count("*").alias("n")).withColumnRenamed("k2", "key").withColumnRenamed("before", "context")
-    one = two.groupBy("k1").agg(F.count("*").alias("n")).withColumnRenamed("k1", "key").withColumn("context", F.lit(0).cast("long"))
-    grams, contexts = [], []
-    unknown = 1e-7
-    for order, counted in enumerate((one, two, three)):
-        d1, d2, d3 = discounts({row["k"]: row["many"] for row in counted.groupBy(F.least("n", F.lit(5)).alias("k")).agg(F.count("*").alias("many")).collect()})
-        discount = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        left = counted.groupBy("context").agg(F.sum("n").alias("total"), (F.sum(discount) / F.sum("n")).alias("weight"))
-        shares = counted.join(left, "context").select("key", ((F.col("n") - discount) / F.col("total")).alias("p"))
-        columns = shares.toArrow()
-        keys, values = (np.asarray(columns[c].combine_chunks()) for c in ("key", "p"))
-        keys = keys.view(np.uint64)
-        sort = np.argsort(keys)
-        keys, values = keys[sort], values[sort].astype(np.float64)
-        weights = left.select("context", "weight").toArrow()
-        if order == 0:
-            # What is left goes to all words and one unknown word alike.
-            rest = weights["weight"][0].as_py() if weights.num_rows else 1.0
-            unknown = rest / (len(keys) + 1)
-            values = values + unknown
-        else:
-            context = np.asarray(weights["context"].combine_chunks()).view(np.uint64)
-            sort_context = np.argsort(context)
-            contexts.append((context[sort_context], np.asarray(weights["weight"].combine_chunks())[sort_context]))
-        grams.append((keys, values))
-    return Model(grams, contexts, unknown)
-
-
-def with_scores(docs: DataFrame, model: Model, text: str) -> DataFrame:
-    """The same rows without the string column ``text``, with total, the sum of log10 probabilities, and words, their number.
-
-    Only texts go to the Python workers and only the two numbers come back; the rows wait in the JVM, which spills them.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
-            sums, counts = np.zeros(len(column)), np.zeros(len(column), np.int64)
-            for at, value in enumerate(column):
-                hashes = word_hashes(value.as_py() or b"")
-                counts[at] = len(hashes)
-                if len(hashes):
-                    sums[at] = shared.value.log_probabilities(hashes).sum()
-            value = column = None
-            yield pa.StructArray.from_arrays([pa.array(sums), pa.array(counts)], names=["total", "words"])
+    def log_probabilities(self, hashes: np.ndarray) -> np.ndarray:
+        """log10 of each word's probability after the two before it, for a text."""
+        spark = self.words.sparkSession
+        # A text that begins with the same words has the same probabilities for them.
+        rows = [(k, (hashes[:k].astype("<u8")).tobytes()) for k in range(1, len(hashes) + 1)]
+        frame = spark.createDataFrame(rows, "key long, text binary")
+        sums = {r["key"]: r["total"] for r in self.sums(frame, hashed=True).collect()}
+        return np.diff([sums.get(k, 0.0) for k in range(1, len(hashes) + 1)], prepend=0.0)
+
+    def sums(self, texts: DataFrame, hashed: bool = False) -> DataFrame:
+        """key, total, words: the sum of log10 probabilities and the number of words of the texts in rows (key, text).
+
+        Rows with a key have equal texts. Texts without words give no row.
+        """
+        added = [F.sum(c).alias(c) for c in ("total", "words", "copies")]
+        found = []
+        for turn in range(TURNS):
+            found.append(released(self._turn(texts, turn, hashed).groupBy("key").agg(*added), "sums"))
+        whole = reduce(DataFrame.unionByName, found).groupBy("key").agg(*added)
+        return whole.select("key", (F.col("total") / F.col("copies")).alias("total"), (F.col("words") / F.col("copies")).cast("long").alias("words"))
+
+    def _turn(self, texts: DataFrame, turn: int, hashed: bool) -> DataFrame:
+        """Sums over the shards of a turn, in several rows a key."""
+        spark = texts.sparkSession
+        shards, off, pairs, unknown = self.shards, self.off, self.pairs, self.unknown
+        frequent = spark.sparkContext.broadcast(self.frequent)
+
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, logs = frequent.value
+            groups = _groups(batches) if not hashed else [[(k, np.frombuffer(t, "<u8")) for b in batches for t, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]]
+            for group in filter(None, groups):
+                keys = np.array([k for k, _ in group], "<i8")
+                of = np.repeat(np.arange(len(group), dtype="<u2"), [len(h) for _, h in group])
+                two, before, words = (np.concatenate(x) for x in zip(*[parts_of(h) for _, h in group], strict=True))
+                shard = _shard(before, shards)
+                here = np.flatnonzero(shard % TURNS == turn)
+                here = here[np.lexsort((before[here], shard[here]))]
+                rows = []
+                for s, at in _cuts(shard, here):
+                    rows.append((s, 1, _packed(two[at]).tobytes(), _packed(before[at]).tobytes(), _packed(words[at]).tobytes(), of[at].tobytes(), keys.tobytes()))
+                # Frequent words' own probabilities are known here, the others are asked for.
+                home = _shard(words, shards)
+                here = np.flatnonzero(home % TURNS == turn)
+                own = _find(known, words[here], logs, 1.0)
+                sums = np.bincount(of[here], np.where(own < 1.0, own, 0.0), len(group))
+                lengths = np.bincount(of, minlength=len(group)) if turn == 0 else np.zeros(len(group), np.int64)
+                any_shard = turn + TURNS * (int(keys[0]) % (shards // TURNS))
+                rows.append((any_shard, 2, sums.tobytes(), lengths.astype("<i8").tobytes(), b"", b"", keys.tobytes()))
+                here = here[own == 1.0]
+                for s, at in _cuts(home, here[np.lexsort((words[here], home[here]))]):
+                    rows.append((s, 3, b"", b"", _packed(words[at]).tobytes(), of[at].tobytes(), keys.tobytes()))
+                two = before = words = None
+                yield _batch(rows)
+            forget_words()
+
+        def answer(own_words: pa.Table, blobs: pa.Table) -> pa.Table:
+            kind = blobs.column("kind").to_numpy()
+            columns = [blobs.column(c) for c in _NAMES[2:]]
+            taken = lambda which: (tuple(c[int(i)].as_py() for c in columns) for i in np.flatnonzero(kind == which))
+            word = own_words.column("word").to_numpy().astype(np.uint64)
+            sort = np.argsort(word)
+            c1 = own_words.column("c").to_numpy()[sort]
+            word, p1 = word[sort], (c1 - _off(c1, off[0])) / max(pairs, 1) + unknown
+            log1 = np.log10(p1)
+            train = list(taken(0))
+            if train:
+                t = Trigrams(train)
+                del train
+                share2, left2 = _shares(t.pair_n, t.of_before, off[1])
+                share3, left3 = _shares(t.n, t.of_context, off[2])
+                lower = left2[t.of_before] * _find(word, t.pair_word, p1, unknown)
+                gain2 = np.log10(1 + share2 / lower)
+                gain3 = np.log10(1 + share3 / (left3[t.of_context] * (share2 + lower)[t.of_pair]))
+                left2, left3 = np.log10(left2), np.log10(left3)
+            keys, sums, lengths = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]
+            for own, length, _, _, key in taken(2):
+                keys.append(np.frombuffer(key, "<i8"))
+                sums.append(np.frombuffer(own))
+                lengths.append(np.frombuffer(length, "<i8"))
+            for two, before, words, of, key in taken(1):
+                if kind.min() > 0:
+                    break  # no trigrams in this shard, so the words before leave all to the order below
+                two, before, words = _unpacked(two), _unpacked(before), _unpacked(words)
+                pair, context = _pair(before, words), _pair(two, before)
+                logs = _find(t.before, before, left2) + _find(t.contexts, context, left3) + _find(t.pair, pair, gain2) + _find(t.key, _pair(context, words), gain3)
+                keys.append(np.frombuffer(key, "<i8"))
+                sums.append(np.bincount(np.frombuffer(of, "<u2"), logs, len(keys[-1])))
+            for _, _, words, of, key in taken(3):
+                keys.append(np.frombuffer(key, "<i8"))
+                sums.append(np.bincount(np.frombuffer(of, "<u2"), _find(word, _unpacked(words), log1, math.log10(unknown)), len(keys[-1])))
+            sums, lengths = np.concatenate(sums), np.concatenate(lengths)
+            lengths = np.append(lengths, np.zeros(len(sums) - len(lengths), np.int64))
+            some = np.flatnonzero((sums != 0) | (lengths > 0))
+            key, inverse = np.unique(np.concatenate(keys)[some], return_inverse=True)
+            added = [np.bincount(inverse, x[some], len(key)) for x in (sums, lengths, lengths > 0)]
+            out = pa.table({"key": key, "total": added[0].astype(float), "words": added[1].astype(np.int64), "copies": added[2].astype(np.int64)})
             give_back()
-        forget_words()
-
-    scores = F.arrow_udf(score, "total double, words long")
-    kept = [c for c in docs.columns if c != text]
-    return docs.select(*kept, scores(F.col(text).cast("binary")).alias("score")).select(*kept, "score.total", "score.words")
+            return out
+
+        asked = texts.select(F.col("text").cast("binary"), "key").mapInArrow(ask, _SCHEMA)
+        blobs = self.trigrams.where(F.col("shard") % TURNS == turn).unionByName(asked)
+        return self.words.where(F.col("shard") % TURNS == turn).groupBy("shard").cogroup(blobs.groupBy("shard")).applyInArrow(answer, "key long, total double, words long, copies long")
+
+
+def fit(texts: DataFrame, size: int | None = None) -> Model:
+    """The model of all these texts, which have ``size`` bytes."""
+    if size is None:
+        size = texts.agg(F.sum(F.octet_length(F.col("text").cast("binary")))).first()[0] or 0
+    shards = max(8, math.ceil(size / SHARD)) * TURNS
+    trigrams = released(count_trigrams(texts, shards), "trigrams")
+
+    def words_of(table: pa.Table) -> pa.Table:
+        t = Trigrams(list(zip(*[table.column(c).to_pylist() for c in _NAMES[2:]], strict=True)))
+        words, n = t.words()
+        # The last rows count how many pairs, then trigrams, have the counts 1 to 4.
+        many = [np.bincount(np.minimum(c, 5), minlength=6)[1:5] for c in (t.pair_n, t.n)]
+        shard = table.column("shard")[0].as_py()
+        give_back()
+        return pa.table(
+            {
+                "kind": np.repeat(np.array([0, 1, 2], np.int32), [len(words), 4, 4]),
+                "shard": np.full(len(words) + 8, shard, np.int32),
+                "word": np.concatenate([words.astype(np.int64), [1, 2, 3, 4], [1, 2, 3, 4]]),
+                "home": np.concatenate([_shard(words, shards), np.zeros(8, np.int32)]),
+                "c": np.concatenate([n, *many]).astype(np.int64),
+            }
+        )
+
+    found = released(trigrams.groupBy("shard").applyInArrow(words_of, "kind int, shard int, word long, home int, c long"), "words")
+    counts: list[dict[int, int]] = [{}, {}, {}]
+    for row in found.where("kind > 0").groupBy("kind", "word").agg(F.sum("c").alias("c")).collect():  # eight rows
+        counts[row["kind"]][row["word"]] = row["c"]
+    asked = found.where("kind = 0").select("shard", "word", "home", "c")
+    one = released(asked.groupBy("word", "home").agg(F.sum("c").alias("c")), "word-pairs")
+    for row in one.groupBy(F.least("c", F.lit(5)).alias("k")).agg(F.count("*").alias("many")).collect():  # five rows
+        counts[0][row["k"]] = row["many"]
+    distinct = sum(counts[0].values())
+    pairs = one.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    off = [discounts(c) for c in counts]
+    # What is left goes to all words and one unknown word alike.
+    left = sum(off[0][min(k, 3) - 1] * many for k, many in counts[0].items())
+    unknown = left / pairs / (distinct + 1) if pairs else 1e-7
+    needed = asked.select("shard", "word").join(one.select("word", "c"), "word").unionByName(one.select("word", "c", F.col("home").alias("shard"))).select("shard", "word", "c")
+    words = released(needed.groupBy("shard", "word").agg(F.first("c").alias("c")), "words-by-shard")
+    top = one.orderBy(F.desc("c"), "word").limit(FREQUENT).select("word", "c").toArrow()  # FREQUENT rows at most
+    known, c = top.column("word").to_numpy().astype(np.uint64), top.column("c").to_numpy().astype(np.int64)
+    sort = np.argsort(known)
+    frequent = known[sort], np.log10((c - _off(c, off[0])) / max(pairs, 1) + unknown)[sort]
+    return Model(trigrams, words, shards, off, pairs, unknown, frequent)
+
+
+def with_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, lang, key, total, words of docs (doc_id, lang, text): the text's hash, sum of log10 probabilities, number of words."""
+    key = F.xxhash64(F.col("text").cast("binary")).alias("key")
+    # Lengths alone are joined for the size, so that texts go through one shuffle at most.
+    lengths = docs.select("doc_id", F.octet_length(F.col("text").cast("binary")).alias("size"))
+    size = lengths.join(trusted_ids(labels, False), "doc_id", "left_semi").agg(F.sum("size")).first()[0]
+    model = fit(trusted_texts(docs, labels), size or 0)
+    sums = model.sums(docs.select(key, "text"))
+    scored = docs.select("doc_id", "lang", key).join(sums, "key", "left")
+    scored = released(scored.select("doc_id", "lang", "key", F.coalesce("total", F.lit(0.0)).alias("total"), F.coalesce("words", F.lit(0)).alias("words")), "scored")
+    for table in (model.trigrams, model.words):
+        drop_stored(table)
+    return scored
 
 
 def limits(scored: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float, float]:
@@ -222,8 +401,7 @@ def _judged(scored: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
 def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, lang, n_words, log10_prob, perplexity, mean_log, limit_log, kept."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.col("text").cast("string").alias("text"))
-    model = fit(trusted_sample(source, labels))
-    scored = stored(with_scores(source, model, "text"), "perplexities")
+    scored = with_scores(source, labels)
     judged = _judged(scored, labels, ["doc_id", "lang", "words", "total"])
     perplexity = F.when(F.col("words") > 0, F.pow(F.lit(10.0), -F.col("total") / F.col("words")))
     return judged.select("doc_id", "lang", F.col("words").alias("n_words"), F.col("total").alias("log10_prob"), perplexity.alias("perplexity"), F.col("mean").alias("mean_log"), F.col("limit").alias("limit_log"), "kept")
@@ -232,7 +410,8 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def filter_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows whose text reaches its language's limit, with their columns as they were."""
     source = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "lang", F.col("text").cast("string").alias("text"))
-    model = fit(trusted_sample(source.select("doc_id", "text"), labels))
-    scored = stored(with_scores(source, model, "text"), "scored")
-    judged = _judged(scored.select("row", "doc_id", "lang", "total", "words"), labels, ["row", "words"])
-    return judged.where("kept").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    scored = with_scores(source.select("doc_id", "lang", "text"), labels)
+    dropped = released(_judged(scored, labels, ["key", "lang", "words"]).where("NOT kept").select("key", F.col("lang").alias("its_lang")).distinct(), "dropped")
+    rows = source.select("row", "lang", F.xxhash64(F.col("text").cast("binary")).alias("key"))
+    kept = rows.join(dropped, (rows["key"] == dropped["key"]) & F.col("lang").eqNullSafe(F.col("its_lang")), "left_anti")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

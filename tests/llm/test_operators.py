@@ -180,6 +180,59 @@ def test_kneser_ney_sums_to_one(spark):
         assert abs(total + unknown - 1) < 1e-9
 
 
+def plain_kneser_ney(texts):
+    """log10 of a text's probability, from dictionaries of counts."""
+    from inkwell.llm.quality import discounts
+
+    padded = lambda text: [None, None, *(w.encode().lower() for w in text.split())]
+    three = Counter(tuple(p[k : k + 3]) for p in map(padded, texts) for k in range(len(p) - 2))
+    two = Counter(key[1:] for key in three)
+    one = Counter(key[1:] for key in two)
+    off, left, total = [], [], []
+    for counts in (one, two, three):
+        d = (0, *discounts(Counter(min(n, 5) for n in counts.values())))
+        rest, sums = Counter(), Counter()
+        for key, n in counts.items():
+            rest[key[:-1]] += d[min(n, 3)]
+            sums[key[:-1]] += n
+        off.append(d), left.append(rest), total.append(sums)
+
+    def probability(key):
+        if not key:
+            return left[0][()] / total[0][()] / (len(one) + 1)
+        k, before = len(key) - 1, key[:-1]
+        n, lower = (one, two, three)[k][key], probability(key[1:])
+        if k == 0:
+            return (n - off[0][min(n, 3)]) / total[0][()] + lower
+        return (n - off[k][min(n, 3)] + left[k][before] * lower) / total[k][before] if total[k][before] else lower
+
+    return lambda text: sum(math.log10(probability(tuple(p[k : k + 3]))) for p in [padded(text)] for k in range(len(p) - 2))
+
+
+def test_quality_is_fitted_on_all_trusted_texts(spark, monkeypatch):
+    """More than 2,500 trusted texts, and one of more than 20,000 characters; few words and all of them known to all workers."""
+    from inkwell.llm import quality
+
+    choose = random.Random(4)
+    words = [f"w{k}" for k in range(40)]
+    texts = {i: " ".join(choose.choice(words[: choose.randint(2, 40)]) for _ in range(choose.randint(1, 12))) for i in range(3_200)}
+    texts[3_200] = texts[3_201] = " ".join(f"long{k % 900}" for k in range(3_500))
+    texts |= {3_202: "long1 long2 long3 w1 w2", 3_203: "never seen w0 w0 w1", 3_204: "w1", 3_205: " ", 3_206: texts[3_200]}
+    frame = spark.createDataFrame([(i, t, "en") for i, t in texts.items()] + [(None, None, None)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(3_202)], "doc_id long, quality int, toxic int")
+    fitted = [r.doc_id for r in quality.trusted_ids(labels, False).collect()]
+    assert len(fitted) > 2_500 and {3_200, 3_201} & set(fitted)
+    plain = plain_kneser_ney([texts[i] for i in fitted])
+    want = {i: plain(t) for i, t in texts.items()}
+    for frequent, together in ((200_000, 1 << 19), (8, 500)):
+        monkeypatch.setattr(quality, "FREQUENT", frequent)
+        monkeypatch.setattr(quality, "TOGETHER", together)
+        rows = {r.doc_id: r for r in quality.perplexities(frame, labels).collect()}
+        assert rows.keys() == want.keys() | {None}
+        assert all(rows[i].n_words == len(t.split()) and abs(rows[i].log10_prob - want[i]) < 1e-6 for i, t in texts.items())
+        assert rows[3_200].log10_prob == rows[3_201].log10_prob == rows[3_206].log10_prob
+
+
 def test_hmm(docs, no_docs, monkeypatch):
     from inkwell.llm import hmm
 
