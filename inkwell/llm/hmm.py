@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.llm.workers import give_back
 from inkwell.session import stored
 
 #: Least symbols with an emission of their own (beyond, the root of the number of training tokens), hidden states.
@@ -74,6 +75,7 @@ def count_words(docs: DataFrame) -> DataFrame:
                 if len(counts) >= COUNTED:
                     yield flush()
         yield flush()
+        give_back()
 
     return docs.where("NOT held_out").select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -138,6 +140,7 @@ def encode(docs: DataFrame, frequent: list[bytes], counts: np.ndarray, symbols:
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), other_type]
                 arrays = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([arrays[0], batch.column(0), batch.column(1), *arrays[1:]], names)
+            give_back()
 
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, schema)
 
@@ -344,6 +347,7 @@ def one_round(encoded: DataFrame, model: Model, share: np.ndarray) -> tuple[Mode
         for group in batches_of(texts, TOGETHER):
             a, b, c, d = Stretches(model, [codes for codes, in group]).expected()
             starts, moves, emits, total = starts + a, moves + b, emits + c, total + d
+            give_back()
         # Rows: emissions by symbol, then moves, starts, and the likelihood.
         table = np.concatenate([emits.T, moves, starts[None, :], np.full((1, states), total)])
         some = np.flatnonzero(table.any(1))
@@ -369,9 +373,10 @@ def forward_scores(encoded: DataFrame, model: Model) -> DataFrame:
                 for value, row in zip(batch.column(1), batch.column(0).to_pylist(), strict=True):
                     yield np.frombuffer(value.as_buffer(), code_type), row
 
-        for group in batches_of(texts(), 4 * TOGETHER):
+        for group in batches_of(texts(), TOGETHER):
             logs = Stretches(model, [codes for codes, _ in group]).scores()
             yield pa.RecordBatch.from_arrays([pa.array([row for _, row in group], pa.int64()), pa.array(logs, pa.float64())], ["row", "model_log"])
+            give_back()
 
     return encoded.select("row", "symbols").mapInArrow(run, "row long, model_log double")
 
