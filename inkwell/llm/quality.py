@@ -6,8 +6,11 @@ by their middle word, so that a shard holds all that a pair or a context of that
 counts: highest-order counts, continuation counts below, and the weight that each context
 leaves to the order below. Discounts come from the counts of counts of all shards. Words'
 own counts are summed over the shards and joined to those that ask for them. A text's
-trigrams go to the same shards, which answer with sums by text; nothing of the model goes
-to the driver or to all workers but a bounded number of words. A text's log probability
+trigrams go to the same shards, which answer a group of texts with a row of sums, one for each of its
+texts that asked, so there are never more sums than words; nothing of the model goes
+to the driver or to all workers but a bounded number of words. Words are dealt as hashes;
+those that are frequent in a sample of texts are written as two-byte codes, the others in
+full, so the sample changes what is stored and no result. A text's log probability
 is a sum of one term for each n-gram: the words' own, and what the pair, the trigram and the
 contexts change about it. The shards take turns, so that only a part of all trigrams
 is on disk at a time. A document's mean log probability is drawn towards the trusted mean
@@ -23,21 +26,25 @@ are carried along; an empty table gives an empty result; other columns are carri
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.minhash import forget_words, mixed, word_hashes
+from inkwell.llm.minhash import mixed
 from inkwell.llm.workers import give_back
 from inkwell.session import drop_stored, stored
 
 #: Bytes of trusted text a shard in a turn, turns, tokens that are dealt out together, words whose own probability goes to all workers.
-SHARD, TURNS, TOGETHER, FREQUENT = 8 << 20, 3, 1 << 19, 200_000
+SHARD, TURNS, TOGETHER, FREQUENT = 8 << 20, 4, 1 << 19, 200_000
+#: Words with a code of two bytes, and the texts that they are counted in, about.
+CODES, SAMPLE = 65_535, 4_096
 #: One trusted document in so many, by the hash of its id, is never fitted on; the limits come from these.
 HELD = 5
 #: Words by which a short text's mean is drawn towards the trusted mean.
@@ -49,9 +56,19 @@ QUANTILE, MARGIN, LEAST = 0.002, 0.15, 50
 _WORD = np.uint64((1 << 48) - 1)
 _START = np.uint64(0x1BD1E9955BD1)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-#: Rows of shards. Kinds: 0 trigrams of the model with counts, 1 trigrams of texts, 2 sums and lengths of texts, 3 words of texts.
-_NAMES = ["shard", "kind", "two", "before", "word", "n", "key"]
-_SCHEMA = "shard int, kind int, two binary, before binary, word binary, n binary, key binary"
+#: Rows of shards. Kinds: 0 trigrams of the model with counts, 1 trigrams of texts, 2 keys, sums and lengths of texts, 3 words of texts.
+_NAMES = ["shard", "kind", "group", "two", "before", "word", "rare", "n"]
+_SCHEMA = "shard int, kind int, group long, two binary, before binary, word binary, rare binary, n binary"
+_ANSWERS = "group long, n binary, sums binary, keys binary, lengths binary"
+
+#: The code of a word that is written in full.
+_RARE = np.uint16(65_535)
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Hashes that a worker remembers, by a quicker hash of the word; longer words aren't remembered.
+_SLOTS, _LONG = 21, 64
+_REMEMBERED: list[np.ndarray] = []
 
 
 def released(df: DataFrame, name: str) -> DataFrame:
@@ -69,12 +86,104 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mixed(mixed(a * _GOLDEN) + b)
 
 
-def parts_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each word with the two before it, as 48 bits of their hashes: two before, one before, the word."""
-    words = hashes & _WORD
-    before = np.concatenate([[_START], words[:-1]]) if len(words) else words
-    two = np.concatenate([[_START], before[:-1]]) if len(words) else words
-    return two, before, words
+def hashes_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """What ``word_hashes`` gives for each text, one after the other, and how many words each has."""
+    joined = b" ".join(texts).lower() + b" " * 9
+    solid = ~_SPACE[np.frombuffer(joined, np.uint8)[:-8]]
+    edges = np.flatnonzero(solid[1:] != solid[:-1]) + 1
+    if solid[0]:
+        edges = np.append(0, edges)
+    starts, ends = edges[::2], edges[1::2]
+    length = ends - starts
+    many = np.diff(np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in texts)])))
+    # Eight bytes of each word at a time.
+    eight = np.ndarray((len(joined) - 7,), "<u8", joined, strides=(1,))
+    quick = mixed((eight[starts] & _LOW[np.minimum(length, 8)]) + length.astype(np.uint64) * _GOLDEN)
+    at = np.flatnonzero(length > 8)
+    for k in range(8, _LONG, 8):
+        quick[at] = mixed(quick[at] * _GOLDEN + (eight[starts[at] + k] & _LOW[np.minimum(length[at] - k, 8)]))
+        at = at[length[at] > k + 8]
+    quick |= np.uint64(1)  # an empty slot has 0
+    if not _REMEMBERED:
+        _REMEMBERED.extend(np.zeros(1 << _SLOTS, np.uint64) for _ in range(2))
+    names, values = _REMEMBERED
+    slot = (quick >> np.uint64(64 - _SLOTS)).astype(np.int64)
+    found = values[slot]
+    new = np.flatnonzero((names[slot] != quick) & (length <= _LONG))
+    _, first, inverse = np.unique(quick[new], return_index=True, return_inverse=True)
+    blake = lambda at: np.array([int.from_bytes(hashlib.blake2b(joined[low:high], digest_size=8).digest(), "little") for low, high in zip(starts[at].tolist(), ends[at].tolist(), strict=True)], np.uint64)
+    found[new] = blake(new[first])[inverse]
+    names[slot[new]], values[slot[new]] = quick[new], found[new]
+    at = np.flatnonzero(length > _LONG)
+    found[at] = blake(at)
+    return found, many
+
+
+class Codes:
+    """Two-byte codes of some words, that of what stands before a text's first word among them."""
+
+    def __init__(self, words: np.ndarray):
+        """``words``: the most frequent first."""
+        words = np.append(_START, words[words != _START])[:CODES]
+        self.words = np.append(words, np.full(int(_RARE) + 1 - len(words), ~np.uint64(0)))
+        # Of words that share a slot the most frequent has it.
+        self.by_slot = np.full(1 << 20, _RARE)
+        self.by_slot[self._slot(words)[::-1]] = np.arange(len(words), dtype=np.uint16)[::-1]
+        self._homes: dict[int, np.ndarray] = {}
+
+    @staticmethod
+    def _slot(words: np.ndarray) -> np.ndarray:
+        return (words >> np.uint64(28)).astype(np.int64)
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        codes = self.by_slot[self._slot(words)]
+        codes[self.words[codes] != words] = _RARE
+        return codes
+
+    def homes(self, shards: int) -> np.ndarray:
+        """Shards of the words with codes, in 16 bits if they fit, which are sorted faster."""
+        if shards not in self._homes:
+            self._homes[shards] = _shard(self.words, shards).astype(np.uint16 if shards <= 1 << 16 else np.int32)
+        return self._homes[shards]
+
+    def read(self, two: bytes, before: bytes, word: bytes, rare: bytes) -> list[np.ndarray]:
+        """The words that ``Dealt.blobs`` wrote."""
+        codes = np.frombuffer(two + before + word, "<u2")
+        words = self.words[codes]
+        words[codes == _RARE] = _unpacked(rare)
+        return np.split(words, 3)
+
+
+class Dealt:
+    """The trigrams of a group of texts, with codes and shards."""
+
+    def __init__(self, hashes: np.ndarray, many: np.ndarray, codes: Codes, shards: int):
+        self.of = np.repeat(np.arange(len(many), dtype="<u2"), many)
+        starts = (np.cumsum(many) - many)[many > 0]
+        self.word = hashes & _WORD
+        self.code = codes.of(self.word)
+        self.home = codes.homes(shards)[self.code]
+        rare = np.flatnonzero(self.code == _RARE)
+        self.home[rare] = _shard(self.word[rare], shards)
+        self.before, self.code_before, self.shard = (_shifted(x, starts, first) for x, first in ((self.word, _START), (self.code, 0), (self.home, int(_shard(np.array([_START]), shards)[0]))))
+        self.two, self.code_two = _shifted(self.before, starts, _START), _shifted(self.code_before, starts, 0)
+
+    def blobs(self, here: np.ndarray) -> Iterator[tuple[int, np.ndarray, tuple[bytes, bytes, bytes, bytes]]]:
+        """Each shard with trigrams at the places ``here``, its places, and the words written."""
+        here = here[np.argsort(self.code_before[here], kind="stable")]
+        here = here[np.argsort(self.shard[here], kind="stable")]
+        for s, at in _cuts(self.shard, here):
+            codes = [c[at] for c in (self.code_two, self.code_before, self.code)]
+            rare = [w[at[c == _RARE]] for w, c in zip((self.two, self.before, self.word), codes, strict=True)]
+            yield s, at, (*(c.astype("<u2").tobytes() for c in codes), _packed(np.concatenate(rare)).tobytes())
+
+
+def _shifted(x: np.ndarray, starts: np.ndarray, first: int) -> np.ndarray:
+    """For each word what ``x`` has for the one before it."""
+    out = np.empty_like(x)
+    out[1:] = x[:-1]
+    out[starts] = first
+    return out
 
 
 def discounts(counts: dict[int, int]) -> tuple[float, float, float]:
@@ -112,54 +221,74 @@ def _cuts(shard: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarra
     if not len(order):
         return
     dealt = shard[order]
-    starts = np.flatnonzero(np.diff(dealt, prepend=-1))
+    starts = np.append(0, np.flatnonzero(dealt[1:] != dealt[:-1]) + 1)
     for low, high in zip(starts, np.append(starts[1:], len(dealt)), strict=True):
         yield int(dealt[low]), order[low:high]
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 5]
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], _NAMES)
 
 
-def count_trigrams(texts: DataFrame, shards: int) -> DataFrame:
+def frequent_words(texts: DataFrame) -> Codes:
+    """Codes of the words that are most frequent in about SAMPLE of the texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, hashes, _ in _groups(batches):
+            words, n = np.unique(hashes & _WORD, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(words.astype(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
+        give_back()
+
+    share = min(1.0, SAMPLE / max(texts.count(), 1))
+    words = texts.select(F.col("text").cast("binary"), F.lit(0).cast("long").alias("key")).sample(share, seed=1).mapInArrow(run, "word long, n long")
+    top = words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(CODES).select("word").toArrow()  # CODES rows at most
+    return Codes(top.column("word").to_numpy().astype(np.uint64))
+
+
+def count_trigrams(texts: DataFrame, shards: int, codes: Codes) -> DataFrame:
     """Trigrams of texts with their counts in a group of texts, dealt by the middle word."""
+    sent = texts.sparkSession.sparkContext.broadcast(codes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches):
-            two, before, words = (np.concatenate(x) for x in zip(*[parts_of(h) for _, h in group], strict=True))
-            _, first, n = np.unique(_pair(_pair(two, before), words), return_index=True, return_counts=True)
-            two, before, words = two[first], before[first], words[first]
-            shard = _shard(before, shards)
-            rows = [(s, 0, _packed(two[at]).tobytes(), _packed(before[at]).tobytes(), _packed(words[at]).tobytes(), n[at].astype("<u4").tobytes(), b"") for s, at in _cuts(shard, np.lexsort((before, shard)))]
-            yield _batch(rows)
-        forget_words()
+        for _, hashes, many in _groups(batches):
+            dealt = Dealt(hashes, many, sent.value, shards)
+            _, first, n = np.unique(_pair(_pair(dealt.two, dealt.before), dealt.word), return_index=True, return_counts=True)
+            counts = np.zeros(len(hashes), "<u4")
+            counts[first] = n
+            yield _batch([(s, 0, 0, *blobs, counts[at].tobytes()) for s, at, blobs in dealt.blobs(first)])
+        give_back()
 
     return texts.select(F.col("text").cast("binary"), F.lit(0).cast("long").alias("key")).mapInArrow(run, _SCHEMA)
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, np.ndarray]]]:
-    """(key, hashes) of texts with words, about TOGETHER tokens a list."""
-    held, total = [], 0
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Keys, hashes and numbers of words of texts, about TOGETHER tokens of six bytes a group; groups without words are left out."""
+    keys, texts, total = [], [], 0
+
+    def group() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        hashes, many = hashes_of(texts)
+        if len(hashes):
+            yield np.array(keys, "<i8"), hashes, many
+
     for batch in batches:
         for text, key in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-            hashes = word_hashes(text.as_py() or b"")
-            if len(hashes):
-                held.append((key, hashes))
-                total += len(hashes)
-            if total >= TOGETHER or len(held) >= 1 << 16:
-                yield held
-                held, total = [], 0
-    if held:
-        yield held
+            keys.append(key)
+            texts.append(text.as_py() or b"")
+            total += len(texts[-1])
+            if total >= 6 * TOGETHER or len(texts) >= 1 << 16:
+                yield from group()
+                keys, texts, total = [], [], 0
+    if texts:
+        yield from group()
 
 
 class Trigrams:
     """The distinct trigrams of a shard, with the pairs and contexts that they make. All trigrams of a middle word are in one shard."""
 
-    def __init__(self, rows: list[tuple]):
-        two, before, words = (_unpacked(b"".join(r[k] for r in rows)) for k in range(3))
-        n = np.frombuffer(b"".join(r[3] for r in rows), "<u4")
+    def __init__(self, rows: list[tuple], codes: Codes):
+        two, before, words = (np.concatenate(x) for x in zip(*[codes.read(*r[:4]) for r in rows], strict=True))
+        n = np.frombuffer(b"".join(r[4] for r in rows), "<u4")
         self.context = _pair(two, before)
         self.key, first, inverse = np.unique(_pair(self.context, words), return_index=True, return_inverse=True)
         self.n = np.bincount(inverse, n, len(self.key)).astype(np.int64)
@@ -204,8 +333,10 @@ def trusted_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 class Model:
     """Trigram counts in shards, the words that each shard needs, and what is known of all counts together."""
 
-    def __init__(self, trigrams: DataFrame, words: DataFrame, shards: int, off: list[tuple[float, float, float]], pairs: int, unknown: float, frequent: tuple[np.ndarray, np.ndarray]):
-        self.trigrams, self.words, self.shards, self.off, self.pairs, self.unknown, self.frequent = trigrams, words, shards, off, pairs, unknown, frequent
+    def __init__(self, trigrams: DataFrame, words: DataFrame, shards: int, off: list[tuple[float, float, float]], pairs: int, unknown: float, frequent: tuple[np.ndarray, np.ndarray], codes: Codes):
+        self.trigrams, self.words, self.shards, self.off, self.pairs, self.unknown = trigrams, words, shards, off, pairs, unknown
+        known, logs = frequent
+        self.sent = words.sparkSession.sparkContext.broadcast((codes, known, logs, _find(known, codes.words, logs, 1.0)))
 
     def log_probabilities(self, hashes: np.ndarray) -> np.ndarray:
         """log10 of each word's probability after the two before it, for a text."""
@@ -222,48 +353,62 @@ class Model:
         Rows with a key have equal texts. Texts without words give no row.
         """
         added = [F.sum(c).alias(c) for c in ("total", "words", "copies")]
+
+        def add(rows: pa.Table) -> pa.Table:
+            head = [(k, n) for k, n in zip(rows.column("keys").to_pylist(), rows.column("lengths").to_pylist(), strict=True) if k is not None]
+            if len(head) != 1:
+                raise RuntimeError("texts came in another order when they were read again")
+            keys, lengths = (np.frombuffer(x, "<i8") for x in head[0])
+            total = np.zeros(len(keys))
+            for of, sums in zip(rows.column("n"), rows.column("sums"), strict=True):
+                total[np.frombuffer(of.as_py(), "<u2")] += np.frombuffer(sums.as_py())
+            some = np.flatnonzero((total != 0) | (lengths > 0))
+            return pa.table({"key": keys[some], "total": total[some], "words": lengths[some], "copies": (lengths[some] > 0).astype(np.int64)})
+
         found = []
         for turn in range(TURNS):
-            found.append(released(self._turn(texts, turn, hashed).groupBy("key").agg(*added), "sums"))
+            by_text = self._turn(texts, turn, hashed).groupBy("group").applyInArrow(add, "key long, total double, words long, copies long")
+            found.append(released(by_text.groupBy("key").agg(*added), "sums"))
         whole = reduce(DataFrame.unionByName, found).groupBy("key").agg(*added)
         return whole.select("key", (F.col("total") / F.col("copies")).alias("total"), (F.col("words") / F.col("copies")).cast("long").alias("words"))
 
     def _turn(self, texts: DataFrame, turn: int, hashed: bool) -> DataFrame:
-        """Sums over the shards of a turn, in several rows a key."""
-        spark = texts.sparkSession
-        shards, off, pairs, unknown = self.shards, self.off, self.pairs, self.unknown
-        frequent = spark.sparkContext.broadcast(self.frequent)
+        """What the shards of a turn answer: for a group the numbers of texts in it and their sums, and once its texts' keys and lengths."""
+        shards, off, pairs, unknown, sent = self.shards, self.off, self.pairs, self.unknown, self.sent
 
         def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known, logs = frequent.value
-            groups = _groups(batches) if not hashed else [[(k, np.frombuffer(t, "<u8")) for b in batches for t, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]]
-            for group in filter(None, groups):
-                keys = np.array([k for k, _ in group], "<i8")
-                of = np.repeat(np.arange(len(group), dtype="<u2"), [len(h) for _, h in group])
-                two, before, words = (np.concatenate(x) for x in zip(*[parts_of(h) for _, h in group], strict=True))
-                shard = _shard(before, shards)
-                here = np.flatnonzero(shard % TURNS == turn)
-                here = here[np.lexsort((before[here], shard[here]))]
-                rows = []
-                for s, at in _cuts(shard, here):
-                    rows.append((s, 1, _packed(two[at]).tobytes(), _packed(before[at]).tobytes(), _packed(words[at]).tobytes(), of[at].tobytes(), keys.tobytes()))
+            codes, known, logs, code_logs = sent.value
+            if hashed:
+                read = [(b.column(1).to_numpy(), [np.frombuffer(t, "<u8") for t in b.column(0).to_pylist()]) for b in batches]
+                groups = ((k.astype("<i8"), np.concatenate(h), np.array([len(x) for x in h])) for k, h in read if h)
+            else:
+                groups = _groups(batches)
+            for number, (keys, hashes, many) in enumerate(groups):
+                # The keys are part of the group's name, so that a group that is read again in another order has another name.
+                name = hashlib.blake2b(np.append(keys, [TaskContext.get().partitionId(), number]).tobytes(), digest_size=8)
+                group = int.from_bytes(name.digest(), "little", signed=True)
+                dealt = Dealt(hashes, many, codes, shards)
+                of = dealt.of
+                rows = [(s, 1, group, *blobs, of[at].tobytes()) for s, at, blobs in dealt.blobs(np.flatnonzero(dealt.shard % TURNS == turn))]
                 # Frequent words' own probabilities are known here, the others are asked for.
-                home = _shard(words, shards)
-                here = np.flatnonzero(home % TURNS == turn)
-                own = _find(known, words[here], logs, 1.0)
-                sums = np.bincount(of[here], np.where(own < 1.0, own, 0.0), len(group))
-                lengths = np.bincount(of, minlength=len(group)) if turn == 0 else np.zeros(len(group), np.int64)
-                any_shard = turn + TURNS * (int(keys[0]) % (shards // TURNS))
-                rows.append((any_shard, 2, sums.tobytes(), lengths.astype("<i8").tobytes(), b"", b"", keys.tobytes()))
+                here = np.flatnonzero(dealt.home % TURNS == turn)
+                own = code_logs[dealt.code[here]]
+                rare = np.flatnonzero(dealt.code[here] == _RARE)
+                own[rare] = _find(known, dealt.word[here[rare]], logs, 1.0)
+                sums = np.bincount(of[here], np.where(own < 1.0, own, 0.0), len(keys))
+                lengths = many if turn == 0 else np.zeros(len(keys))
+                any_shard = turn + TURNS * (group % (shards // TURNS))
+                rows.append((any_shard, 2, group, sums.tobytes(), lengths.astype("<i8").tobytes(), b"", b"", keys.tobytes()))
                 here = here[own == 1.0]
-                for s, at in _cuts(home, here[np.lexsort((words[here], home[here]))]):
-                    rows.append((s, 3, b"", b"", _packed(words[at]).tobytes(), of[at].tobytes(), keys.tobytes()))
-                two = before = words = None
+                for s, at in _cuts(dealt.home, here[np.lexsort((dealt.word[here], dealt.home[here]))]):
+                    rows.append((s, 3, group, b"", b"", b"", _packed(dealt.word[at]).tobytes(), of[at].tobytes()))
+                dealt = hashes = None
                 yield _batch(rows)
-            forget_words()
+            give_back()
 
         def answer(own_words: pa.Table, blobs: pa.Table) -> pa.Table:
             kind = blobs.column("kind").to_numpy()
+            codes = sent.value[0]
             columns = [blobs.column(c) for c in _NAMES[2:]]
             taken = lambda which: (tuple(c[int(i)].as_py() for c in columns) for i in np.flatnonzero(kind == which))
             word = own_words.column("word").to_numpy().astype(np.uint64)
@@ -271,9 +416,10 @@ class Model:
             c1 = own_words.column("c").to_numpy()[sort]
             word, p1 = word[sort], (c1 - _off(c1, off[0])) / max(pairs, 1) + unknown
             log1 = np.log10(p1)
-            train = list(taken(0))
-            if train:
-                t = Trigrams(train)
+            train = [row[1:] for row in taken(0)]
+            known = len(train) > 0
+            if known:
+                t = Trigrams(train, codes)
                 del train
                 share2, left2 = _shares(t.pair_n, t.of_before, off[1])
                 share3, left3 = _shares(t.n, t.of_context, off[2])
@@ -281,45 +427,41 @@ class Model:
                 gain2 = np.log10(1 + share2 / lower)
                 gain3 = np.log10(1 + share3 / (left3[t.of_context] * (share2 + lower)[t.of_pair]))
                 left2, left3 = np.log10(left2), np.log10(left3)
-            keys, sums, lengths = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]
-            for own, length, _, _, key in taken(2):
-                keys.append(np.frombuffer(key, "<i8"))
-                sums.append(np.frombuffer(own))
-                lengths.append(np.frombuffer(length, "<i8"))
-            for two, before, words, of, key in taken(1):
-                if kind.min() > 0:
-                    break  # no trigrams in this shard, so the words before leave all to the order below
-                two, before, words = _unpacked(two), _unpacked(before), _unpacked(words)
+            rows = [(group, np.arange(len(keys) // 8, dtype="<u2").tobytes(), own, keys, lengths) for group, own, lengths, _, _, keys in taken(2)]
+
+            def add(group: int, of: bytes, logs: np.ndarray) -> None:
+                of, inverse = np.unique(np.frombuffer(of, "<u2"), return_inverse=True)
+                rows.append((group, of.tobytes(), np.bincount(inverse, logs).tobytes(), None, None))
+
+            # Without trigrams in this shard the words before leave all to the order below.
+            for group, *written, of in taken(1) if known else ():
+                two, before, words = codes.read(*written)
                 pair, context = _pair(before, words), _pair(two, before)
-                logs = _find(t.before, before, left2) + _find(t.contexts, context, left3) + _find(t.pair, pair, gain2) + _find(t.key, _pair(context, words), gain3)
-                keys.append(np.frombuffer(key, "<i8"))
-                sums.append(np.bincount(np.frombuffer(of, "<u2"), logs, len(keys[-1])))
-            for _, _, words, of, key in taken(3):
-                keys.append(np.frombuffer(key, "<i8"))
-                sums.append(np.bincount(np.frombuffer(of, "<u2"), _find(word, _unpacked(words), log1, math.log10(unknown)), len(keys[-1])))
-            sums, lengths = np.concatenate(sums), np.concatenate(lengths)
-            lengths = np.append(lengths, np.zeros(len(sums) - len(lengths), np.int64))
-            some = np.flatnonzero((sums != 0) | (lengths > 0))
-            key, inverse = np.unique(np.concatenate(keys)[some], return_inverse=True)
-            added = [np.bincount(inverse, x[some], len(key)) for x in (sums, lengths, lengths > 0)]
-            out = pa.table({"key": key, "total": added[0].astype(float), "words": added[1].astype(np.int64), "copies": added[2].astype(np.int64)})
+                add(group, of, _find(t.before, before, left2) + _find(t.contexts, context, left3) + _find(t.pair, pair, gain2) + _find(t.key, _pair(context, words), gain3))
+            for group, _, _, _, rare, of in taken(3):
+                add(group, of, _find(word, _unpacked(rare), log1, math.log10(unknown)))
+            kinds = [pa.int64(), *[pa.binary()] * 4]
+            out = pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["group", "n", "sums", "keys", "lengths"])
             give_back()
             return out
 
         asked = texts.select(F.col("text").cast("binary"), "key").mapInArrow(ask, _SCHEMA)
         blobs = self.trigrams.where(F.col("shard") % TURNS == turn).unionByName(asked)
-        return self.words.where(F.col("shard") % TURNS == turn).groupBy("shard").cogroup(blobs.groupBy("shard")).applyInArrow(answer, "key long, total double, words long, copies long")
+        return self.words.where(F.col("shard") % TURNS == turn).groupBy("shard").cogroup(blobs.groupBy("shard")).applyInArrow(answer, _ANSWERS)
 
 
-def fit(texts: DataFrame, size: int | None = None) -> Model:
-    """The model of all these texts, which have ``size`` bytes."""
+def fit(texts: DataFrame, size: int | None = None, codes: Codes | None = None) -> Model:
+    """The model of all these texts, which have ``size`` bytes. ``codes`` change what is stored, no result."""
     if size is None:
         size = texts.agg(F.sum(F.octet_length(F.col("text").cast("binary")))).first()[0] or 0
     shards = max(8, math.ceil(size / SHARD)) * TURNS
-    trigrams = released(count_trigrams(texts, shards), "trigrams")
+    if codes is None:
+        codes = frequent_words(texts)
+    trigrams = released(count_trigrams(texts, shards, codes), "trigrams")
+    sent = texts.sparkSession.sparkContext.broadcast(codes)
 
     def words_of(table: pa.Table) -> pa.Table:
-        t = Trigrams(list(zip(*[table.column(c).to_pylist() for c in _NAMES[2:]], strict=True)))
+        t = Trigrams(list(zip(*[table.column(c).to_pylist() for c in _NAMES[3:]], strict=True)), sent.value)
         words, n = t.words()
         # The last rows count how many pairs, then trigrams, have the counts 1 to 4.
         many = [np.bincount(np.minimum(c, 5), minlength=6)[1:5] for c in (t.pair_n, t.n)]
@@ -355,7 +497,9 @@ def fit(texts: DataFrame, size: int | None = None) -> Model:
     known, c = top.column("word").to_numpy().astype(np.uint64), top.column("c").to_numpy().astype(np.int64)
     sort = np.argsort(known)
     frequent = known[sort], np.log10((c - _off(c, off[0])) / max(pairs, 1) + unknown)[sort]
-    return Model(trigrams, words, shards, off, pairs, unknown, frequent)
+    for table in (found, one):
+        drop_stored(table)
+    return Model(trigrams, words, shards, off, pairs, unknown, frequent, codes)
 
 
 def with_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -364,7 +508,7 @@ def with_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # Lengths alone are joined for the size, so that texts go through one shuffle at most.
     lengths = docs.select("doc_id", F.octet_length(F.col("text").cast("binary")).alias("size"))
     size = lengths.join(trusted_ids(labels, False), "doc_id", "left_semi").agg(F.sum("size")).first()[0]
-    model = fit(trusted_texts(docs, labels), size or 0)
+    model = fit(trusted_texts(docs, labels), size or 0, frequent_words(docs))
     sums = model.sums(docs.select(key, "text"))
     scored = docs.select("doc_id", "lang", key).join(sums, "key", "left")
     scored = released(scored.select("doc_id", "lang", "key", F.coalesce("total", F.lit(0.0)).alias("total"), F.coalesce("words", F.lit(0)).alias("words")), "scored")

@@ -233,6 +233,37 @@ def test_quality_is_fitted_on_all_trusted_texts(spark, monkeypatch):
         assert rows[3_200].log10_prob == rows[3_201].log10_prob == rows[3_206].log10_prob
 
 
+def test_quality_shards_answer_in_few_rows_and_short_ones(spark, monkeypatch):
+    """Rows of answers don't grow with texts times shards, and trigrams of frequent words take few bytes."""
+    from inkwell.llm import quality
+
+    choose = random.Random(6)
+    texts = [" ".join(choose.choice([f"w{k}" for k in range(300)]) for _ in range(60)) for _ in range(400)]
+    frame = spark.createDataFrame(enumerate(texts), "key long, text string").coalesce(2)
+    monkeypatch.setattr(quality, "SHARD", 4_000)
+    model = quality.fit(frame.select("text"))
+    answers = sum(model._turn(frame, turn, False).count() for turn in range(quality.TURNS))
+    assert model.shards >= 60 and answers <= 3 * 2 * model.shards  # two groups of texts, three kinds of rows
+    columns = [c for c in model.trigrams.columns if c not in ("shard", "kind", "group")]
+    size = sum(len(row[c] or b"") for row in model.trigrams.collect() for c in columns)
+    trigrams = {tuple(p[k : k + 3]) for t in texts for p in [[None, None, *t.split()]] for k in range(len(p) - 2)}
+    assert size < 14 * len(trigrams)
+
+
+def test_hashes_of_many_texts():
+    from inkwell.llm.minhash import word_hashes
+    from inkwell.llm.quality import hashes_of
+
+    choose = random.Random(7)
+    parts = ["a", "A", "b\0", "b", "\0", "h\u00e9", "\u4e2d\u6587", "word" * 3, "eightchr", "sixteen characte", "x" * 64, "x" * 65, "y" * 300, " ", "\t", "\r\n", "\x0b\x0c", "\x1c", "\x85", "\u00a0"]
+    texts = [b"", b" ", *("".join(choose.choice(parts) + choose.choice(["", " "]) for _ in range(choose.randint(0, 30))).encode() for _ in range(300)), b"\n"]
+    for _ in range(2):  # the second time from memory
+        hashes, many = hashes_of(texts)
+        want = [word_hashes(t) for t in texts]
+        assert many.tolist() == [len(w) for w in want] and (hashes == np.concatenate(want)).all()
+    assert hashes_of([b""])[1].tolist() == [0]
+
+
 def test_hmm(docs, no_docs, monkeypatch):
     from inkwell.llm import hmm
 
