@@ -42,7 +42,7 @@ from inkwell.llm.workers import give_back
 from inkwell.session import drop_stored, stored
 
 #: Bytes of trusted text a shard in a turn, turns, tokens that are dealt out together, words whose own probability goes to all workers.
-SHARD, TURNS, TOGETHER, FREQUENT = 8 << 20, 4, 1 << 19, 200_000
+SHARD, TURNS, TOGETHER, FREQUENT = 8 << 20, 5, 1 << 19, 200_000
 #: Words with a code of two bytes, and the texts that they are counted in, about.
 CODES, SAMPLE = 65_535, 4_096
 #: One trusted document in so many, by the hash of its id, is never fitted on; the limits come from these.
@@ -72,14 +72,17 @@ _REMEMBERED: list[np.ndarray] = []
 
 
 def released(df: DataFrame, name: str) -> DataFrame:
-    """``stored``, and the files of the shuffles that led there are deleted at once, not when the driver's memory is next collected."""
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key)
-    conf.set(key, "true")
+    """``stored`` in less space, and the files of the shuffles that led there are deleted at once, not when the driver's memory is next collected."""
+    conf = df.sparkSession.conf
+    settings = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.parquet.compression.codec": "zstd"}
+    before = {key: conf.get(key) for key in settings}
     try:
+        for key, value in settings.items():
+            conf.set(key, value)
         return stored(df, name)
     finally:
-        conf.set(key, before)
+        for key, value in before.items():
+            conf.set(key, value)
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
