@@ -86,6 +86,27 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of every vector by codebooks of its parts."""
+    from inkwell.llm.codes import compress
+
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every vector."""
+    from inkwell.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest rows of the rows whose id is divisible by 50."""
+    from inkwell.llm.forest import neighbours
+
+    return neighbours(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_licenses": op2_licenses,
@@ -97,6 +118,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_media": op9_media,
     "op10_minhash": op10_minhash,
+    "op11_codes": op11_codes,
+    "op12_whitening": op12_whitening,
+    "op13_neighbours": op13_neighbours,
 }
 
 ORACLE_SQL: dict[str, str] = {}
