@@ -10,16 +10,27 @@ from pyspark.sql import functions as F
 from inkwell.session import stored
 
 
-def anchors(docs: DataFrame, id_col: str, text_col: str, size: int = 96, shortest: int = 18, stops: str = r"[。！？!?；;.\n\r]+", rejected: str = r"https?://|www\.") -> DataFrame:
+#: What is stripped from a sentence's ends, the longest sentence that is hashed whole, and the blocks of longer ones.
+BORDER = "-_=*~·—…|【】[]()（）《》<>『』「」"
+LONG, BLOCK, STEP = 320, 160, 80
+
+
+def sentence_blocks(text: Column, stops: str = r"[。！？!?；;.\n\r]+") -> Column:
+    """GD2: the sentences of a text without white space; a long one as overlapping blocks."""
+    plain = F.transform(F.split(text, stops), lambda s: F.btrim(F.regexp_replace(s, r"(?U)\s+", ""), F.lit(BORDER)))
+    cut = lambda s: F.transform(F.sequence(F.lit(0), F.length(s) - STEP, F.lit(STEP)), lambda at: F.substring(s, at + 1, F.lit(BLOCK)))
+    return F.flatten(F.transform(plain, lambda s: F.when(F.length(s) > LONG, cut(s)).otherwise(F.array(s))))
+
+
+def anchors(docs: DataFrame, id_col: str, text_col: str, size: int = 96, shortest: int = 18, rejected: str = r"https?://|www\.") -> DataFrame:
     """The bottom-``size`` sketch: id, anchor, position of its first occurrence.
 
-    Sentences of at least ``shortest`` characters are hashed; a hash of neighbours is
-    an anchor. A sentence that is too short or rejected breaks the chain.
+    Blocks of at least ``shortest`` characters are hashed; a hash of neighbours is
+    an anchor. A block that is too short or rejected breaks the chain.
     """
-    split = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text_col, stops)).alias("position", "sentence"))
-    plain = split.withColumn("sentence", F.regexp_replace("sentence", r"(?U)\s+", ""))
+    split = docs.select(F.col(id_col).alias("id"), F.posexplode(sentence_blocks(F.col(text_col))).alias("position", "sentence"))
     good = (F.length("sentence") >= shortest) & ~F.col("sentence").rlike(rejected)
-    hashed = plain.withColumn("h", F.when(good, F.md5("sentence")))
+    hashed = split.withColumn("h", F.when(good, F.md5("sentence")))
     before = F.lag("h").over(Window.partitionBy("id").orderBy("position"))
     pairs = hashed.withColumn("anchor", F.md5(F.concat(before, F.col("h")))).where("anchor IS NOT NULL")
     first = pairs.groupBy("id", "anchor").agg(F.min("position").alias("position"))
@@ -68,11 +79,17 @@ def anchor_candidates(sketch: DataFrame, block: int = 64, least_shared: int = 4)
 
 
 def key_pairs(rows: DataFrame, key: str, id_col: str, most: int = 64) -> DataFrame:
-    """All id-ordered pairs of rows that share a key which 2 to ``most`` rows have."""
-    few = rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n").between(2, most)).select(key)
-    usable = rows.join(few, key).select(key, id_col)
-    left, right = usable.withColumnRenamed(id_col, "left"), usable.withColumnRenamed(id_col, "right")
-    return left.join(right, key).where(F.col("left") < F.col("right"))
+    """Pairs left < right of rows that share a key: all pairs where up to ``most`` rows have it, else each row with the first.
+
+    A larger group's rows stay linked through its smallest id, in as many pairs as it has rows.
+    """
+    counted = rows.groupBy(key).agg(F.count("*").alias("n"), F.min(id_col).alias("first")).where("n > 1")
+    known = rows.join(counted, key).select(key, id_col, "n", "first")
+    few = known.where(F.col("n") <= most)
+    left, right = (few.select(key, F.col(id_col).alias(side)) for side in ("left", "right"))
+    pairs = left.join(right, key).where(F.col("left") < F.col("right"))
+    many = known.where((F.col("n") > most) & (F.col(id_col) > F.col("first"))).select(key, F.col("first").alias("left"), F.col(id_col).alias("right"))
+    return pairs.union(many)
 
 
 def compared(left: Column, right: Column) -> Column:
@@ -97,18 +114,38 @@ class Thresholds:
     collision: float = 0.30
 
 
+#: Names that say nothing about who wrote a text. Fixed values.
+UNKNOWN_AUTHORS = ("佚名", "未知", "未知作者", "unknown", "anonymous")
+
+
+def consistent(similarity: Column) -> Column:
+    """FI8: whether titles and authors of a pair allow that one text is a truncated copy of the other.
+
+    Equal titles tolerate a missing author but no conflict; else a known author and a very similar title are needed.
+    """
+    name = lambda side: F.trim(F.coalesce(F.col(f"{side}_author"), F.lit("")))
+    title = lambda side: F.coalesce(F.col(f"{side}_title"), F.lit(""))
+    left, right = name("left"), name("right")
+    both = (left != "") & (right != "")
+    same_title = (title("left") != "") & (title("left") == title("right"))
+    known = both & (left == right) & ~F.lower(left).isin(*UNKNOWN_AUTHORS)
+    return (same_title & ~(both & (left != right))) | (known & (similarity >= 0.92))
+
+
 def relation(t: Thresholds = Thresholds()) -> Column:
-    """The relation of a pair with columns same_raw, same_text, chars, length_ratio, jaccard, containment, order, shared, same_title, consistent."""
+    """GD4: the relation of a pair of different texts.
+
+    It has columns left_chars, right_chars, length_ratio, jaccard, containment, order, shared, same_title, consistent.
+    """
     ratio, cover, jaccard, order, shared = (F.col(c) for c in ("length_ratio", "containment", "jaccard", "order", "shared"))
-    large = F.col("chars") >= t.least_chars
+    large = F.least("left_chars", "right_chars") >= t.least_chars
     edition = (ratio >= t.edition[0]) & (cover >= t.edition[1]) & (jaccard >= t.edition[2]) & (order >= t.edition[3]) & (shared >= t.edition[4])
-    incomplete = ratio.between(*t.incomplete[:2]) & (cover >= t.incomplete[2]) & (order >= t.incomplete[3]) & (shared >= t.incomplete[4]) & F.col("consistent")
+    shorter = F.col("consistent") & (F.col("left_chars") != F.col("right_chars"))
+    incomplete = ratio.between(*t.incomplete[:2]) & (cover >= t.incomplete[2]) & (order >= t.incomplete[3]) & (shared >= t.incomplete[4]) & shorter
     version = (ratio >= t.version[0]) & (cover >= t.version[1]) & (order >= t.version[2]) & (shared >= t.version[3])
     relative = (cover >= t.relative[0]) & (order >= t.relative[1]) & (shared >= t.relative[2])
     return (
-        F.when(F.col("same_raw"), "byte_exact")
-        .when(F.col("same_text"), "text_exact")
-        .when(large & edition, "same_edition")
+        F.when(large & edition, "same_edition")
         .when(large & incomplete, "possible_incomplete")
         .when(large & version, "same_work_version")
         .when(large & relative, "possible_same_work")
@@ -117,6 +154,10 @@ def relation(t: Thresholds = Thresholds()) -> Column:
     )
 
 
+#: Relations that put two texts in one work without review.
+AUTOMATIC = ("byte_exact", "text_exact", "same_edition", "possible_incomplete", "same_work_version")
+
+
 def edges_of(pairs: DataFrame, left: str, right: str) -> DataFrame:
     """Undirected edges once each, smaller end first, without loops."""
     return pairs.select(F.least(left, right).alias("left"), F.greatest(left, right).alias("right")).where(F.col("left") != F.col("right")).distinct()

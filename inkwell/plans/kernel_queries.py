@@ -34,13 +34,10 @@ def summary_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def sketch_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order of what near-duplicate candidates share."""
-    from inkwell.operators import fingerprint as P
+    """Order of what near-duplicate candidates share, of each group of equal sketches one."""
+    from inkwell.plans.dedup_queries import near_dup_relations
 
-    sketch = P.anchors(table(spark, sf_dir, "documents"), "doc_id", "text")
-    lists = sketch.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "anchor"))), lambda x: x["anchor"]).alias("a"))
-    pairs = P.anchor_candidates(sketch).join(lists.withColumnRenamed("id", "left"), "left").join(lists.select(F.col("id").alias("right"), F.col("a").alias("b")), "right")
-    return pairs.select("left", "right", K.order_ratio("a", "b").alias("order"))
+    return near_dup_relations(spark, sf_dir).select("left", "right", "order")
 
 
 @query()

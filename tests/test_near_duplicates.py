@@ -30,9 +30,15 @@ def test_large_groups_stay_together(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     found = {name: QUERIES[name](spark, str(tmp_path)) for name in ("near_dup_candidates", "near_dup_relations", "near_dup_components", "sketch_order")}
     assert {r.node: r.component for r in found["near_dup_components"].collect()} == dict.fromkeys(range(140), 0)
-    assert all(found[name].count() == 140 * 139 // 2 for name in ("near_dup_candidates", "near_dup_relations", "sketch_order"))
+    # Copies are members of their head; pairs are of the 71 different texts.
+    assert all(found[name].count() == 71 * 70 // 2 for name in ("near_dup_candidates", "near_dup_relations", "sketch_order"))
     kinds = {r.relation: r.n for r in found["near_dup_relations"].groupBy("relation").agg(F.count("*").alias("n")).collect()}
-    assert kinds == {"byte_exact": 70 * 69 // 2, "same_edition": 70 * 70 + 70 * 69 // 2}
+    assert kinds == {"same_edition": 71 * 70 // 2}
+    members = {r.relation: r.n for r in QUERIES["near_dup_members"](spark, str(tmp_path)).groupBy("relation").agg(F.count("*").alias("n")).collect()}
+    assert members == {"head": 72, "byte_exact": 69}
+    works = {r.id: (r.work, r.edition, r.action, r.version) for r in QUERIES["works"](spark, str(tmp_path)).collect()}
+    assert {w[:2] for i, w in works.items() if i < 140} == {(0, 0)} and works[140] == (140, 140, "canonical", 1)
+    assert sum(w[2] == "canonical" for w in works.values()) == 2 and len(works) == 141
 
 
 def test_short_copies_are_one_work(spark, tmp_path):
