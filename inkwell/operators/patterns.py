@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkwell.operators.fingerprint import blocked_pairs
+from inkwell.operators.leaders import near_sets
 from inkwell.session import stored
 
 
@@ -137,16 +137,9 @@ def suppressed(rows: DataFrame, library: str, name: str, support_col: str, terms
     keyed = stored(rows.withColumn("__terms", F.array_sort(F.array_distinct(terms))).withColumn("__id", F.sha2(F.to_json(F.struct(library, "__terms")), 256)), "patterns")
     order = F.struct((-F.col(support_col)).alias("strength"), F.col(name).alias("name"))
     sets = stored(keyed.where(F.size("__terms") > 0).groupBy(F.col(library).alias("library"), F.col("__id").alias("id")).agg(F.min(order).alias("order"), F.first("__terms").alias("terms")), "sets")
-    posted = sets.select("id", "library", F.size("terms").alias("size"), F.explode("terms").alias("term")).select("id", "size", F.struct("library", "term").alias("token"))
-    counted = posted.join(posted.groupBy("token").agg(F.count("*").alias("n")), "token")
-    place = F.row_number().over(Window.partitionBy("id").orderBy("n", "token"))
-    rare = counted.withColumn("place", place).where(F.col("place") <= F.col("size") - F.ceil(limit * F.col("size") - 1e-9) + 1).select("token", "id")
-    met = stored(blocked_pairs(rare, "token").select("left", "right").distinct(), "met")
-    a, b = (sets.select(F.col("id").alias(side), F.col("order").alias(f"{side}_order"), F.col("terms").alias(f"{side}_terms")) for side in ("left", "right"))
-    common = F.size(F.array_intersect("left_terms", "right_terms"))
-    jaccard = common / (F.size("left_terms") + F.size("right_terms") - common)
+    a, b = (sets.select(F.col("id").alias(side), F.col("order").alias(f"{side}_order")) for side in ("left", "right"))
+    near = near_sets(sets.select("id", F.col("library").alias("group"), "terms"), limit).join(a, "left").join(b, "right")
     swap = F.col("left_order") < F.col("right_order")
-    near = met.join(a, "left").join(b, "right").where(jaccard >= limit)
     edges = stored(near.select(F.when(swap, F.col("left")).otherwise(F.col("right")).alias("strong"), F.when(swap, F.col("right")).otherwise(F.col("left")).alias("weak"), F.least("left_order", "right_order").alias("order")), "near")
     undecided, rejected = edges.select("strong", "weak"), edges.select(F.col("weak").alias("id")).limit(0)
     while not undecided.isEmpty():

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkwell.operators import leaders as L
 from inkwell.operators import patterns as P
 from inkwell.plans.registry import query, table
 
@@ -136,3 +137,33 @@ def suppressed_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GD9, AG15 in part: greedy suppression of near-duplicate patterns; tests hold it against a plain loop."""
     rows = _instances(spark, sf_dir).select("lang", F.col("id").cast("string").alias("name"), F.col("n_chars").alias("support"), "terms")
     return P.suppressed(rows, "lang", "name", "support", "terms", 0.5)
+
+
+_LEADERS = f"""{_T}, s AS (SELECT lang, source, id, n, term FROM x),
+e AS (SELECT a.lang, a.id AS l, b.id AS r, count(*) / (min(a.n) + min(b.n) - count(*)) AS j FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.id < b.id GROUP BY 1, 2, 3 HAVING count(*) / (min(a.n) + min(b.n) - count(*)) >= .72),
+near AS (SELECT r AS id, list(l) AS before FROM e GROUP BY 1), todo AS (SELECT id, before, row_number() OVER (ORDER BY id) AS k FROM near),
+walk AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS follow UNION ALL SELECT walk.k + 1, CASE WHEN len(list_filter(todo.before, lambda v: NOT list_contains(walk.follow, v))) > 0 THEN list_append(walk.follow, todo.id) ELSE walk.follow END FROM walk JOIN todo ON todo.k = walk.k + 1),
+f AS (SELECT unnest(follow) AS id FROM (SELECT follow FROM walk ORDER BY k DESC LIMIT 1)),
+best AS (SELECT e.r AS id, min_by(e.l, (-j, e.l)) AS leader, max(j) AS similarity FROM e WHERE e.r IN (SELECT id FROM f) AND e.l NOT IN (SELECT id FROM f) GROUP BY 1),
+p AS (SELECT t.id, t.lang, t.source, md5(d.text) AS content, t.terms[1] AS micro, coalesce(leader, t.id) AS leader, coalesce(similarity, 0.0) AS similarity FROM t JOIN documents d ON d.doc_id = t.id LEFT JOIN best ON best.id = t.id)"""
+
+
+def _led(spark: SparkSession, sf_dir: str) -> DataFrame:
+    content = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.md5("text").alias("content"))
+    rows = _instances(spark, sf_dir).join(content, "id").withColumn("micro", F.get("terms", F.lit(0))).withColumn("macro", F.lit(""))
+    return L.leaders(rows, "id", "lang", "macro", "terms")
+
+
+@query(f"WITH RECURSIVE {_LEADERS} SELECT id, leader, similarity FROM p")
+def template_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GD8: the template of each document, by online clustering in the order of ids within each language."""
+    return _led(spark, sf_dir).select("id", "leader", "similarity")
+
+
+@query(f"""WITH RECURSIVE {_LEADERS}, h AS (SELECT id AS leader, lang AS library, '' AS macro, row_number() OVER (PARTITION BY lang ORDER BY id) AS n FROM p WHERE id = leader),
+r AS (SELECT leader, count(*) AS members, count_if(content IS NULL) + count(DISTINCT content) AS support_count, count(DISTINCT micro) AS micro_patterns FROM p GROUP BY 1),
+x5 AS (SELECT leader, string_agg(id::VARCHAR, ',' ORDER BY id) AS examples FROM (SELECT leader, id FROM p QUALIFY row_number() OVER (PARTITION BY leader ORDER BY id) <= 5) GROUP BY 1)
+SELECT library || '_template_' || lpad(n::VARCHAR, greatest(4, length(n::VARCHAR))::INT, '0') AS template_id, library, macro, leader, members, support_count, micro_patterns, examples FROM h JOIN r USING (leader) JOIN x5 USING (leader)""")
+def template_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PT15: templates with their support, counted once for equal texts, and first examples."""
+    return L.templates(_led(spark, sf_dir), "id", "lang", "macro", "content", "micro")
