@@ -179,3 +179,73 @@ def phase(index: Column, total: Column) -> Column:
     """One of five phases by place: up to 10, 35, 60, 82 and 100 per cent."""
     ratio = (index + 1) / total
     return F.when(ratio <= 0.1, "opening").when(ratio <= 0.35, "rise").when(ratio <= 0.6, "middle").when(ratio <= 0.82, "turn").otherwise("ending")
+
+
+def forced_cuts(scores: Column, most: int = 24) -> Column:
+    """Where a segment that has no boundary of its own is cut, as places in it: a cut follows each.
+
+    ``scores`` has a number for each place of the segment. While more than ``most`` places are left, the next cut is the best of those up to four
+    places around the ``most``-th of them, less 0.03 for each place away from it, the first of equals; no piece is
+    shorter than half of ``most``, and a last place never stands alone.
+    """
+    n = F.size(scores)
+    least = max(5, most // 2) - 1
+
+    def step(state: Column, _: Column) -> Column:
+        start = state["start"]
+        last = n - 2
+        target = F.least(last, start + most - 1)
+        low = F.greatest(start + 2, target - 4, F.least(last, start + least))
+        low, high = F.least(low, target), F.least(last, target + 4)
+        ranked = F.transform(F.sequence(low, F.greatest(low, high)), lambda at: F.struct((0.03 * F.abs(at - target) - F.get(scores, at)).alias("cost"), at.alias("at")))
+        best = F.array_min(F.transform(ranked, lambda x: F.struct(F.round(x["cost"], 6).alias("cost"), x["at"].alias("at"))))["at"]
+        more = F.struct((best + 1).cast("int").alias("start"), F.array_append(state["cuts"], best.cast("int")).alias("cuts"))
+        return F.when(n - start > most, more).otherwise(state)
+
+    begin = F.struct(F.lit(0).cast("int").alias("start"), F.array().cast("array<int>").alias("cuts"))
+    turns = F.sequence(F.lit(0), F.floor(n / (least + 1)).cast("int"))
+    return F.aggregate(turns, begin, step)["cuts"]
+
+
+def refined(rows: DataFrame, segments: DataFrame, key: str, order: str, analyse, assess: DataFrame, most: int = 24, rounds: int = 2, size: int = 32, overlap: int = 12, least: int = 10) -> DataFrame:
+    """Rows with the first order of their segment after long segments are cut again: key, order, first.
+
+    ``segments``: key, order, first, the segments so far. ``analyse`` is a function of windows (key, window, orders) that gives the
+    frames segments, candidates and uncertain of ``boundary_votes``, whose key is the windows'. ``assess``: key, boundary,
+    confidence, split, where a boundary is the order before it.
+
+    A segment of over ``most`` rows is windowed, voted on and cut where ``selected`` says so. If nothing is selected, or after ``rounds``
+    rounds, it is cut by force, where confidence + support + 1.2 hard + 0.5 strong - 0.9 forbid, and 1 for a split, is best. This goes on until
+    no segment is longer than ``most``. Orders are unique in a key, and one key's rows fit a task, as
+    in all windows here. Boundaries without votes or assessment count 0. An empty table gives an empty result.
+    """
+    from inkwell.session import drop_stored, stored
+
+    now, depth = stored(segments.select(key, order, "first").join(rows.select(key, order), [key, order], "left_semi"), "segments"), 0
+    done = now.limit(0)
+    while True:
+        depth += 1
+        counted = now.groupBy(key, "first").agg(F.count("*").alias("n"))
+        done = done.unionByName(now.join(counted.where(F.col("n") <= most).select(key, "first"), [key, "first"], "left_semi"))
+        long = stored(now.join(counted.where(F.col("n") > most).select(key, "first"), [key, "first"], "left_semi"), "long-segments")
+        if long.isEmpty():
+            return done
+        named = long.select(F.struct(key, "first").alias("segment"), F.col(order))
+        windows = sliding_windows(named, "segment", order, size, overlap, least).select("segment", "window", "orders", "last")
+        votes = stored(boundary_votes(*analyse(windows), windows, "segment"), "votes")
+        chosen = votes.where(selected()).select("segment", F.col("boundary").alias(order)) if depth <= rounds else votes.limit(0).select("segment", F.col("boundary").alias(order))
+        score = F.coalesce("confidence", F.lit(0.0)) + F.when(F.col("split"), 1.0).otherwise(0.0) + F.coalesce("support", F.lit(0.0))
+        score = score + 1.2 * F.coalesce("hard", F.lit(0)) + 0.5 * F.coalesce("strong", F.lit(0)) - 0.9 * F.coalesce("forbid", F.lit(0))
+        single = named.join(chosen.select("segment").distinct(), "segment", "left_anti")
+        facts = assess.select(F.col(key).alias("__key"), F.col("boundary").alias("__at"), "confidence", "split")
+        known = single.join(facts, (F.col(f"segment.{key}") == F.col("__key")) & (F.col(order) == F.col("__at")), "left").join(votes.withColumnRenamed("boundary", order), ["segment", order], "left")
+        listed = known.groupBy("segment").agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("order"), score.alias("score")))).alias("s"))
+        cuts = forced_cuts(F.transform("s", lambda x: x["score"]), most)
+        forced = listed.select("segment", F.explode(F.transform(cuts, lambda at: F.get("s", at)["order"])).alias(order))
+        marked = named.join(chosen.union(forced).withColumn("__cut", F.lit(True)), ["segment", order], "left")
+        in_order = Window.partitionBy("segment").orderBy(order)
+        opens = F.when(F.lag("__cut").over(in_order) | F.lag(order).over(in_order).isNull(), F.col(order))
+        first = F.last(opens, ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+        now = stored(marked.select(F.col(f"segment.{key}").alias(key), order, first.alias("first")), "segments")
+        for old in (long, votes):
+            drop_stored(old)

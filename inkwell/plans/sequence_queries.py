@@ -151,3 +151,28 @@ def unit_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = S.ordinals(_books(spark, sf_dir), "book", "doc_id")
     end = F.sum("n_chars").over(Window.partitionBy("book").orderBy("doc_id"))
     return placed.select("doc_id", (end - F.col("n_chars")).alias("char_start"), end.alias("char_end"), (F.col("index") + 1).cast("long").alias("unit"))
+
+
+def _answers(events: DataFrame):
+    """What event types say about windows of a user's events, in place of a model's answers."""
+
+    def analyse(windows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        spread = windows.select("segment", "window", "last", F.explode("orders").alias("event_id"))
+        members = spread.join(events.select("event_id", "event_type", "value"), "event_id")
+        kind, value = F.col("event_type"), F.col("value")
+        ends = members.where(kind == "purchase").select("segment", F.col("event_id").alias("end"), (value < 8).alias("uncertain_after"), (value > 40).alias("next_uncertain_before"), F.when(value < 20, "setup").otherwise("main").alias("level"), F.col("last").alias("last_end"))
+        strength = F.when(value > 60, "hard").when(value > 30, "strong").when(value > 15, "forbid").otherwise("weak")
+        candidates = members.where(kind == "error").select("segment", F.col("event_id").alias("boundary"), strength.alias("strength"), (value > 10).alias("split"))
+        return ends, candidates, members.where((kind == "view") & (value < 3)).select("segment", F.col("event_id").alias("boundary"))
+
+    return analyse
+
+
+@query()
+def refined_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of each user in segments of at most 24, cut again where they are longer; a test holds it against a plain recursion."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    begun = events.groupBy("user_id").agg(F.min("event_id").alias("first"))
+    whole = events.select("user_id", "event_id").join(begun, "user_id")
+    assess = events.select("user_id", F.col("event_id").alias("boundary"), F.least(F.lit(1.0), F.col("value") / 50).alias("confidence"), (F.col("event_type") == "click").alias("split"))
+    return S.refined(events, whole, "user_id", "event_id", _answers(events), assess)
