@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.operators import lines as L
+from inkwell.operators import trimming as T
 from inkwell.plans.registry import query, table
 
 _LINES = r"""l AS (SELECT doc_id AS book, i - 1 AS position, line, trim(regexp_replace(line, '\s+', ' ', 'g')) AS normal FROM
@@ -84,3 +85,86 @@ def cleaning_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with their neighbours."""
     return L.context(_lines(spark, sf_dir)).select("book", "position", F.md5(F.array_join("context", "\n")).alias("context_md5"))
+
+
+_P = T.LATIN_TRIM
+
+
+def _sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _bare(value: str) -> str:
+    return rf"regexp_replace({value}, '^[\s\x{{3000}}]+|[\s\x{{3000}}]+$', '', 'g')"
+
+
+def _prose_of(value: str) -> str:
+    return "least(" + " + ".join(f"CASE WHEN regexp_matches({value}, {_sql(p)}) THEN {n} ELSE 0 END" for p, n in L.LATIN.prose) + f", {L.LATIN.most_prose})"
+
+
+def _safe(value: str) -> str:
+    marked = f"(regexp_matches({value}, '[{_P.marks}]') AND length({value}) >= 16)"
+    return f"(regexp_matches({value}, {_sql(_HEADING)}) OR (len(regexp_extract_all({value}, '{_P.script}')) >= {_P.least} AND ({_prose_of(value)} >= 2 OR {marked})))"
+
+
+def _noisy(value: str) -> str:
+    weak = " OR ".join([f"regexp_matches({value}, {_sql(p)})" for p in L.LATIN.weak] + [f"contains({value}, {_sql(w)})" for w in L.LATIN.weak_words])
+    return f"({_bare(value)} <> '' AND (regexp_matches({value}, {_sql(_P.trace)}) OR {weak}))"
+
+
+def _tries(rules: tuple[tuple[str, str], ...], front: bool) -> str:
+    """The rules of an end, each with what it finds and leaves, in a list."""
+    rows = []
+    for pattern, reason in rules:
+        found = f"regexp_extract(text, {_sql(pattern)})"
+        left = _bare(f"substr(text, length({found}) + 1)" if front else f"substr(text, 1, length(text) - length({found}))")
+        if reason == "solicitation_suffix":
+            mark = f"regexp_extract({found}, {_sql(rf'^\s*([{_P.marks}])')}, 1)"
+            left = f"CASE WHEN {left} <> '' AND NOT regexp_matches({left}, '[{_P.marks}]$') THEN {left} || {mark} ELSE {left} END"
+        rows.append(f"{{'f': {found}, 'l': {left}, 'r': '{reason}'}}")
+    return f"list_filter([{', '.join(rows)}], lambda x: x.f <> '' AND {_safe('x.l')})[1]"
+
+
+_NOISE = {
+    "en": ("'www.' || source || '.com ps: '", "' (please vote for us) to be continued'"),
+    "de": ("'Please vote today! '", "' https://' || source || '.org/a'"),
+    "es": ("''", "', subscribe now for more'"),
+}
+_SET_IN = "CASE lang " + " ".join(f"WHEN '{lang}' THEN {before} || line || {after}" for lang, (before, after) in _NOISE.items()) + " ELSE line END"
+_TRIMMED = f"""{_LINES}, n AS (SELECT l.book, position, lang, normal, {_bare(f"({_SET_IN})")} AS text FROM l JOIN documents d ON d.doc_id = l.book),
+w AS (SELECT book, position, 0 AS phase, text, ''::VARCHAR AS spans, 0 AS k FROM n UNION ALL SELECT book, position, CASE WHEN hit IS NULL THEN phase + 1 ELSE phase END, coalesce(hit.l, text), CASE WHEN hit IS NULL THEN spans ELSE spans || hit.r || '=' || {_bare("hit.f")} || ';' END, k + 1
+FROM (SELECT *, CASE phase WHEN 0 THEN {_tries(_P.prefixes, True)} ELSE {_tries(_P.suffixes, False)} END AS hit FROM w WHERE phase < 2)),
+t AS (SELECT book, position, text AS cleaned, spans FROM w WHERE phase = 2)"""
+
+
+def _with_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of documents with noise at their ends that follows from the language."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("book"), "lang", "source")
+    lines = _lines(spark, sf_dir).join(docs, "book")
+    return lines.select("book", "position", "lang", "normal", F.expr(_SET_IN).alias("line"))
+
+
+@query(f"WITH RECURSIVE {_TRIMMED} SELECT book, position::INT AS position, CASE WHEN spans = '' THEN 'keep' ELSE 'trim' END AS action, md5(cleaned) AS cleaned_md5, spans FROM t")
+def trimmed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PR21: every line with noise set in, trimmed to a fixpoint, with the spans that went."""
+    got = _with_noise(spark, sf_dir).select("book", "position", T.trimmed(F.col("line")).alias("t"))
+    spans = F.array_join(F.transform("t.spans", lambda x: F.concat(x["reason"], F.lit("="), x["text"], F.lit(";"))), "")
+    return got.select("book", "position", F.col("t.action").alias("action"), F.md5("t.cleaned").alias("cleaned_md5"), spans.alias("spans"))
+
+
+_SITE, _NOTE, _NOTICE = (f"regexp_matches(text, {_sql(p)})" for p in (f"(?i){_P.site}", _P.note, _P.notice))
+_EXPLICIT = f"({_SITE} OR {_NOTE} OR {_NOTICE} OR regexp_matches(text, {_sql(L.LATIN.soft_meta)}) OR regexp_matches(text, {_sql(_P.meta)}))"
+
+
+@query(f"""WITH {_LINES}, n AS (SELECT l.book, position, lang, {_bare(f"({_SET_IN})")} AS text, {_bare("line")} AS cleaned FROM l JOIN documents d ON d.doc_id = l.book),
+g AS (SELECT *, {_prose_of("text")} AS prose, {_bare("substr(text, 1, instr(text, cleaned) - 1) || substr(text, instr(text, cleaned) + length(cleaned))")} AS removed FROM n),
+h AS (SELECT book, position, lang, text <> '' AND NOT (regexp_matches(text, {_sql(_HEADING)}) OR regexp_matches(text, {_sql(_P.label)}) OR (regexp_matches(text, {_sql(_P.quote)}) AND NOT {_SITE}) OR (prose >= 2 AND NOT {_EXPLICIT}))
+AND ({_EXPLICIT} OR (prose = 0 AND {_noisy("text")})) AS dropped,
+text <> '' AND cleaned <> '' AND text <> cleaned AND instr(text, cleaned) > 0 AND {_safe("cleaned")} AND removed <> '' AND NOT (length(removed) <= 2 AND regexp_matches(removed, {_sql(_P.closing)})) AND {_noisy("removed")} AS shortened FROM g)
+SELECT lang, CASE WHEN dropped THEN 'drop' ELSE 'keep' END AS if_dropped, CASE WHEN shortened THEN 'trim' ELSE 'keep' END AS if_trimmed, count(*) AS n_lines FROM h GROUP BY 1, 2, 3""")
+def guarded_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FI6: what guards make of a model that would drop every line with noise set in, or trim it to the line without."""
+    rows = _with_noise(spark, sf_dir).join(_lines(spark, sf_dir).select("book", "position", F.col("line").alias("cleaned")), ["book", "position"]).withColumn("line", T.bare(F.col("line")))
+    prose, none = L.prose_score(F.col("line"), L.LATIN), F.lit(0)
+    say = lambda action: T.guarded(F.lit(action), F.col("line"), F.col("cleaned"), prose, none)
+    return rows.groupBy("lang", say("d").alias("if_dropped"), say("t").alias("if_trimmed")).agg(F.count("*").alias("n_lines"))
