@@ -72,11 +72,38 @@ def ordered_by_number(rows: DataFrame, key: str, order: str, number: str, share:
     return marked.withColumn("place", F.row_number().over(whole.orderBy("__by", order))).drop("__by")
 
 
+def balanced_objects(text: Column) -> Column:
+    """FN4: the complete outermost {...} of a text, in order, with braces in strings left alone.
+
+    The text is read in pieces: a brace or quote, a backslash with the sign after it, or what lies between. Strings count inside of
+    objects only. An object that never ends gives nothing, nor does what it holds.
+    """
+    pieces = F.regexp_extract_all(text, F.lit(r"(\\(?s:.)|[\"{}]|[^\\\"{}]+|\\)"))
+    begin = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("quoted"), F.lit(0).alias("at"), F.lit(0).alias("start"), F.array().cast("array<struct<start:int,size:int>>").alias("found"))
+
+    def step(state: Column, piece: Column) -> Column:
+        opens, closes = (piece == "{") & ~state["quoted"], (piece == "}") & ~state["quoted"] & (state["depth"] > 0)
+        after = state["at"] + F.length(piece)
+        whole = F.struct(state["start"].alias("start"), (after - state["start"]).alias("size"))
+        return F.struct(
+            (state["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)).alias("depth"), F.when((piece == '"') & (state["depth"] > 0), ~state["quoted"]).otherwise(state["quoted"]).alias("quoted"),
+            after.alias("at"), F.when(opens & (state["depth"] == 0), state["at"]).otherwise(state["start"]).alias("start"),
+            F.when(closes & (state["depth"] == 1), F.array_append(state["found"], whole)).otherwise(state["found"]).alias("found"),
+        )
+
+    return F.transform(F.aggregate(pieces, begin, step)["found"], lambda x: F.substring(text, x["start"] + 1, x["size"]))
+
+
 def json_object(answer: Column) -> Column:
-    """The JSON object inside a model's answer, without fences and text around it; null if there is none."""
+    """FN4: the first JSON object of a model's answer, without fences and text around it; null if there is none."""
     bare = F.regexp_replace(answer, r"(?s)^\s*```(?:json)?\s*|\s*```\s*$", "")
-    inside = F.regexp_extract(bare, r"(?s)(\{.*\})", 1)
-    return F.when(F.try_parse_json(inside).isNotNull() & (inside != ""), inside)
+    return F.get(F.filter(balanced_objects(bare), lambda x: F.try_parse_json(x).isNotNull()), F.lit(0))
+
+
+def strict_json(answer: Column) -> Column:
+    """FN4: an answer that is one JSON object but for white space around it; null if it has fences or other text."""
+    bare = F.regexp_replace(answer, r"^\s+|\s+$", "")
+    return F.when((F.get(balanced_objects(bare), F.lit(0)) == bare) & F.try_parse_json(bare).isNotNull(), bare)
 
 
 def stale_tokens(rows: DataFrame, key: str, text: str, pattern: str) -> DataFrame:

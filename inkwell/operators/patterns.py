@@ -104,7 +104,7 @@ def graph(rows: DataFrame, book: str, order: str, text_node: Column, kind: str)
     by_order = Window.partitionBy(book).orderBy(order)
     base = rows.select(F.col(book).alias("book"), F.col(order).alias("order"), text_node.alias("raised"), F.lead(order).over(by_order).alias("after"))
     plot = F.concat(F.lit("plot:"), F.col("book").cast("string"), F.lit(":"), F.col("order").cast("string"))
-    other = F.concat(F.lit(f"{kind}:"), F.substring(F.sha1("raised"), 1, 12))
+    other = F.concat(F.lit(f"{kind}:"), F.sha1("raised"))
     nodes = base.select("book", plot.alias("node"), F.lit("plot").alias("type"), "order").union(
         base.where("raised IS NOT NULL").groupBy("book", other.alias("node")).agg(F.min("order").alias("order")).select("book", "node", F.lit(kind).alias("type"), "order")
     )

@@ -73,7 +73,7 @@ def split_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("order").cast("long").alias("ord"), "title", "number", "volume", "volume_number", "lines", F.md5("content").alias("content_md5"))
 
 
-@query("""SELECT doc_id, CASE WHEN m = '' THEN 'unknown' ELSE m END AS component FROM (SELECT doc_id, left(regexp_replace(regexp_replace(regexp_replace(lower(trim(left(text, 120))), '[^0-9a-z一-鿿_-]+', '-', 'g'), '-+', '-', 'g'), '^[-_.]+|[-_.]+$', '', 'g'), 80) AS m FROM documents)""")
+@query("""SELECT page_id, CASE WHEN m = '' THEN 'unknown' ELSE m END AS component FROM (SELECT page_id, left(regexp_replace(regexp_replace(regexp_replace(lower(trim(url)), '[^0-9a-z一-鿿_-]+', '-', 'g'), '-+', '-', 'g'), '^[-_.]+|[-_.]+$', '', 'g'), 80) AS m FROM pages)""")
 def components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PR13: portable names from the beginnings of texts, which is what names are made of."""
-    return table(spark, sf_dir, "documents").select("doc_id", H.component(F.left("text", F.lit(120))).alias("component"))
+    """PR13: portable names from whole addresses."""
+    return table(spark, sf_dir, "pages").select("page_id", H.component(F.col("url")).alias("component"))

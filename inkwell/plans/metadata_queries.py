@@ -59,6 +59,31 @@ def json_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", M.json_object(answer).alias("object"))
 
 
+_ANSWERS = r"""o AS (SELECT doc_id, lang, '{"id": ' || doc_id || ', "more": {"a": ["}", "\\"]}, "body": ' || to_json({'text': coalesce(text, '')}) || '}' AS object FROM documents),
+a AS (SELECT doc_id, CASE lang WHEN 'en' THEN 'Sure: ' || object || ' and "more} of it {"n": 1}' WHEN 'de' THEN chr(10) || '```json' || chr(10) || object || chr(10) || '```' WHEN 'es' THEN object || chr(10) ELSE left(object, length(object) - 1) END AS answer FROM o),
+b AS (SELECT doc_id, answer, regexp_replace(answer, '(?s)^\s*```(?:json)?\s*|\s*```\s*$', '', 'g') AS bare FROM a), t AS (SELECT *, substr(bare, instr(bare, '{')) AS tail FROM b),
+p AS (SELECT doc_id, unnest(x) AS piece, generate_subscripts(x, 1) AS i FROM (SELECT doc_id, regexp_extract_all(tail, '\\(?s:.)|["{}]|[^\\"{}]+|\\') AS x FROM t)),
+q AS (SELECT *, sum((piece = '"')::INT) OVER w % 2 AS quoted, sum(length(piece)) OVER w AS upto FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+d AS (SELECT *, sum(CASE WHEN quoted = 0 THEN (piece = '{')::INT - (piece = '}')::INT ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS depth FROM q),
+e AS (SELECT doc_id, min(upto) AS upto FROM d WHERE depth = 0 GROUP BY 1)"""
+
+
+@query(f"""WITH {_ANSWERS}, f AS (SELECT t.doc_id, CASE WHEN upto IS NOT NULL AND json_valid(left(tail, upto::INT)) THEN left(tail, upto::INT) END AS object,
+CASE WHEN regexp_matches(trim(answer, chr(10)), '(?s)^\\{{.*\\}}$') AND json_valid(answer) THEN trim(answer, chr(10)) END AS strict FROM t LEFT JOIN e USING (doc_id))
+SELECT doc_id, md5(object) AS object_md5, length(object) AS n_chars, strict IS NOT NULL AS strict FROM f""")
+def answer_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FN4: the first balanced object of answers that hold whole documents: wordy with a second object, fenced, strict and cut off ones."""
+    docs = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    body = F.concat(F.lit('{"id": '), F.col("doc_id"), F.lit(', "more": {"a": ["}", "\\\\"]}, "body": '), F.to_json(F.struct("text")), F.lit("}"))
+    made = docs.select("doc_id", "lang", body.alias("object"))
+    answer = (
+        F.when(F.col("lang") == "en", F.concat(F.lit("Sure: "), "object", F.lit(' and "more} of it {"n": 1}'))).when(F.col("lang") == "de", F.concat(F.lit("\n```json\n"), "object", F.lit("\n```")))
+        .when(F.col("lang") == "es", F.concat("object", F.lit("\n"))).otherwise(F.expr("left(object, length(object) - 1)"))
+    )
+    found = made.select("doc_id", answer.alias("answer")).select("doc_id", M.json_object(F.col("answer")).alias("object"), M.strict_json(F.col("answer")).isNotNull().alias("strict"))
+    return found.select("doc_id", F.md5("object").alias("object_md5"), F.length("object").cast("long").alias("n_chars"), "strict")
+
+
 @query(r"""SELECT page_id, len(regexp_extract_all(html, '/[a-z]+/[0-9]+|track\([0-9]+\)')) AS n, regexp_extract(html, '/[a-z]+/[0-9]+|track\([0-9]+\)') AS "first" FROM pages WHERE regexp_matches(html, '/[a-z]+/[0-9]+|track\([0-9]+\)')""")
 def stale_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CT20, PR26: texts that name old identities."""
@@ -72,11 +97,11 @@ def allowed_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(members.alias("m")).select("l_orderkey", M.group_allowed(F.col("m")).alias("allowed"))
 
 
-@query(r"""SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN substr(text, 1, 20) WHEN turn % 3 = 1 THEN role ELSE array_to_string(list_slice(regexp_split_to_array(text, '\. '), 1, 3), '；') END AS synopsis FROM conversations""")
+@query(r"""SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN text WHEN turn % 3 = 1 THEN role ELSE array_to_string(list_slice(regexp_split_to_array(text, '\. '), 1, 3), '；') END AS synopsis FROM conversations""")
 def synopses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PR25 in part: the first text that is there."""
     turn = F.col("turn") % 3
-    made = M.synopsis(F.when(turn == 0, F.substring("text", 1, 20)), F.when(turn == 1, F.col("role")), F.split("text", r"\. "))
+    made = M.synopsis(F.when(turn == 0, F.col("text")), F.when(turn == 1, F.col("role")), F.split("text", r"\. "))
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", made.alias("synopsis"))
 
 

@@ -106,21 +106,21 @@ def promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("source", P.promotion(*[F.col(c) for c in ("books", "instances", "variants", "issues")]).alias("ready"))
 
 
-_GRAPH = """b AS (SELECT conv_id AS book, turn AS o, CASE WHEN role = 'user' THEN substr(text, 1, 12) END AS raised, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS after FROM conversations)"""
+_GRAPH = """b AS (SELECT conv_id AS book, turn AS o, CASE WHEN role = 'user' THEN text END AS raised, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS after FROM conversations)"""
 
 
 @query(f"""WITH {_GRAPH} SELECT book, 'plot:' || book || ':' || o AS source, 'plot:' || book || ':' || after AS target, 'next' AS type FROM b WHERE after IS NOT NULL
-UNION SELECT book, 'plot:' || book || ':' || o, 'question:' || substr(sha1(raised), 1, 12), 'raises' FROM b WHERE raised IS NOT NULL""")
+UNION SELECT book, 'plot:' || book || ':' || o, 'question:' || sha1(raised), 'raises' FROM b WHERE raised IS NOT NULL""")
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GD11, W17: typed edges of ordered rows."""
-    return P.graph(table(spark, sf_dir, "conversations"), "conv_id", "turn", F.when(F.col("role") == "user", F.substring("text", 1, 12)), "question")[1]
+    return P.graph(table(spark, sf_dir, "conversations"), "conv_id", "turn", F.when(F.col("role") == "user", F.col("text")), "question")[1]
 
 
-@query(f"""WITH {_GRAPH}, n AS (SELECT book, 'plot:' || book || ':' || o AS node, 'plot' AS type, o AS "order" FROM b UNION ALL SELECT book, 'question:' || substr(sha1(raised), 1, 12), 'question', min(o) FROM b WHERE raised IS NOT NULL GROUP BY 1, 2)
+@query(f"""WITH {_GRAPH}, n AS (SELECT book, 'plot:' || book || ':' || o AS node, 'plot' AS type, o AS "order" FROM b UNION ALL SELECT book, 'question:' || sha1(raised), 'question', min(o) FROM b WHERE raised IS NOT NULL GROUP BY 1, 2)
 SELECT book, type, count(*) AS nodes, min("order") AS first_order FROM n GROUP BY 1, 2""")
 def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GD11, PT16: nodes by type; the first row that raises one gives its order."""
-    nodes = P.graph(table(spark, sf_dir, "conversations"), "conv_id", "turn", F.when(F.col("role") == "user", F.substring("text", 1, 12)), "question")[0]
+    nodes = P.graph(table(spark, sf_dir, "conversations"), "conv_id", "turn", F.when(F.col("role") == "user", F.col("text")), "question")[0]
     return nodes.groupBy("book", "type").agg(F.count("*").alias("nodes"), F.min("order").alias("first_order"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from inkwell.operators import sequences as S
 from inkwell.plans.registry import query, table
+from inkwell.session import stored
 
 _N = "n AS (SELECT source AS book, doc_id, n_chars, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY source) AS t FROM documents)"
 
@@ -153,26 +154,32 @@ def unit_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", (end - F.col("n_chars")).alias("char_start"), end.alias("char_end"), (F.col("index") + 1).cast("long").alias("unit"))
 
 
-def _answers(events: DataFrame):
-    """What event types say about windows of a user's events, in place of a model's answers."""
+def _answers(lines: DataFrame):
+    """What lines' lengths, commas and first letters say about windows of a text's lines, in place of a model's answers."""
 
     def analyse(windows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-        spread = windows.select("segment", "window", "last", F.explode("orders").alias("event_id"))
-        members = spread.join(events.select("event_id", "event_type", "value"), "event_id")
-        kind, value = F.col("event_type"), F.col("value")
-        ends = members.where(kind == "purchase").select("segment", F.col("event_id").alias("end"), (value < 8).alias("uncertain_after"), (value > 40).alias("next_uncertain_before"), F.when(value < 20, "setup").otherwise("main").alias("level"), F.col("last").alias("last_end"))
-        strength = F.when(value > 60, "hard").when(value > 30, "strong").when(value > 15, "forbid").otherwise("weak")
-        candidates = members.where(kind == "error").select("segment", F.col("event_id").alias("boundary"), strength.alias("strength"), (value > 10).alias("split"))
-        return ends, candidates, members.where((kind == "view") & (value < 3)).select("segment", F.col("event_id").alias("boundary"))
+        spread = windows.select("segment", "window", "last", F.explode("orders").alias("position"))
+        members = spread.join(lines, (F.col("segment.doc_id") == F.col("doc_id")) & (spread["position"] == lines["position"])).drop(lines["position"])
+        size, comma = F.col("size"), F.col("comma")
+        ends = members.where(comma & (size < 120)).select("segment", F.col("position").alias("end"), (size < 60).alias("uncertain_after"), (size > 100).alias("next_uncertain_before"), F.when(F.col("early"), "setup").otherwise("main").alias("level"), F.col("last").alias("last_end"))
+        strength = F.when(size < 13, "hard").when(size < 25, "strong").when(size < 40, "forbid").otherwise("weak")
+        candidates = members.where(size < 100).select("segment", F.col("position").alias("boundary"), strength.alias("strength"), (~comma).alias("split"))
+        return ends, candidates, members.where(size > 600).select("segment", F.col("position").alias("boundary"))
 
     return analyse
 
 
+def _text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of documents that aren't blank: doc_id, position, size, comma, early."""
+    split = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("position", "line"))
+    return split.where("trim(line) <> ''").select("doc_id", "position", F.length("line").alias("size"), F.contains("line", F.lit(",")).alias("comma"), F.col("line").rlike("^[A-M]").alias("early"))
+
+
 @query()
 def refined_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events of each user in segments of at most 24, cut again where they are longer; a test holds it against a plain recursion."""
-    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
-    begun = events.groupBy("user_id").agg(F.min("event_id").alias("first"))
-    whole = events.select("user_id", "event_id").join(begun, "user_id")
-    assess = events.select("user_id", F.col("event_id").alias("boundary"), F.least(F.lit(1.0), F.col("value") / 50).alias("confidence"), (F.col("event_type") == "click").alias("split"))
-    return S.refined(events, whole, "user_id", "event_id", _answers(events), assess)
+    """The lines of each text in segments of at most 24, cut again where they are longer; a test holds it against a plain recursion."""
+    lines = stored(_text_lines(spark, sf_dir), "text-lines")
+    begun = lines.groupBy("doc_id").agg(F.min("position").alias("first"))
+    whole = lines.select("doc_id", "position").join(begun, "doc_id")
+    assess = lines.select("doc_id", F.col("position").alias("boundary"), F.least(F.lit(1.0), F.col("size") / 400).alias("confidence"), F.col("early").alias("split"))
+    return S.refined(lines, whole, "doc_id", "position", _answers(lines), assess)

@@ -11,60 +11,60 @@ def starts_of(n, size=32, overlap=12, least=10):
     return starts if starts[-1] == n - size else [*starts, n - size]
 
 
-def vote(events):
-    """The votes on a segment's boundaries."""
+def vote(lines):
+    """The votes on a segment's boundaries; lines are (position, size, comma, early)."""
     votes = defaultdict(lambda: [0.0, 0, 0, 0])
     chances = defaultdict(int)
-    for start in starts_of(len(events)):
-        window = events[start : start + 32]
-        for event in window[:-1]:
-            chances[event[0]] += 1
-        for event_id, kind, value in window:
-            v = votes[event_id]
-            if kind == "purchase" and event_id < window[-1][0]:
-                v[0] += (0.5 if value < 8 else 0.75) * (0.65 if value < 20 else 1) * (0.5 if value > 40 else 1)
-            if kind == "error":
-                name = "hard" if value > 60 else "strong" if value > 30 else "forbid" if value > 15 else "weak"
-                v[0] += {"hard": 1.5, "strong": 1.0, "weak": 0.5, "forbid": 0.0}[name] if value > 10 else 0
+    for start in starts_of(len(lines)):
+        window = lines[start : start + 32]
+        for line in window[:-1]:
+            chances[line[0]] += 1
+        for position, size, comma, early in window:
+            v = votes[position]
+            if comma and size < 120 and position < window[-1][0]:
+                v[0] += (0.5 if size < 60 else 0.75) * (0.65 if early else 1) * (0.5 if size > 100 else 1)
+            if size < 100:
+                name = "hard" if size < 13 else "strong" if size < 25 else "forbid" if size < 40 else "weak"
+                v[0] += 0 if comma else {"hard": 1.5, "strong": 1.0, "weak": 0.5, "forbid": 0.0}[name]
                 for at, strength in enumerate(("hard", "strong", "forbid"), 1):
                     v[at] += name == strength
-            if kind == "view" and value < 3:
+            if size > 600:
                 v[0] += 0.25
-    return {event: (v[0], v[0] / chances[event], *v[1:]) for event, v in votes.items() if chances[event] and (v[0] or any(v[1:]))}
+    return {place: (v[0], v[0] / chances[place], *v[1:]) for place, v in votes.items() if chances[place] and (v[0] or any(v[1:]))}
 
 
 def chosen(votes, support, hard, strong, forbid):
     return not forbid > max(hard, strong) and ((hard > 0 and forbid == 0) or (votes >= 2 and support >= 0.55) or (support >= 0.8 and votes >= 1))
 
 
-def forced(events, votes, most=24):
-    cuts, start, n = [], 0, len(events)
+def forced(lines, votes, most=24):
+    cuts, start, n = [], 0, len(lines)
     while n - start > most:
         target = min(n - 2, start + most - 1)
         places = [i for i in range(max(start + 2, target - 4), min(n - 2, target + 4) + 1) if i >= min(n - 2, start + max(5, most // 2) - 1)] or [target]
 
         def score(i):
-            event_id, kind, value = events[i]
-            _, support, hard, strong, forbid = votes.get(event_id, (0, 0.0, 0, 0, 0))
-            return round(min(1.0, value / 50) + support + 1.2 * hard + 0.5 * strong - 0.9 * forbid + (kind == "click") - 0.03 * abs(i - target), 6)
+            position, size, _, early = lines[i]
+            _, support, hard, strong, forbid = votes.get(position, (0, 0.0, 0, 0, 0))
+            return round(min(1.0, size / 400) + support + 1.2 * hard + 0.5 * strong - 0.9 * forbid + early - 0.03 * abs(i - target), 6)
 
         best = max(places, key=lambda i: (score(i), -i))
-        cuts.append(events[best][0])
+        cuts.append(lines[best][0])
         start = best + 1
     return cuts
 
 
-def plain(events, depth=1):
+def plain(lines, depth=1):
     """The plain recursion: segments as lists."""
-    if len(events) <= 24:
-        return [events]
-    votes = vote(events)
-    cuts = [event for event, v in votes.items() if chosen(*v) and event != events[-1][0]] if depth <= 2 else []
-    cuts = set(cuts or forced(events, votes))
+    if len(lines) <= 24:
+        return [lines]
+    votes = vote(lines)
+    cuts = [place for place, v in votes.items() if chosen(*v) and place != lines[-1][0]] if depth <= 2 else []
+    cuts = set(cuts or forced(lines, votes))
     parts, now = [], []
-    for event in events:
-        now.append(event)
-        if event[0] in cuts:
+    for line in lines:
+        now.append(line)
+        if line[0] in cuts:
             parts, now = [*parts, now], []
     return [done for part in [*parts, *([now] if now else [])] for done in plain(part, depth + 1)]
 
@@ -73,15 +73,17 @@ def plain(events, depth=1):
 def test_refined_segments_equal_plain_recursion(spark, sf):
     from inkwell.plans import QUERIES
 
-    users = defaultdict(list)
-    for row in spark.read.parquet(f"{sf}/events.parquet").select("user_id", "event_id", "event_type", "value").collect():
-        users[row[0]].append(tuple(row)[1:])
-    want = {(user, event[0]): part[0][0] for user, events in users.items() for part in plain(sorted(events)) for event in part}
+    texts = defaultdict(list)
+    for doc_id, text in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
+        for position, line in enumerate((text or "").split("\n")):
+            if line.strip(" "):
+                texts[doc_id].append((position, len(line), "," in line, line[:1] in tuple("ABCDEFGHIJKLM")))
+    want = {(doc, line[0]): part[0][0] for doc, lines in texts.items() for part in plain(lines) for line in part}
     rows = QUERIES["refined_segments"](spark, sf).collect()
-    assert len(rows) == len(want) and {(r.user_id, r.event_id): r["first"] for r in rows} == want
+    assert len(rows) == len(want) and {(r.doc_id, r.position): r["first"] for r in rows} == want
     sizes = defaultdict(int)
-    for key in want.items():
-        sizes[key[0][0], key[1]] += 1
+    for (doc, _), first in want.items():
+        sizes[doc, first] += 1
     assert max(sizes.values()) <= 24
 
 
@@ -100,7 +102,7 @@ def test_refinement_of_no_rows(spark):
     from inkwell.operators.sequences import refined
     from inkwell.plans.sequence_queries import _answers
 
-    events = spark.createDataFrame([], "user_id long, event_id long, event_type string, value double")
-    assess = spark.createDataFrame([], "user_id long, boundary long, confidence double, split boolean")
-    segments = spark.createDataFrame([], "user_id long, event_id long, first long")
-    assert refined(events, segments, "user_id", "event_id", _answers(events), assess).collect() == []
+    lines = spark.createDataFrame([], "doc_id long, position int, size int, comma boolean, early boolean")
+    assess = spark.createDataFrame([], "doc_id long, boundary int, confidence double, split boolean")
+    segments = spark.createDataFrame([], "doc_id long, position int, first int")
+    assert refined(lines, segments, "doc_id", "position", _answers(lines), assess).collect() == []
