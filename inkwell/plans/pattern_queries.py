@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.operators import leaders as L
+from inkwell.operators import neighbours as N
 from inkwell.operators import patterns as P
 from inkwell.plans.registry import query, table
 
@@ -167,3 +168,25 @@ SELECT library || '_template_' || lpad(n::VARCHAR, greatest(4, length(n::VARCHAR
 def template_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PT15: templates with their support, counted once for equal texts, and first examples."""
     return L.templates(_led(spark, sf_dir), "id", "lang", "macro", "content", "micro")
+
+
+_FAMILY = "CASE WHEN n_chars < 500 THEN 'short' WHEN n_chars < 2000 THEN 'middle' ELSE 'long' END"
+_SETS = "list_distinct(list_filter(regexp_split_to_array(lower({}), '[^a-z]+'), lambda x: length(x) >= {}))"
+
+
+@query(f"""WITH t AS (SELECT doc_id AS id, lang AS library, source AS archetype, {_FAMILY} AS family, {_SETS.format("coalesce(text, '')", 7)} AS mechanism, {_SETS.format("split_part(coalesce(text, ''), chr(10), 1)", 4)} AS name,
+{_SETS.format("split_part(coalesce(text, ''), chr(10), -1)", 5)} AS transition FROM documents),
+p AS (SELECT a.id AS l, b.id AS r, a.library, a.archetype = b.archetype AS same_archetype, a.family = b.family AS same_family, len(list_intersect(a.mechanism, b.mechanism)) / greatest(1, len(list_distinct(list_concat(a.mechanism, b.mechanism)))) AS mechanism,
+len(list_intersect(a.transition, b.transition)) / greatest(1, len(list_distinct(list_concat(a.transition, b.transition)))) AS transition, len(list_intersect(a.name, b.name)) / greatest(1, len(list_distinct(list_concat(a.name, b.name)))) AS name
+FROM t a JOIN t b ON a.library = b.library AND a.id <> b.id AND a.id % 50 = 0),
+s AS (SELECT *, round(least(1.0::DOUBLE, (CASE WHEN same_archetype THEN .45 ELSE 0 END)::DOUBLE + (CASE WHEN same_family THEN .15 ELSE 0 END)::DOUBLE + mechanism * .3::DOUBLE + (CASE WHEN library = 'fr' THEN transition * .2::DOUBLE ELSE 0 END) + name * .1::DOUBLE), 4) AS score FROM p),
+k AS (SELECT *, row_number() OVER (PARTITION BY l ORDER BY score DESC, r) AS rank FROM s)
+SELECT l AS "left", rank, r AS "right", score, CASE WHEN score >= .72 AND same_archetype THEN 'merge_now' WHEN same_family AND mechanism >= .08 THEN 'sibling_relation' WHEN score >= .28 THEN 'needs_review' ELSE 'keep_separate' END AS recommendation,
+score >= .18 AND (same_archetype OR (same_family AND mechanism >= .08)) AS merge_candidate FROM k WHERE rank <= 2""")
+def nearest_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PT8, TK9: the two nearest of the language for each document whose id is divisible by 50, against all. Source is the archetype, length the family."""
+    docs = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    words = lambda text, least: F.array_distinct(F.filter(F.split(F.lower(text), "[^a-z]+"), lambda x: F.length(x) >= least))
+    line = lambda at: F.split_part("text", F.lit("\n"), F.lit(at))
+    rows = docs.select(F.col("doc_id").alias("id"), F.col("lang").alias("library"), F.col("source").alias("archetype"), F.expr(_FAMILY).alias("family"), words(F.col("text"), 7).alias("mechanism"), words(line(1), 4).alias("name"), words(line(-1), 5).alias("transition"))
+    return N.nearest_patterns(rows, "id % 50 = 0", arcs="fr").select("left", "rank", "right", "score", "recommendation", "merge_candidate")
