@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.operators.graph import connected_components
 from inkwell.session import stored
 
 
@@ -78,6 +80,32 @@ def anchor_candidates(sketch: DataFrame, block: int = 64, least_shared: int = 4)
     return across.union(within.select("left", "right", "shared"))
 
 
+def linked_components(sketch: DataFrame, links: Callable[[DataFrame], DataFrame], least_shared: int) -> DataFrame:
+    """What links connect, without comparing all that are alike: node, component (the smallest node), of nodes with a link.
+
+    ``links`` is a function of distinct pairs left < right that returns those that link; a pair that links shares ``least_shared`` anchors at least. Texts are
+    looked for under all but their ``least_shared`` - 1 most frequent anchors. First each text is compared with the
+    smallest id that has the anchor, which joins most copies of a text in as many pairs as there are anchors. Then only
+    pairs from different components are made, by component and anchor, and each is compared: none that could still join two
+    components is left out.
+    """
+    counted = sketch.join(sketch.groupBy("anchor").agg(F.count("*").alias("n")), "anchor").withColumn("size", F.count("*").over(Window.partitionBy("id")))
+    place = F.row_number().over(Window.partitionBy("id").orderBy("n", "anchor"))
+    rare = stored(counted.withColumn("place", place).where(F.col("place") <= F.col("size") - (least_shared - 1)).select("anchor", "id"), "rare-anchors")
+    first = rare.groupBy("anchor").agg(F.min("id").alias("left"))
+    stars = stored(rare.join(first, "anchor").where("left < id").select("left", F.col("id").alias("right")).distinct(), "stars")
+    found = stored(links(stars).select("left", "right"), "star-links")
+    parts = stored(connected_components(found, "left", "right"), "star-components")
+    placed = rare.join(parts.withColumnRenamed("node", "id"), "id", "left").select("anchor", "id", F.coalesce("component", "id").alias("part"))
+    mixed = placed.groupBy("anchor").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("anchor")
+    apart = stored(placed.join(mixed, "anchor", "left_semi"), "apart")
+    meeting = blocked_pairs(apart.select("anchor", F.col("part").alias("id")).distinct(), "anchor")
+    of = lambda side, name: apart.select("anchor", F.col("part").alias(side), F.col("id").alias(name))
+    across = meeting.join(of("left", "a"), ["anchor", "left"]).join(of("right", "b"), ["anchor", "right"])
+    pairs = across.select(F.least("a", "b").alias("left"), F.greatest("a", "b").alias("right")).distinct().join(stars, ["left", "right"], "left_anti")
+    return connected_components(found.union(links(stored(pairs, "across")).select("left", "right")), "left", "right")
+
+
 def key_pairs(rows: DataFrame, key: str, id_col: str, most: int = 64) -> DataFrame:
     """Pairs left < right of rows that share a key: all pairs where up to ``most`` rows have it, else each row with the first.
 
@@ -154,6 +182,8 @@ def relation(t: Thresholds = Thresholds()) -> Column:
     )
 
 
+#: Anchors that automatic relations of different texts share at least.
+LEAST_AUTOMATIC = min(Thresholds.edition[4], Thresholds.incomplete[4], Thresholds.version[3])
 #: Relations that put two texts in one work without review.
 AUTOMATIC = ("byte_exact", "text_exact", "same_edition", "possible_incomplete", "same_work_version")
 

@@ -50,20 +50,24 @@ def _members(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("id"), F.col("source").alias("title"), F.col("lang").alias("author"), "n_chars",
         F.sha2("text", 256).alias("raw"), F.sha2(plain, 256).alias("logical"), F.length(plain).alias("chars"),
     )
-    return facts.join(facts.groupBy("logical").agg(F.min("id").alias("head")), "logical")
+    return facts.join(facts.groupBy("logical").agg(F.min("id").alias("head"), F.count("*").alias("copies")), "logical")
 
 
 def _head_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
     return docs.join(members.where("id = head").select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
 
 
-def _relations(members: DataFrame, sketch: DataFrame, thresholds: P.Thresholds) -> DataFrame:
-    """Evidence and relation of the candidate pairs of heads."""
+def _lists(members: DataFrame, sketch: DataFrame) -> DataFrame:
+    """The anchors of each head, sorted (a) and in the order of the text (o), with what else its relations need."""
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("position", "anchor"))), lambda x: x["anchor"])
     lists = sketch.groupBy("id").agg(F.array_sort(F.collect_list("anchor")).alias("a"), ordered.alias("o"))
-    lists = stored(members.where("id = head").select("id", "title", "author", "chars").join(lists, "id"), "lists")
+    return stored(members.where("id = head").select("id", "title", "author", "chars").join(lists, "id"), "lists")
+
+
+def _judged(pairs: DataFrame, lists: DataFrame, thresholds: P.Thresholds) -> DataFrame:
+    """Evidence and relation of pairs of heads."""
     left, right = (lists.select([F.col(c).alias(f"{side}_{c}" if c != "id" else side) for c in lists.columns]) for side in ("left", "right"))
-    both = P.anchor_candidates(sketch).drop("shared").join(left, "left").join(right, "right").withColumn("c", P.compared(F.col("left_a"), F.col("right_a")))
+    both = pairs.join(left, "left").join(right, "right").withColumn("c", P.compared(F.col("left_a"), F.col("right_a")))
     same = F.coalesce(F.col("left_title") == F.col("right_title"), F.lit(False))
     ratio = F.least("left_chars", "right_chars") / F.greatest("left_chars", "right_chars")
     evidence = both.select(
@@ -73,6 +77,11 @@ def _relations(members: DataFrame, sketch: DataFrame, thresholds: P.Thresholds)
     return evidence.select("left", "right", "shared", "jaccard", "containment", "order", "length_ratio", P.relation(thresholds).alias("relation"))
 
 
+def _relations(members: DataFrame, sketch: DataFrame, thresholds: P.Thresholds) -> DataFrame:
+    """Evidence and relation of the candidate pairs of heads."""
+    return _judged(P.anchor_candidates(sketch).drop("shared"), _lists(members, sketch), thresholds)
+
+
 def _related(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     docs = table(spark, sf_dir, "documents")
     members = stored(_members(docs), "members")
@@ -115,10 +124,14 @@ reach AS (SELECT a AS node, a AS other FROM both_ways UNION SELECT reach.node, b
 SELECT node, min(other) AS component FROM reach GROUP BY 1""")
 def near_dup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GD5, SO3: what automatic relations connect; texts that are equal but for white space link with or without anchors."""
-    members, relations = _related(spark, sf_dir)
-    auto = relations.where(F.col("relation").isin(*P.AUTOMATIC)).select("left", "right")
-    copies = members.select(F.col("head").alias("left"), F.col("id").alias("right"))
-    return connected_components(P.edges_of(auto.union(copies), "left", "right"), "left", "right")
+    docs = table(spark, sf_dir, "documents")
+    members = stored(_members(docs), "members")
+    sketch = stored(P.anchors(_head_texts(docs, members), "doc_id", "text"), "sketch")
+    lists = _lists(members, sketch)
+    automatic = lambda pairs: _judged(pairs, lists, P.Thresholds(least_chars=500)).where(F.col("relation").isin(*P.AUTOMATIC))
+    parts = P.linked_components(sketch, automatic, P.LEAST_AUTOMATIC).withColumnRenamed("node", "head")
+    placed = members.join(parts, "head", "left").where("component IS NOT NULL OR copies > 1")
+    return placed.select(F.col("id").alias("node"), F.coalesce("component", "head").alias("component"))
 
 
 def _catalogue(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -49,3 +49,32 @@ def test_short_copies_are_one_work(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.node: r.component for r in QUERIES["near_dup_components"](spark, str(tmp_path)).collect()}
     assert got == {0: 0, 1: 0, 3: 0, 2: 2, 7: 2}
+
+
+def test_linked_components_equal_brute_force(spark):
+    """Components by leaders first are those of all links, where links aren't transitive."""
+    from inkwell.operators.fingerprint import linked_components
+
+    rng = random.Random(4)
+    pools = [[f"p{p}_{k}" for k in range(14)] for p in range(5)]
+    sets = {i: set(rng.sample(pools[rng.randrange(5)], 9)) | set(rng.sample(pools[rng.randrange(5)], rng.randint(0, 5))) | {f"own{i}"} for i in range(120)}
+    sets |= {500 + i: {"same", "thing", "again", "and", "more", "six", "seven"} for i in range(40)}
+    asked = []
+
+    def links(pairs):
+        asked.append(pairs.count())
+        frame = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "id long, a array<string>")
+        both = pairs.join(frame.selectExpr("id AS left", "a AS x"), "left").join(frame.selectExpr("id AS right", "a AS y"), "right")
+        return both.where("size(array_intersect(x, y)) >= 7").select("left", "right")
+
+    rows = spark.createDataFrame([(i, a) for i, s in sets.items() for a in s], "id long, anchor string")
+    group = {i: {i} for i in sets}
+    for i in sets:
+        for j in sets:
+            if i < j and len(sets[i] & sets[j]) >= 7 and group[i] is not group[j]:
+                group[i] |= group[j]
+                for node in group[j]:
+                    group[node] = group[i]
+    want = {i: min(nodes) for i, nodes in group.items() if len(nodes) > 1}
+    assert {r.node: r.component for r in linked_components(rows, links, 7).collect()} == want
+    assert asked[1] < 160 * 159 // 4
