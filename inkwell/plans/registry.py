@@ -28,14 +28,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("""
-SELECT sha256(text) AS text_hash, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS doc_ids, count(*) AS n_docs
-FROM documents GROUP BY 1 HAVING count(*) > 1""")
+@query("SELECT sha256(text) AS text_hash, doc_id, count(*) OVER (PARTITION BY sha256(text)) AS n_docs FROM documents WHERE text IS NOT NULL QUALIFY n_docs > 1")
 def exact_dup_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AG2: documents that share a content hash."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("text_hash"))
-    return (
-        docs.groupBy("text_hash")
-        .agg(F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda x: x.cast("string")), ",").alias("doc_ids"), F.count("*").alias("n_docs"))
-        .where("n_docs > 1")
-    )
+    """AG2: documents that share a content hash, a row for each; null texts share none."""
+    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", F.sha2("text", 256).alias("text_hash"))
+    repeated = docs.groupBy("text_hash").agg(F.count("*").alias("n_docs")).where("n_docs > 1")
+    return docs.join(repeated, "text_hash").select("text_hash", "doc_id", "n_docs")
