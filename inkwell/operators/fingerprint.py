@@ -63,7 +63,7 @@ def anchor_candidates(sketch: DataFrame, block: int = 64, least_shared: int = 4)
     one of these. What they share is then counted over whole sketches.
     """
     lists = sketch.groupBy("id").agg(F.array_sort(F.collect_list("anchor")).alias("a")).where(F.size("a") >= least_shared)
-    lists = stored(lists.withColumn("same", F.sha2(F.concat_ws(",", "a"), 256)), "sketches")
+    lists = stored(lists.withColumn("same", F.sha2(F.to_json(F.struct("a")), 256)), "sketches")
     member = lists.select("id", "same").join(lists.groupBy("same").agg(F.min("id").alias("head"), F.first(F.size("a")).alias("size")), "same").drop("same")
     heads = lists.join(lists.groupBy("same").agg(F.min("id").alias("id")).select("id"), "id", "left_semi").select("id", "a")
     posted = heads.select("id", F.size("a").alias("size"), F.explode("a").alias("anchor"))

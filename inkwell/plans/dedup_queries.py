@@ -53,6 +53,11 @@ def _members(docs: DataFrame) -> DataFrame:
     return facts.join(facts.groupBy("logical").agg(F.min("id").alias("head"), F.count("*").alias("copies")), "logical")
 
 
+def _head_sketch(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """The sketches of heads, with anchors as bytes, which take half the room of their digits and sort alike."""
+    return P.anchors(_head_texts(docs, members), "doc_id", "text").withColumn("anchor", F.unhex("anchor"))
+
+
 def _head_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
     return docs.join(members.where("id = head").select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
 
@@ -85,7 +90,7 @@ def _relations(members: DataFrame, sketch: DataFrame, thresholds: P.Thresholds)
 def _related(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     docs = table(spark, sf_dir, "documents")
     members = stored(_members(docs), "members")
-    sketch = stored(P.anchors(_head_texts(docs, members), "doc_id", "text"), "sketch")
+    sketch = stored(_head_sketch(docs, members), "sketch")
     return members, _relations(members, sketch, P.Thresholds(least_chars=500))
 
 
@@ -109,7 +114,7 @@ def near_dup_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of different texts that share anchors, at any frequency of an anchor."""
     docs = table(spark, sf_dir, "documents")
     members = stored(_members(docs), "members")
-    return P.anchor_candidates(P.anchors(_head_texts(docs, members), "doc_id", "text"))
+    return P.anchor_candidates(_head_sketch(docs, members))
 
 
 @query(f"WITH RECURSIVE {_RELATED} SELECT * FROM rel")
@@ -126,7 +131,7 @@ def near_dup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GD5, SO3: what automatic relations connect; texts that are equal but for white space link with or without anchors."""
     docs = table(spark, sf_dir, "documents")
     members = stored(_members(docs), "members")
-    sketch = stored(P.anchors(_head_texts(docs, members), "doc_id", "text"), "sketch")
+    sketch = stored(_head_sketch(docs, members), "sketch")
     lists = _lists(members, sketch)
     automatic = lambda pairs: _judged(pairs, lists, P.Thresholds(least_chars=500)).where(F.col("relation").isin(*P.AUTOMATIC))
     parts = P.linked_components(sketch, automatic, P.LEAST_AUTOMATIC).withColumnRenamed("node", "head")
