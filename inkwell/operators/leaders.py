@@ -19,9 +19,10 @@ def near_sets(sets: DataFrame, limit: float) -> DataFrame:
     """Pairs left < right of a group's term sets with a Jaccard of at least ``limit``: left, right, jaccard.
 
     ``sets``: id, group, terms, distinct and not empty. Sets meet on their rarest terms within the group, so many
-    that a pair at the limit shares one of them; frequent terms are dealt out in blocks. What pairs share is then counted whole.
+    that a pair at the limit shares one of them; frequent terms are dealt out in blocks. Terms meet by their hashes, where
+    two with the same one add pairs to look at, and what pairs share is then counted whole.
     """
-    posted = sets.select("id", F.size("terms").alias("size"), F.explode("terms").alias("term"), "group").select("id", "size", F.struct("group", "term").alias("token"))
+    posted = sets.select("id", F.size("terms").alias("size"), F.explode("terms").alias("term"), "group").select("id", "size", F.xxhash64("group", "term").alias("token"))
     counted = posted.join(posted.groupBy("token").agg(F.count("*").alias("n")), "token")
     place = F.row_number().over(Window.partitionBy("id").orderBy("n", "token"))
     rare = counted.withColumn("place", place).where(F.col("place") <= F.col("size") - F.ceil(limit * F.col("size") - 1e-9) + 1).select("token", "id")

@@ -134,7 +134,7 @@ def suppressed(rows: DataFrame, library: str, name: str, support_col: str, terms
     pair at the limit shares one of them. Each round accepts what no undecided stronger one
     is near to and rejects what is near to an accepted one; names are unique in a library.
     """
-    keyed = stored(rows.withColumn("__terms", F.array_sort(F.array_distinct(terms))).withColumn("__id", F.sha2(F.to_json(F.struct(library, "__terms")), 256)), "patterns")
+    keyed = stored(rows.withColumn("__terms", F.array_sort(F.array_distinct(terms))).withColumn("__id", F.unhex(F.sha2(F.to_json(F.struct(library, "__terms")), 256))), "patterns")
     order = F.struct((-F.col(support_col)).alias("strength"), F.col(name).alias("name"))
     sets = stored(keyed.where(F.size("__terms") > 0).groupBy(F.col(library).alias("library"), F.col("__id").alias("id")).agg(F.min(order).alias("order"), F.first("__terms").alias("terms")), "sets")
     a, b = (sets.select(F.col("id").alias(side), F.col("order").alias(f"{side}_order")) for side in ("left", "right"))
