@@ -78,7 +78,6 @@ def leaders(rows: DataFrame, order: str, library: str, macro: str, terms: str, l
     text = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
     known = F.array_sort(F.array_distinct(F.array_compact(F.coalesce(F.col(terms), F.array().cast("array<string>")))))
     keyed = rows.withColumn("__terms", known).withColumn("__set", F.sha2(F.to_json(F.struct(text(library), text(macro), "__terms")), 256))
-    keyed = stored(keyed, "leader-rows")
     sets = keyed.where(F.size("__terms") > 0).groupBy(F.col("__set").alias("set"))
     sets = stored(sets.agg(F.min(order).alias("id"), F.first(text(library)).alias("group"), F.first(text(macro)).alias("macro"), F.first("__terms").alias("terms")), "sets")
     a, b = (sets.select(F.col("id").alias(side), F.col("macro").alias(f"{side}_macro")) for side in ("left", "right"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.operators import leaders as L
@@ -15,10 +15,10 @@ _T = f"t AS (SELECT doc_id AS id, lang, source, n_chars, {_TERMS} AS terms FROM
 _PAIR = f"""WITH {_T}, p AS (SELECT a.lang, a.id AS l, b.id AS r, count(*) / (min(a.n) + min(b.n) - count(*)) AS jaccard FROM x a JOIN x b ON a.lang = b.lang AND a.term = b.term AND a.id % 50 = 0 AND a.id <> b.id GROUP BY 1, 2, 3)"""
 
 
-def _instances(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _instances(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
     """Terms of whole texts."""
     words = F.array_sort(F.array_distinct(F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda x: F.length(x) >= 7)))
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", "source", "n_chars", words.alias("terms"))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", "source", "n_chars", words.alias("terms"), *more)
 
 
 def _searched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,8 +150,7 @@ p AS (SELECT t.id, t.lang, t.source, md5(d.text) AS content, t.terms[1] AS micro
 
 
 def _led(spark: SparkSession, sf_dir: str) -> DataFrame:
-    content = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.md5("text").alias("content"))
-    rows = _instances(spark, sf_dir).join(content, "id").withColumn("micro", F.get("terms", F.lit(0))).withColumn("macro", F.lit(""))
+    rows = _instances(spark, sf_dir, F.md5("text").alias("content")).withColumn("micro", F.get("terms", F.lit(0))).withColumn("macro", F.lit(""))
     return L.leaders(rows, "id", "lang", "macro", "terms")
 
 
