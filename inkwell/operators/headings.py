@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Numerals, units, and the patterns of chapter and volume headings.
-DIGITS = {"零": 0, "〇": 0, "一": 1, "二": 2, "两": 2, "三": 3, "四": 4, "五": 5, "六": 6, "七": 7, "八": 8, "九": 9}
-LETTER_ZEROS = {"O": 0, "o": 0}
+DIGITS = {"零": 0, "〇": 0, "O": 0, "o": 0, "一": 1, "二": 2, "两": 2, "三": 3, "四": 4, "五": 5, "六": 6, "七": 7, "八": 8, "九": 9}
 UNITS = {"十": 10, "百": 100, "千": 1000}
 NUMERAL = "[0-9零〇一二两三四五六七八九十百千万Oo]+"
 VOLUME = rf"^\s*(?:第({NUMERAL})(?:卷|册|部|篇|季|幕)|((?:卷|正文卷|番外卷)[^\n]*))\s*(.*)$"
@@ -23,32 +22,30 @@ def _value(sign: Column, table: dict[str, int]) -> Column:
 
 
 def unit_number(text: Column, bare_wan: bool) -> Column:
-    """Numerals with units added up; ``bare_wan``: a 万 without a digit before it counts one more.
+    """Numerals with units by place value; ``bare_wan``: a 万 without a digit right before it counts one more.
 
-    A digit waits for its unit; other signs are passed over. Units multiply the digit before them, or one.
+    The parts between 万 are read each for itself: every unit times the digit next before it, or one, and the digit at the end. All
+    parts but the last count ten thousands. Other signs are passed over.
     """
-    zero = F.lit(0).cast("long")
-    start = F.struct(zero.alias("total"), zero.alias("section"), zero.alias("digit"))
+    digits, units = "".join(DIGITS), "".join(UNITS)
+    pair = rf"([{digits}]?)[^{digits}{units}]*([{units}])"
+    one = lambda value: F.when(value > 0, value).otherwise(1)
 
-    def step(state: Column, sign: Column) -> Column:
-        digit, unit = _value(sign, DIGITS | LETTER_ZEROS), _value(sign, UNITS)
-        one = F.when(state["digit"] == 0, 1).otherwise(state["digit"])
-        wan = (state["section"] + (one if bare_wan else state["digit"])) * 10_000
-        keep = lambda total, section, held: F.struct(total.cast("long").alias("total"), section.cast("long").alias("section"), held.cast("long").alias("digit"))
-        return (
-            F.when(digit.isNotNull(), keep(state["total"], state["section"], digit))
-            .when(unit.isNotNull(), keep(state["total"], state["section"] + one * unit, F.lit(0)))
-            .when(sign == "万", keep(state["total"] + wan, F.lit(0), F.lit(0)))
-            .otherwise(state)
-        )
+    def read(part: Column, wan: bool) -> Column:
+        times = lambda digit, unit: (one(_value(digit, DIGITS)) * _value(unit, UNITS)).cast("long")
+        products = F.zip_with(F.regexp_extract_all(part, F.lit(pair), F.lit(1)), F.regexp_extract_all(part, F.lit(pair), F.lit(2)), times)
+        last = F.coalesce(_value(F.regexp_extract(part, rf"([{digits}])[^{digits}{units}]*$", 1), DIGITS), F.lit(0))
+        return F.aggregate(products, (one(last) if wan and bare_wan else last).cast("long"), lambda total, x: total + x)
 
-    return F.aggregate(F.filter(F.split(text, ""), lambda x: x != ""), start, step, lambda s: s["total"] + s["section"] + s["digit"])
+    parts = F.split(text, "万")
+    thousands = F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), lambda part: read(part, True))
+    return F.aggregate(thousands, read(F.element_at(parts, -1), False), lambda total, x: total + x * 10_000)
 
 
 def numeral(text: Column) -> Column:
     """PR16, FN23: ASCII digits, numerals read digit by digit, or numerals with units; null if nothing positive is there."""
-    plain = "".join(DIGITS | LETTER_ZEROS)
-    read = F.translate(text, plain, "".join(str(v) for v in (DIGITS | LETTER_ZEROS).values()))
+    plain = "".join(DIGITS)
+    read = F.translate(text, plain, "".join(str(v) for v in DIGITS.values()))
     united = unit_number(text, True)
     return (
         F.when(text.rlike("^[0-9]+$"), text.try_cast("long"))

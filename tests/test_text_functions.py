@@ -42,3 +42,29 @@ def test_similarity_against_sets(spark, left, right):
     want = len(a & b) / len(a | b) if a | b else 0.0
     assert abs(one(spark, T.jaccard(T.char_grams(F.col("l"), 2), T.char_grams(F.col("r"), 2)), l=left, r=right) - want) < 1e-12
     assert one(spark, T.squeezed(F.col("l")), l=left, r=right) == " ".join(left.split())
+
+
+def test_numerals_by_place_value(spark):
+    import random
+
+    from inkwell.operators import headings as H
+    from pyspark.sql import functions as F
+
+    rng = random.Random(1)
+    texts = ["", "十", "一百零五", "二十万三千", "万", "三万万", "x二y十z", *("".join(rng.choices("零〇一二两九十百千万Oox3", k=rng.randint(1, 9))) for _ in range(500))]
+
+    def plain(text, bare):
+        total, parts = 0, text.split("万")
+        for k, part in enumerate(parts):
+            value = held = 0
+            for sign in part:
+                held = H.DIGITS.get(sign, held)
+                if sign in H.UNITS:
+                    value, held = value + (held or 1) * H.UNITS[sign], 0
+            total += value + held if k == len(parts) - 1 else (value + (held or int(bare))) * 10_000
+        return total
+
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    for bare in (True, False):
+        got = [r[1] for r in rows.select("i", H.unit_number(F.col("text"), bare)).orderBy("i").collect()]
+        assert got == [plain(text, bare) for text in texts]
