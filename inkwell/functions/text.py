@@ -55,6 +55,7 @@ def name_key(name: Column, edition: str = r"\s*(?:\(|（|第)?(?:edition|version
 
 def title_key(title: Column) -> Column:
     """A title for comparing across sites: no index, status, boilerplate or book marks."""
+    # The four patterns and their order.
     key = F.regexp_replace(stripped(title), r"^\s*\d+\s*[.、]\s*", "")
     key = F.regexp_replace(key, r"[（(](?:全本|完本|连载中|已完结)[)）]\s*$", "")
     key = F.regexp_replace(key, "最新章节|全文阅读|免费阅读|txt下载|TXT下载", "")

@@ -19,6 +19,7 @@ def book_name(raw: Column) -> Column:
     Book marks make a sure title; a labelled author is sure, one behind a spaced label
     nearly so; a bare separator leaves both open. Names without a title keep their stem.
     """
+    # The patterns of marks, labels and separators.
     stem = F.regexp_replace(F.regexp_extract(raw, r"([^/\\]*)$", 1), r"(?i)\.(?:txt|epub|md)$", "")
     marked = F.regexp_extract(stem, "《\\s*([^《》]{1,240}?)\\s*》", 1)
     label = "(?:作者|著者|作家)\\s*[:：]\\s*(.+?)\\s*$"
