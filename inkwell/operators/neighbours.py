@@ -41,7 +41,7 @@ def merge_candidate() -> Column:
 def _scored(pairs: DataFrame, patterns: DataFrame, arcs: str) -> DataFrame:
     """Pairs left, right with their overlaps and score over whole term sets."""
     a, b = (patterns.select([F.col(c).alias(f"{side}_{c}" if c != "id" else side) for c in patterns.columns]) for side in ("left", "right"))
-    both = pairs.join(a, "left").join(b, "right")
+    both = pairs.join(a, "left").join(b, "right").where("left_library = right_library")
     for name in WEIGHTS:
         common = F.size(F.array_intersect(f"left_{name}", f"right_{name}"))
         both = both.withColumn(name, common / F.greatest(F.lit(1), F.size(f"left_{name}") + F.size(f"right_{name}") - common))
@@ -93,13 +93,15 @@ def nearest_patterns(patterns: DataFrame, queries: str, count: int = 2, arcs: st
     group = F.when(F.col("level") == "family", F.col("family")).when(F.col("level") == "archetype", F.col("archetype")).otherwise(F.lit("*"))
     used = (F.col("group") != "") & ((F.col("term.kind") != "transition") | (F.col("library") == arcs))
     left = probing.select(F.col("id").alias("left"), "library", "family", "archetype", F.explode("levels").alias("level"), _kinds().alias("terms")).withColumn("group", group)
-    left = left.select("left", "library", "level", "group", F.explode("terms").alias("term")).where(used)
+    # Terms meet by a hash of all that they belong to; pairs are compared whole after that.
+    key = F.xxhash64("library", "level", "group", "term.kind", "term.term").alias("key")
+    left = left.select("left", "library", "level", "group", F.explode("terms").alias("term")).where(used).select("left", key)
     left = left.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(BLOCKS - 1).cast("long"))))
-    wanted = stored(left.select("library", "level", "group").distinct(), "probed")  # only postings that are probed are dealt out
+    wanted = stored(probing.withColumn("level", F.explode("levels")).select("library", "level", group.alias("group")).distinct(), "probed")  # only what is probed is dealt out
     right = rows.select(F.col("id").alias("right"), "library", "family", "archetype", F.explode(F.array(*map(F.lit, ("library", "family", "archetype")))).alias("level"), _kinds().alias("terms")).withColumn("group", group)
-    right = right.join(wanted, ["library", "level", "group"], "left_semi").select("right", "library", "level", "group", F.explode("terms").alias("term")).where(used)
+    right = right.join(wanted, ["library", "level", "group"], "left_semi").select("right", "library", "level", "group", F.explode("terms").alias("term")).where(used).select("right", key)
     right = right.withColumn("block", F.pmod(F.xxhash64("right"), F.lit(BLOCKS)))
-    met = left.join(right, ["library", "level", "group", "term", "block"]).where("left <> right").select("left", "right").distinct()
+    met = left.join(right, ["key", "block"]).where("left <> right").select("left", "right").distinct()
     new = met.join(known.select("left", "right"), ["left", "right"], "left_anti")
     best = known.unionByName(_scored(new, rows, arcs)).withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= count)
     return best.select("left", "rank", "right", "library", "score", "same_archetype", "same_family", *WEIGHTS, recommendation().alias("recommendation"), merge_candidate().alias("merge_candidate"))
