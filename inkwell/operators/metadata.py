@@ -58,11 +58,14 @@ def classified_genres(rows: DataFrame, key: str, scores: DataFrame, order: list[
 
 
 def ranked_candidates(rows: DataFrame, item: str, key: str, source: str, confidence: str, agree: tuple[str, str], bonus: float = 0.12) -> DataFrame:
-    """The best key of each item: the most of each source, summed, with a bonus where two sources agree."""
+    """The best key of each item: the most of each source, summed, with a bonus where two sources agree.
+
+    Scores equal to nine places tie, as sums depend on the order of what they add; ties go to the smaller key.
+    """
     best = rows.groupBy(item, key, source).agg(F.max(confidence).alias("c"))
     summed = best.groupBy(item, key).agg(F.sum("c").alias("score"), F.bool_or(F.col(source) == agree[0]).alias("a"), F.bool_or(F.col(source) == agree[1]).alias("b"))
     scored = summed.select(item, key, (F.col("score") + F.when(F.col("a") & F.col("b"), bonus).otherwise(0.0)).alias("score"))
-    return scored.withColumn("rank", F.row_number().over(Window.partitionBy(item).orderBy(F.desc("score"), key))).where("rank = 1").drop("rank")
+    return scored.withColumn("rank", F.row_number().over(Window.partitionBy(item).orderBy(F.desc(F.round("score", 9)), key))).where("rank = 1").drop("rank")
 
 
 def ordered_by_number(rows: DataFrame, key: str, order: str, number: str, share: float = 0.6, least: int = 3) -> DataFrame:
