@@ -22,7 +22,8 @@ def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
         return pd.Series([value.encode(used, "replace") for value, used in zip(text, name, strict=True)])
 
     signs = F.translate(F.lower(F.coalesce("text", F.lit(""))), _LETTERS, _SIGNS)
-    docs = table(spark, sf_dir, "documents").select("doc_id", signs.alias("text"), F.explode(F.array(*map(F.lit, USED))).alias("used"))
+    once = table(spark, sf_dir, "documents").select("doc_id", signs.alias("text"))  # before there are five rows of each
+    docs = once.select("doc_id", "text", F.explode(F.array(*map(F.lit, USED))).alias("used"))
     return docs.select("doc_id", "used", encode("text", "used").alias("content"))
 
 
