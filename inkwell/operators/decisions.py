@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.operators.fingerprint import blocked_pairs
-from inkwell.operators.leaders import followers, near_sets
+from inkwell.operators.leaders import followers
+from inkwell.operators.overlaps import near_across, near_sets
 from inkwell.sources.snapshots import Snapshots
 from inkwell.session import stored
 
@@ -54,10 +55,9 @@ def near_patterns(proposed: DataFrame, patterns: DataFrame, limit: float = NEAR)
     q = patterns.select("pattern_id", "library", plain_name(F.col("name")).alias("key"), "terms", F.struct(layer.alias("layer"), F.col("position").cast("long").alias("position")).alias("place"))
     named = p.where("key <> ''").join(q.drop("terms"), ["library", "key"]).select("candidate_id", "pattern_id", "place", F.lit(2.0).alias("score"))
     q = q.withColumn("key", F.concat(F.lit("p"), F.to_json(F.struct("library", "pattern_id"))))  # libraries may number alike
-    side = lambda frame, name: frame.where(F.size("terms") > 0).select(name.alias("id"), F.col("library").alias("group"), "terms")
-    both = side(p, F.concat(F.lit("c"), "candidate_id")).union(side(q, F.col("key")))
-    met = near_sets(both, limit).where("left LIKE 'c%' AND right LIKE 'p%'")
-    ids = met.select(F.expr("substr(left, 2)").alias("candidate_id"), F.col("right").alias("key"), F.col("jaccard").alias("score"))
+    side = lambda frame, name: frame.select(name.alias("id"), F.col("library").alias("group"), "terms")
+    met = near_across(side(p, F.col("candidate_id")), side(q, F.col("key")), limit)
+    ids = met.select(F.col("left").alias("candidate_id"), F.col("right").alias("key"), F.col("jaccard").alias("score"))
     return named.union(ids.join(q, "key").select("candidate_id", "pattern_id", "place", "score"))
 
 
