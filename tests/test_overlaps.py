@@ -76,3 +76,13 @@ def test_sets_across_meet_each_other_only(spark, small):
     got = small.near_across(frame.where("id < 20"), frame.where("id >= 20"), 0.5).collect()
     want = {(a[0], b[0]): jaccard(a[2], b[2]) for a in rows[:20] for b in rows[20:] if a[1] == b[1]}
     assert {(r.left, r.right): r.jaccard for r in got} == {k: j for k, j in want.items() if j >= 0.5}
+
+
+def test_scores_are_rounded_as_sql_does(spark):
+    """Halves of the fifth place by their decimal digits; fractions of such sizes are common."""
+    import numpy as np
+    from inkwell.operators.neighbours import _rounded
+
+    values = [0.45 + 0.3 * n / m for m in (16, 32, 48, 80, 160) for n in range(m)] + [0.3 * n / m + 0.1 * k / 8 for m in (16, 80) for n in range(m) for k in range(8)]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select(F.round("v", 4)).collect()
+    assert [r[0] for r in got] == _rounded(np.array(values)).tolist()
