@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.operators.catalog import ranks
+
 # How a name ends that is a template's, and how tags are joined in one.
 GENERIC_END, TAG_JOINS = "模板", ("+", "＋")
 
@@ -95,11 +97,16 @@ def promotion(parts: DataFrame, files: DataFrame, key: str, part: str, least: fl
 
 
 def index_order(plan: DataFrame, last: str | None = None) -> DataFrame:
-    """TK3: rank of plan rows in the order of the index, or by file with one action last."""
+    """TK3: rank of plan rows in the order of the index, or by file with one action last. Rows are ranked in ranges, so a run may be of any size."""
     if last is not None:
-        return plan.withColumn("rank", F.row_number().over(Window.partitionBy("run").orderBy((F.col("action") == last).cast("int"), "file_id")))
-    keys = [F.coalesce("category", F.lit("99")), F.coalesce("title_key", F.lit("")), F.coalesce("author_key", F.lit("")), F.coalesce("library_id", F.lit(0)), F.coalesce("version", F.lit(0)), F.col("file_id")]
-    return plan.withColumn("rank", F.row_number().over(Window.partitionBy("run").orderBy(*keys)))
+        keys = [(F.col("action") == last).cast("int"), F.col("file_id")]
+    else:
+        keys = [F.coalesce("category", F.lit("99")), F.coalesce("title_key", F.lit("")), F.coalesce("author_key", F.lit("")), F.coalesce("library_id", F.lit(0)), F.coalesce("version", F.lit(0)), F.col("file_id")]
+    order = F.struct("run", *[key.alias(f"k{i}") for i, key in enumerate(keys)])
+    numbered, _ = ranks(plan.withColumn("__order", order), "__order")
+    first = numbered.groupBy(F.col("run").alias("__run")).agg(F.min("rank").alias("__first"))
+    placed = numbered.join(first, F.col("run").eqNullSafe(F.col("__run")))
+    return placed.select(*plan.columns, (F.col("rank") - F.col("__first") + 1).alias("rank"))
 
 
 def lineage(legacy: DataFrame, mapped: DataFrame, retired: DataFrame, key: str) -> DataFrame:
