@@ -52,10 +52,10 @@ LATIN = NoisePack(
 )
 
 
-def lines_of(docs: DataFrame, book: str, text: str) -> DataFrame:
-    """One row per line that isn't blank: book, position in the text, line, normal."""
-    split = docs.select(F.col(book).alias("book"), F.posexplode(F.split(text, "\n")).alias("position", "line"))
-    return split.withColumn("normal", normal_line(F.col("line"))).where("normal <> ''")
+def lines_of(docs: DataFrame, book: str, text: str, *others: str) -> DataFrame:
+    """One row per line that isn't blank: book, position in the text, line, normal, and other columns of its document."""
+    split = docs.select(F.col(book).alias("book"), *others, F.posexplode(F.split(text, "\n")).alias("position", "line"))
+    return split.where(F.col("line").rlike(r"(?U)\S")).withColumn("normal", normal_line(F.col("line")))
 
 
 def frequency_key(normal: Column) -> Column:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -95,41 +98,52 @@ CHINESE_TRIM = TrimPack(
 
 def bare(text: Column) -> Column:
     """A text without white space at its ends."""
-    return F.regexp_replace(text, r"^[\s\x{3000}]+|[\s\x{3000}]+$", "")
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r\u3000"))
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of a value that is formed once, and only where it is asked for."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def safe_remainder(text: Column, pack: TrimPack) -> Column:
-    """Whether what is left of a line may stand alone."""
-    signs = F.regexp_count(text, F.lit(pack.script)) >= pack.least
-    marked = text.rlike(f"[{pack.marks}]") & (F.length(text) >= 16)
-    return text.rlike(pack.noise.heading) | (signs & ((prose_score(text, pack.noise) >= 2) | marked))
+    """Whether what is left of a line may stand alone. What costs least and holds most often is asked first."""
+    # As many signs as it takes, each followed by whatever is none; the rest of a long line isn't counted.
+    signs = text.rlike(rf"(?:(?:{pack.script})(?:(?!{pack.script})[\s\S])*+){{{pack.least}}}")
+    marked = (F.length(text) >= 16) & text.rlike(f"[{pack.marks}]")
+    return (signs & (marked | (prose_score(text, pack.noise) >= 2))) | text.rlike(pack.noise.heading)
+
+
+#: Turns that are taken before it is asked whether a line is done.
+_TURNS = 8
 
 
 def _turn(state: Column, pack: TrimPack, rules: tuple[tuple[str, str], ...], front: bool) -> Column:
     """The first rule that matches and leaves something safe is applied; without one the next phase begins.
 
-    What rules find and leave are elements of arrays, so that each is formed once.
+    What a rule finds and leaves are elements of arrays, so that each is formed once; later rules aren't tried behind one that fits.
     """
     text = state["text"]
 
-    def left_by(hit: Column) -> Column:
-        found = hit["found"]
+    def left_by(found: Column, reason: str) -> Column:
         if front:
             return bare(F.substring(text, F.length(found) + 1, F.length(text)))
         left = bare(F.substring(text, F.lit(1), F.length(text) - F.length(found)))
+        if reason != "solicitation_suffix":
+            return left
         # A mark before a plea ends what is left.
         mark = F.regexp_extract(found, rf"^\s*([{pack.marks}])", 1)
-        ends = (hit["reason"] == "solicitation_suffix") & (left != "") & ~left.rlike(f"[{pack.marks}]$")
-        return F.when(ends, F.concat(left, mark)).otherwise(left)
-
-    tried = F.array(*[F.struct(F.regexp_extract(text, pattern, 0).alias("found"), F.lit(reason).alias("reason")) for pattern, reason in rules])
-    hits = F.transform(F.filter(tried, lambda x: x["found"] != ""), lambda x: F.struct(left_by(x).alias("left"), F.struct(bare(x["found"]).alias("text"), x["reason"].alias("reason")).alias("span")))
-    # One element, or none where nothing fits.
-    next_states = F.transform(
-        F.slice(F.filter(hits, lambda x: safe_remainder(x["left"], pack)), 1, 1), lambda x: F.struct(x["left"].alias("text"), F.array_append(state["spans"], x["span"]).alias("spans"), state["phase"].alias("phase"))
-    )
+        return F.when((left != "") & ~left.rlike(f"[{pack.marks}]$"), F.concat(left, mark)).otherwise(left)
+
+    def next_state(pattern: str, reason: str) -> Column:
+        """Null where the rule doesn't fit."""
+        found = F.filter(F.array(F.regexp_extract(text, pattern, 0)), lambda x: x != "")
+        hits = F.transform(found, lambda x: F.struct(left_by(x, reason).alias("left"), F.struct(bare(x).alias("text"), F.lit(reason).alias("reason")).alias("span")))
+        safe = F.filter(hits, lambda x: safe_remainder(x["left"], pack))
+        return F.get(F.transform(safe, lambda x: F.struct(x["left"].alias("text"), F.array_append(state["spans"], x["span"]).alias("spans"), state["phase"].alias("phase"))), F.lit(0))
+
     stop = F.struct(text.alias("text"), state["spans"].alias("spans"), (state["phase"] + 1).alias("phase"))
-    return F.coalesce(F.get(next_states, F.lit(0)), stop)
+    return F.coalesce(*[next_state(pattern, reason) for pattern, reason in rules], stop)
 
 
 def trimmed(line: Column, pack: TrimPack = LATIN_TRIM) -> Column:
@@ -139,13 +153,16 @@ def trimmed(line: Column, pack: TrimPack = LATIN_TRIM) -> Column:
     gives null; an empty one is kept.
     """
     text = bare(line)
-    turns = F.sequence(F.lit(0), F.floor(F.length(text) / 3).cast("int") + 2)  # a removed span has three characters at least
+    rounds = F.sequence(F.lit(0), F.floor(F.length(text) / (3 * _TURNS)).cast("int") + 1)  # a removed span has three characters at least
     begin = F.struct(text.alias("text"), F.array().cast("array<struct<text:string,reason:string>>").alias("spans"), F.lit(0).alias("phase"))
 
     def step(state: Column, _: Column) -> Column:
         return F.when(state["phase"] == 0, _turn(state, pack, pack.prefixes, True)).when(state["phase"] == 1, _turn(state, pack, pack.suffixes, False)).otherwise(state)
 
-    done = F.array(F.aggregate(turns, begin, step))
+    def go_on(state: Column, _: Column) -> Column:
+        return F.when(state["phase"] < 2, F.aggregate(F.sequence(F.lit(1), F.lit(_TURNS)), state, step)).otherwise(state)
+
+    done = F.array(F.aggregate(rounds, begin, go_on))
     named = F.transform(done, lambda d: F.struct(F.when(F.size(d["spans"]) > 0, "trim").otherwise("keep").alias("action"), d["text"].alias("cleaned"), d["spans"].alias("spans")))
     return F.when(line.isNotNull(), F.get(named, F.lit(0)))
 
@@ -164,10 +181,10 @@ def safe_trim(line: Column, cleaned: Column, pack: TrimPack = LATIN_TRIM) -> Col
     """FI6: whether a model's shorter line may replace a line: a part of it that may stand alone, and what goes is noise."""
     original, left = bare(line), bare(cleaned)
     at = F.instr(original, left)
-    removed = bare(F.concat(F.substring(original, F.lit(1), at - 1), F.substring(original, at + F.length(left), F.length(original))))
+    rest = bare(F.concat(F.substring(original, F.lit(1), at - 1), F.substring(original, at + F.length(left), F.length(original))))
     ok = (original != "") & (left != "") & (original != left) & (at > 0) & safe_remainder(left, pack)
-    closing = (F.length(removed) <= 2) & removed.rlike(pack.closing)
-    return F.coalesce(ok & (removed != "") & ~closing & looks_like_noise(removed, pack), F.lit(False))
+    noisy = lambda removed: (removed != "") & ~((F.length(removed) <= 2) & removed.rlike(pack.closing)) & looks_like_noise(removed, pack)
+    return F.coalesce(ok & _with(rest, noisy), F.lit(False))
 
 
 def safe_drop(line: Column, prose: Column, frequency: Column, pack: TrimPack = LATIN_TRIM) -> Column:
@@ -176,11 +193,15 @@ def safe_drop(line: Column, prose: Column, frequency: Column, pack: TrimPack = L
     Headings never go, nor does quoted speech without a site in it, nor prose without an explicit sign. Of the rest go
     repeated boilerplate, lines with an explicit sign, and lines that are no prose at all and look like noise.
     """
-    site, note, notice = line.rlike(f"(?i){pack.site}"), line.rlike(pack.note), line.rlike(pack.notice)
-    explicit = site | note | notice | line.rlike(pack.noise.soft_meta) | line.rlike(pack.meta)
-    kept = line.rlike(pack.noise.heading) | line.rlike(pack.label) | (line.rlike(pack.quote) & ~site) | ((prose >= 2) & ~explicit)
-    repeated = (frequency > 0) & line.rlike(pack.noise.boilerplate)
-    return F.coalesce((bare(line) != "") & ~kept & (repeated | explicit | ((prose == 0) & looks_like_noise(line, pack))), F.lit(False))
+    def drop(site: Column, explicit: Column) -> Column:
+        kept = line.rlike(pack.noise.heading) | line.rlike(pack.label) | (line.rlike(pack.quote) & ~site)
+        repeated = (frequency > 0) & line.rlike(pack.noise.boilerplate)
+        implicit = _with(prose, lambda points: ~(points >= 2) & (repeated | ((points == 0) & looks_like_noise(line, pack))))
+        return (bare(line) != "") & ~kept & (explicit | implicit)
+
+    others = [line.rlike(pattern) for pattern in (pack.note, pack.notice, pack.noise.soft_meta, pack.meta)]
+    dropped = _with(line.rlike(f"(?i){pack.site}"), lambda site: _with(reduce(or_, others, site), lambda explicit: drop(site, explicit)))
+    return F.coalesce(dropped, F.lit(False))
 
 
 def guarded(action: Column, line: Column, cleaned: Column, prose: Column, frequency: Column, pack: TrimPack = LATIN_TRIM) -> Column:

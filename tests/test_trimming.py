@@ -63,3 +63,30 @@ def test_model_trims_are_guarded(spark, line, cleaned, kept):
     assert row.select(T.safe_trim(F.col("line"), F.col("cleaned"))).first()[0] is kept
     say = T.guarded(F.lit("t"), F.col("line"), F.col("cleaned"), F.lit(0), F.lit(0))
     assert row.select(say).first()[0] == ("trim" if kept else "keep")
+
+
+@pytest.mark.parametrize("name", ["trimmed_lines", "guarded_lines"])
+def test_lines_are_split_once_and_never_joined(spark, name):
+    from inkwell.plans import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate ") == 1 and "Join" not in plan.split("Generate ")[0]
+
+
+def test_signs_and_ends_equal_plain_counts(spark):
+    """What is counted only as far as it takes, and ends that are cut without a pattern."""
+    import re
+
+    from inkwell.functions.text import normal_line
+    from inkwell.operators import trimming as T
+    from pyspark.sql import functions as F
+
+    texts = ["a" * 16, "a" * 15, "1a-" * 16 + ".", "1a-" * 15 + "." * 90, " \t　\x0b x y 　\r\n", "", "　", "a  b\tc（d）", " a b ", "ä" * 16 + "!", "Chapter 1", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = rows.select("i", T.bare(F.col("t")), normal_line(F.col("t")), T.safe_remainder(F.col("t"), T.LATIN_TRIM)).orderBy("i").collect()
+    for _, bare, normal, safe in got[:-1]:
+        text = texts[_]
+        assert bare == re.sub(r"^[ \t\n\x0b\f\r　]+|[ \t\n\x0b\f\r　]+$", "", text)
+        assert normal == " ".join(text.replace("（", "(").replace("）", ")").split())
+        assert safe == (text == "Chapter 1" or (sum(x.isalpha() for x in text) >= 16 and len(text) >= 16 and any(x in text for x in ",.!?;")))
+    assert list(got[-1])[1:] == [None, None, None]
