@@ -7,6 +7,8 @@ book, position, line (raw) and normal (its normal form).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,7 +18,10 @@ from inkwell.functions.text import normal_line, stripped
 
 @dataclass(frozen=True)
 class NoisePack:
-    """Patterns and words that mark noise or protect prose. All patterns suit Java and RE2."""
+    """Patterns and words that mark noise or protect prose. All patterns suit Java and RE2.
+
+    ``literals`` gives for a pattern literals of which all its matches contain one at least, so that lines without them needn't be searched.
+    """
 
     heading: str
     strong: tuple[str, ...] = ()
@@ -28,6 +33,7 @@ class NoisePack:
     prose: tuple[tuple[str, int], ...] = ()
     script: str = "[A-Za-z]"
     most_prose: int = field(default=6)
+    literals: dict[str, tuple[str, ...]] = field(default_factory=dict, hash=False)
 
 
 # Fixed value: a whole line of letters, digits and address signs.
@@ -49,9 +55,21 @@ LATIN = NoisePack(
     soft_meta=r"(?:please|thanks).{0,16}(?:support|vote|share)",
     boilerplate=r"(?:[Cc]ookies|accept all|reject all|privacy settings)",
     prose=((r"[\"“”]", 2), (_word("he|she|they|er|sie|il|elle"), 2), (_word("thought|felt|saw|heard"), 1), (_word("door|window|street|rain|wind"), 1), (r"^[A-ZÀ-Ý].{40,}[.!?]$", 1)),
+    literals={
+        r"(?:^|[^\p{L}])www\.": ("www.",), r"(?:all rights reserved|click here|subscribe now)": ("all rights reserved", "click here", "subscribe now"),
+        r"(?:\S+\*\*\*|\S+%%%)\s": ("***", "%%%"), r"(?:licensed|released) under": ("licensed under", "released under"), r"\|": ("|",),
+        r"(?:please|thanks).{0,16}(?:support|vote|share)": ("please", "thanks"), r"(?:[Cc]ookies|accept all|reject all|privacy settings)": ("ookies", "accept all", "reject all", "privacy settings"),
+        r"[\"“”]": ('"', "“", "”"), _word("thought|felt|saw|heard"): ("thought", "felt", "saw", "heard"), _word("door|window|street|rain|wind"): ("door", "wind", "street", "rain"),
+    },
 )
 
 
+def has(line: Column, pattern: str, pack: NoisePack) -> Column:
+    """Whether a pattern is found in a line, which is searched only if it holds what all matches hold."""
+    literals = [line.contains(word) for word in pack.literals.get(pattern, ())]
+    return reduce(or_, literals) & line.rlike(pattern) if literals else line.rlike(pattern)
+
+
 def lines_of(docs: DataFrame, book: str, text: str, *others: str) -> DataFrame:
     """One row per line that isn't blank: book, position in the text, line, normal, and other columns of its document."""
     split = docs.select(F.col(book).alias("book"), *others, F.posexplode(F.split(text, "\n")).alias("position", "line"))
@@ -70,6 +88,17 @@ def frequencies(lines: DataFrame, pack: NoisePack) -> DataFrame:
     return keyed.where("key IS NOT NULL").groupBy("book", "key").agg(F.count("*").alias("n"))
 
 
+def with_frequency(lines: DataFrame, pack: NoisePack) -> DataFrame:
+    """Adds frequency: how often a line's key occurs in its book as in ``frequencies``, null where it has none.
+
+    Lines that lie together by book are counted where they are; keys are sorted by their hashes first, as they are as long as lines.
+    """
+    normal = F.col("normal")
+    counted = lines.withColumn("__key", frequency_key(normal)).withColumn("__hash", F.xxhash64("__key")).withColumn("__counts", ~normal.rlike(pack.heading))
+    found = F.count_if(F.col("__counts")).over(Window.partitionBy("book", "__hash", "__key"))
+    return counted.withColumn("frequency", F.when(F.col("book").isNotNull() & F.col("__key").isNotNull() & (found > 0), found)).drop("__key", "__hash", "__counts")
+
+
 def frequency_score(count: Column) -> Column:
     """2 from five occurrences on, 1 from three on."""
     return F.when(count >= 5, 2).when(count >= 3, 1).otherwise(0)
@@ -79,33 +108,39 @@ def position_score(lines: DataFrame, pack: NoisePack) -> DataFrame:
     """Adds position_score: 2 next to an edge of a chapter, 1 within four lines, else 0; null on headings."""
     heading = F.col("normal").rlike(pack.heading)
     in_book = Window.partitionBy("book").orderBy("position")
-    numbered = lines.withColumn("is_heading", heading).withColumn("chapter", F.sum(heading.cast("int")).over(in_book))
-    up, down = (Window.partitionBy("book", "chapter", "is_heading").orderBy(o) for o in (F.asc("position"), F.desc("position")))
-    distance = F.least(F.row_number().over(up), F.row_number().over(down)) - 1
+    numbered = lines.withColumn("is_heading", heading).withColumn("chapter", F.sum(F.col("is_heading").cast("int")).over(in_book))
+    chapter = Window.partitionBy("book", "chapter", "is_heading")
+    up = F.row_number().over(chapter.orderBy("position"))
+    distance = F.least(up - 1, F.count("*").over(chapter) - up)
     score = F.when(distance <= 1, 2).when(distance <= 4, 1).otherwise(0)
     return numbered.withColumn("position_score", F.when(~F.col("is_heading"), score)).drop("is_heading", "chapter")
 
 
-def hits(line: Column, words: tuple[str, ...], patterns: tuple[str, ...]) -> Column:
+def hits(line: Column, words: tuple[str, ...], patterns: tuple[str, ...], pack: NoisePack) -> Column:
     """How many of the words and patterns a line has."""
     total = F.lit(0)
     for word in words:
         total = total + F.contains(line, F.lit(word)).cast("int")
     for pattern in patterns:
-        total = total + line.rlike(pattern).cast("int")
+        total = total + has(line, pattern, pack).cast("int")
     return total
 
 
+def any_hit(line: Column, words: tuple[str, ...], patterns: tuple[str, ...], pack: NoisePack) -> Column:
+    """Whether a line has any of the words and patterns; the first that it has ends the search."""
+    return reduce(or_, [F.contains(line, F.lit(word)) for word in words] + [has(line, pattern, pack) for pattern in patterns], F.lit(False))
+
+
 def noise_tier(line: Column, pack: NoisePack) -> Column:
     """strong for any strong sign, weak for two weak ones, else clean."""
-    return F.when(hits(line, pack.strong_words, pack.strong) > 0, "strong").when(hits(line, pack.weak_words, pack.weak) >= 2, "weak").otherwise("clean")
+    return F.when(any_hit(line, pack.strong_words, pack.strong, pack), "strong").when(hits(line, pack.weak_words, pack.weak, pack) >= 2, "weak").otherwise("clean")
 
 
 def prose_score(line: Column, pack: NoisePack) -> Column:
     """How much a line looks like prose."""
     total = F.lit(0)
     for pattern, points in pack.prose:
-        total = total + F.when(line.rlike(pattern), points).otherwise(0)
+        total = total + F.when(has(line, pattern, pack), points).otherwise(0)
     return F.least(total, F.lit(pack.most_prose))
 
 
@@ -116,7 +151,9 @@ def scored(lines: DataFrame, pack: NoisePack) -> DataFrame:
     once a line, where later filters can't copy them into their own expressions.
     """
     line = F.col("normal")
-    return lines.select("*", prose_score(line, pack).alias("prose"), noise_tier(line, pack).alias("tier"), hits(line, pack.weak_words, pack.weak).alias("signs"))
+    signs = lines.select("*", prose_score(line, pack).alias("prose"), any_hit(line, pack.strong_words, pack.strong, pack).alias("__strong"), hits(line, pack.weak_words, pack.weak, pack).alias("signs"))
+    tier = F.when(F.col("__strong"), "strong").when(F.col("signs") >= 2, "weak").otherwise("clean")
+    return signs.select(*lines.columns, "prose", tier.alias("tier"), "signs")
 
 
 def classify(lines: DataFrame, pack: NoisePack) -> DataFrame:
@@ -136,11 +173,11 @@ def classify(lines: DataFrame, pack: NoisePack) -> DataFrame:
     frequency = frequency_score(F.coalesce("frequency", F.lit(0)))
     place = F.coalesce("position_score", F.lit(0))
     prose, tier = F.col("prose"), F.col("tier")
-    soft = ((F.col("signs") > 0) & (place >= 1) & (prose <= 3)) | (line.rlike(pack.soft_meta) & (prose <= 2))
+    soft = ((F.col("signs") > 0) & (place >= 1) & (prose <= 3)) | (has(line, pack.soft_meta, pack) & (prose <= 2))
     weak = (tier == "weak") | soft
     early = (
         F.when(line.rlike(pack.heading), "keep")
-        .when((frequency > 0) & line.rlike(pack.boilerplate), "strong")
+        .when((frequency > 0) & has(line, pack.boilerplate, pack), "strong")
         .when(length <= 2, "keep")
         .when(line.rlike(r"^[\p{N}\p{P}\p{S}\s]+$"), F.when(prose >= 4, "weak").otherwise("strong"))
         .when((tier == "strong") & (prose >= 2), "weak")

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from inkwell.operators.lines import LATIN, NoisePack, prose_score
+from inkwell.operators.lines import LATIN, NoisePack, has, prose_score
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,19 @@ _URL = r"(?:https?://\S+|www\.\S+)"
 
 #: Rules for Latin scripts.
 LATIN_TRIM = TrimPack(
-    noise=LATIN,
+    noise=replace(
+        LATIN,
+        literals=LATIN.literals
+        | {
+            r"\s*\(?(?:end of chapter|to be continued)\)?\s*$": ("end of chapter", "to be continued"),
+            rf"\s+{_URL}\s*$": ("http", "www."),
+            r"\s*\([^()\n]{0,80}(?:vote|subscribe|share)[^()\n]{0,80}\)\s*$": ("(",),
+            r"[,.:!\s]+(?:[Pp]lease (?:vote|subscribe|share)|[Ss]ubscribe now).{0,40}$": ("lease ", "ubscribe now"),
+            r"(?:join.{0,30}(?:group|channel)|(?:group|channel).{0,20}[0-9]{5,})": ("group", "channel"),
+            r"(?:please|thanks).{0,24}(?:support|vote|share|subscribe)": ("please", "thanks"),
+            r"(?:https?://|www\.|[A-Za-z0-9-]+\.(?:com|net|org)(?:[^\p{L}]|$)|latest chapter|first published)": ("http", "www.", ".com", ".net", ".org", "latest chapter", "first published"),
+        },
+    ),
     script=r"\p{L}",
     least=16,
     marks=",.!?;",
@@ -137,7 +149,9 @@ def _turn(state: Column, pack: TrimPack, rules: tuple[tuple[str, str], ...], fro
 
     def next_state(pattern: str, reason: str) -> Column:
         """Null where the rule doesn't fit."""
-        found = F.filter(F.array(F.regexp_extract(text, pattern, 0)), lambda x: x != "")
+        literals = [text.contains(word) for word in pack.noise.literals.get(pattern, ())]
+        match = F.regexp_extract(text, pattern, 0)
+        found = F.filter(F.array(F.when(reduce(or_, literals), match).otherwise("") if literals else match), lambda x: x != "")
         hits = F.transform(found, lambda x: F.struct(left_by(x, reason).alias("left"), F.struct(bare(x).alias("text"), F.lit(reason).alias("reason")).alias("span")))
         safe = F.filter(hits, lambda x: safe_remainder(x["left"], pack))
         return F.get(F.transform(safe, lambda x: F.struct(x["left"].alias("text"), F.array_append(state["spans"], x["span"]).alias("spans"), state["phase"].alias("phase"))), F.lit(0))
@@ -171,7 +185,7 @@ def looks_like_noise(text: Column, pack: TrimPack) -> Column:
     """Whether a span has a sign of noise."""
     weak = F.lit(False)
     for pattern in pack.noise.weak:
-        weak = weak | text.rlike(pattern)
+        weak = weak | has(text, pattern, pack.noise)
     for word in pack.noise.weak_words:
         weak = weak | F.contains(text, F.lit(word))
     return (bare(text) != "") & (text.rlike(pack.trace) | weak)
@@ -195,12 +209,15 @@ def safe_drop(line: Column, prose: Column, frequency: Column, pack: TrimPack = L
     """
     def drop(site: Column, explicit: Column) -> Column:
         kept = line.rlike(pack.noise.heading) | line.rlike(pack.label) | (line.rlike(pack.quote) & ~site)
-        repeated = (frequency > 0) & line.rlike(pack.noise.boilerplate)
+        repeated = (frequency > 0) & has(line, pack.noise.boilerplate, pack.noise)
         implicit = _with(prose, lambda points: ~(points >= 2) & (repeated | ((points == 0) & looks_like_noise(line, pack))))
         return (bare(line) != "") & ~kept & (explicit | implicit)
 
-    others = [line.rlike(pattern) for pattern in (pack.note, pack.notice, pack.noise.soft_meta, pack.meta)]
-    dropped = _with(line.rlike(f"(?i){pack.site}"), lambda site: _with(reduce(or_, others, site), lambda explicit: drop(site, explicit)))
+    others = [has(line, pattern, pack.noise) for pattern in (pack.note, pack.notice, pack.noise.soft_meta, pack.meta)]
+    # Lower case holds the literals of any case.
+    words = pack.noise.literals.get(pack.site, ())
+    maybe = _with(F.lower(line), lambda lower: reduce(or_, [lower.contains(word) for word in words])) if words else F.lit(True)
+    dropped = _with(maybe & line.rlike(f"(?i){pack.site}"), lambda site: _with(reduce(or_, others, site), lambda explicit: drop(site, explicit)))
     return F.coalesce(dropped, F.lit(False))
 
 
