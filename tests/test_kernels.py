@@ -165,3 +165,20 @@ def test_streams(spark, tmp_path):
     query.awaitTermination()
     got = {(r.user_id, r.event_id) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {(r.user_id, r.m) for r in events.groupBy("user_id").agg(F.max("event_id").alias("m")).collect()}
+
+
+def test_few_texts_are_python_objects_at_a_time(spark):
+    import tracemalloc
+
+    import pyarrow as pa
+    from inkwell.operators.kernels import segment_splitter, summary_segments
+
+    texts = pa.array([f"{i}. " + "Some words here. " * 600 for i in range(1500)] + [None, ""])
+    function = segment_splitter(1000).func
+    tracemalloc.start()
+    parts = function(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 6e6 < texts.nbytes / 2
+    assert parts[1499].as_py() == summary_segments(texts[1499].as_py(), 1000) and parts[1500].as_py() == parts[1501].as_py() == []
+    assert len(function(pa.array([], pa.string()))) == 0
