@@ -78,3 +78,16 @@ def test_linked_components_equal_brute_force(spark):
     want = {i: min(nodes) for i, nodes in group.items() if len(nodes) > 1}
     assert {r.node: r.component for r in linked_components(rows, links, 7).collect()} == want
     assert asked[1] < 160 * 159 // 4
+
+
+def test_members_read_texts_once(spark, tmp_path):
+    """What is known of the texts is written before their heads are looked for; white space of any script doesn't count."""
+    from inkwell.plans.dedup_queries import _members
+
+    texts = ["ab c\n\td", "a b c　d", "abcd", "ab cd ", "äb\u0085cd", "äbcd", "×y z÷", "", None]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(path)
+    members = _members(spark.read.parquet(path))
+    assert {r.id: (r.head, r.chars, r.copies) for r in members.collect()} == {0: (0, 4, 4), 1: (0, 4, 4), 2: (0, 4, 4), 3: (0, 4, 4), 4: (4, 4, 2), 5: (4, 4, 2), 6: (6, 4, 1), 7: (7, 0, 1)}
+    assert not any(str(tmp_path) in file for file in members.inputFiles())
