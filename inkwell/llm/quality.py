@@ -63,12 +63,14 @@ _ANSWERS = "group long, n binary, sums binary, keys binary, lengths binary"
 
 #: The code of a word that is written in full.
 _RARE = np.uint16(65_535)
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 #: Hashes that a worker remembers, by a quicker hash of the word; longer words aren't remembered.
 _SLOTS, _LONG = 21, 64
 _REMEMBERED: list[np.ndarray] = []
+#: Bytes of texts that are hashed together, few enough for a processor's cache.
+_PIECE = 1 << 18
+#: Rows that a shard answers together, and their tokens, about.
+_ROWS, _TOKENS = 64, 1 << 17
 
 
 def released(df: DataFrame, name: str) -> DataFrame:
@@ -89,10 +91,27 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mixed(mixed(a * _GOLDEN) + b)
 
 
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct ones of 64-bit hashes, a place of each, and for each hash which of them it is."""
+    # Places are sorted within the hashes' low bits, which is several times as fast as sorting places by hashes.
+    low = np.uint64((1 << len(x).bit_length()) - 1)
+    order = (np.sort((x & ~low) | np.arange(len(x), dtype=np.uint64)) & low).astype(np.int64)
+    ordered = x[order]
+    if (ordered[1:] < ordered[:-1]).any():  # two hashes differ in their low bits only
+        order = np.argsort(x, kind="stable")
+        ordered = x[order]
+    new = np.ones(len(x), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    inverse = np.empty(len(x), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], inverse
+
+
 def hashes_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """What ``word_hashes`` gives for each text, one after the other, and how many words each has."""
     joined = b" ".join(texts).lower() + b" " * 9
-    solid = ~_SPACE[np.frombuffer(joined, np.uint8)[:-8]]
+    signs = np.frombuffer(joined, np.uint8)[:-8]
+    solid = (signs != 32) & (signs - np.uint8(9) > np.uint8(4))
     edges = np.flatnonzero(solid[1:] != solid[:-1]) + 1
     if solid[0]:
         edges = np.append(0, edges)
@@ -113,8 +132,17 @@ def hashes_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     slot = (quick >> np.uint64(64 - _SLOTS)).astype(np.int64)
     found = values[slot]
     new = np.flatnonzero((names[slot] != quick) & (length <= _LONG))
-    _, first, inverse = np.unique(quick[new], return_index=True, return_inverse=True)
-    blake = lambda at: np.array([int.from_bytes(hashlib.blake2b(joined[low:high], digest_size=8).digest(), "little") for low, high in zip(starts[at].tolist(), ends[at].tolist(), strict=True)], np.uint64)
+    _, first, inverse = _distinct(quick[new])
+    fresh = hashlib.blake2b(digest_size=8).copy  # quicker than a new one
+
+    def blake(at: np.ndarray) -> np.ndarray:
+        out = []
+        for low, high in zip(starts[at].tolist(), ends[at].tolist(), strict=True):
+            word = fresh()
+            word.update(joined[low:high])
+            out.append(word.digest())
+        return np.frombuffer(b"".join(out), "<u8")
+
     found[new] = blake(new[first])[inverse]
     names[slot[new]], values[slot[new]] = quick[new], found[new]
     at = np.flatnonzero(length > _LONG)
@@ -149,12 +177,13 @@ class Codes:
             self._homes[shards] = _shard(self.words, shards).astype(np.uint16 if shards <= 1 << 16 else np.int32)
         return self._homes[shards]
 
-    def read(self, two: bytes, before: bytes, word: bytes, rare: bytes) -> list[np.ndarray]:
-        """The words that ``Dealt.blobs`` wrote."""
-        codes = np.frombuffer(two + before + word, "<u2")
+    def read(self, rows: list[tuple]) -> list[np.ndarray]:
+        """The words that ``Dealt.blobs`` wrote, of all rows."""
+        codes = np.frombuffer(b"".join(part for row in rows for part in row[:3]), "<u2")
         words = self.words[codes]
-        words[codes == _RARE] = _unpacked(rare)
-        return np.split(words, 3)
+        words[codes == _RARE] = _unpacked(b"".join(row[3] for row in rows))
+        part = np.repeat(np.tile(np.arange(3, dtype=np.uint8), len(rows)), np.repeat([len(row[0]) // 2 for row in rows], 3))
+        return [words[part == k] for k in range(3)]
 
 
 class Dealt:
@@ -175,10 +204,18 @@ class Dealt:
         """Each shard with trigrams at the places ``here``, its places, and the words written."""
         here = here[np.argsort(self.code_before[here], kind="stable")]
         here = here[np.argsort(self.shard[here], kind="stable")]
+        codes, rare, upto = [], [], []
+        for code, words in ((self.code_two, self.two), (self.code_before, self.before), (self.code, self.word)):
+            written = code[here]
+            full = written == _RARE
+            codes.append(written.astype("<u2").tobytes())
+            rare.append(_packed(words[here[full]]).tobytes())
+            upto.append(np.append(0, 6 * np.cumsum(full)))
+        low = 0
         for s, at in _cuts(self.shard, here):
-            codes = [c[at] for c in (self.code_two, self.code_before, self.code)]
-            rare = [w[at[c == _RARE]] for w, c in zip((self.two, self.before, self.word), codes, strict=True)]
-            yield s, at, (*(c.astype("<u2").tobytes() for c in codes), _packed(np.concatenate(rare)).tobytes())
+            high = low + len(at)
+            yield s, at, (*(c[2 * low : 2 * high] for c in codes), b"".join(r[u[low] : u[high]] for r, u in zip(rare, upto, strict=True)))
+            low = high
 
 
 def _shifted(x: np.ndarray, starts: np.ndarray, first: int) -> np.ndarray:
@@ -256,9 +293,9 @@ def count_trigrams(texts: DataFrame, shards: int, codes: Codes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, hashes, many in _groups(batches):
             dealt = Dealt(hashes, many, sent.value, shards)
-            _, first, n = np.unique(_pair(_pair(dealt.two, dealt.before), dealt.word), return_index=True, return_counts=True)
+            _, first, which = _distinct(_pair(_pair(dealt.two, dealt.before), dealt.word))
             counts = np.zeros(len(hashes), "<u4")
-            counts[first] = n
+            counts[first] = np.bincount(which)
             yield _batch([(s, 0, 0, *blobs, counts[at].tobytes()) for s, at, blobs in dealt.blobs(first)])
         give_back()
 
@@ -267,10 +304,10 @@ def count_trigrams(texts: DataFrame, shards: int, codes: Codes) -> DataFrame:
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Keys, hashes and numbers of words of texts, about TOGETHER tokens of six bytes a group; groups without words are left out."""
-    keys, texts, total = [], [], 0
+    keys, texts, found, size, total = [], [], [], 0, 0
 
     def group() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        hashes, many = hashes_of(texts)
+        hashes, many = (np.concatenate(x) for x in zip(*found, strict=True))
         if len(hashes):
             yield np.array(keys, "<i8"), hashes, many
 
@@ -278,29 +315,48 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
         for text, key in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
             keys.append(key)
             texts.append(text.as_py() or b"")
-            total += len(texts[-1])
-            if total >= 6 * TOGETHER or len(texts) >= 1 << 16:
+            size += len(texts[-1])
+            full = total + size >= 6 * TOGETHER or len(keys) >= 1 << 16
+            if full or size >= _PIECE:
+                found.append(hashes_of(texts))
+                texts, size, total = [], 0, total + size
+            if full:
                 yield from group()
-                keys, texts, total = [], [], 0
+                keys, found, total = [], [], 0
     if texts:
+        found.append(hashes_of(texts))
+    if found:
         yield from group()
 
 
+def _bunches(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Rows that are answered together; the last column of each has two bytes a token."""
+    bunch, total = [], 0
+    for row in rows:
+        bunch.append(row)
+        total += len(row[-1]) // 2
+        if len(bunch) >= _ROWS or total >= _TOKENS:
+            yield bunch
+            bunch, total = [], 0
+    if bunch:
+        yield bunch
+
+
 class Trigrams:
     """The distinct trigrams of a shard, with the pairs and contexts that they make. All trigrams of a middle word are in one shard."""
 
     def __init__(self, rows: list[tuple], codes: Codes):
-        two, before, words = (np.concatenate(x) for x in zip(*[codes.read(*r[:4]) for r in rows], strict=True))
+        two, before, words = codes.read(rows)
         n = np.frombuffer(b"".join(r[4] for r in rows), "<u4")
-        self.context = _pair(two, before)
-        self.key, first, inverse = np.unique(_pair(self.context, words), return_index=True, return_inverse=True)
+        context = _pair(two, before)
+        self.key, first, inverse = _distinct(_pair(context, words))
         self.n = np.bincount(inverse, n, len(self.key)).astype(np.int64)
         before, words = before[first], words[first]
-        self.contexts, self.of_context = np.unique(self.context[first], return_inverse=True)
-        self.pair, first, self.of_pair = np.unique(_pair(before, words), return_index=True, return_inverse=True)
+        self.contexts, _, self.of_context = _distinct(context[first])
+        self.pair, first, self.of_pair = _distinct(_pair(before, words))
         self.pair_n = np.bincount(self.of_pair, minlength=len(self.pair))
         self.pair_word = words[first]
-        self.before, self.of_before = np.unique(before[first], return_inverse=True)
+        self.before, _, self.of_before = _distinct(before[first])
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         """Words and the number of pairs here that they end."""
@@ -314,11 +370,29 @@ def _shares(n: np.ndarray, group: np.ndarray, by_count: tuple[float, float, floa
     return (n - off) / total[group], np.bincount(group, off) / total
 
 
-def _find(known: np.ndarray, keys: np.ndarray, values: np.ndarray, absent: float = 0.0) -> np.ndarray:
-    if not len(known):
-        return np.full(len(keys), absent)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, values[at], absent)
+class Known:
+    """Sorted distinct hashes of ``bits`` bits and a value of each.
+
+    A hash's leading bits give its place but for a step or two, where a binary search takes one for each doubling of the hashes.
+    """
+
+    def __init__(self, hashes: np.ndarray, values: np.ndarray, bits: int = 64):
+        lead = len(hashes).bit_length() + 1
+        self.shift = np.uint64(bits - lead)
+        self.first = np.append(0, np.cumsum(np.bincount((hashes >> self.shift).astype(np.int64), minlength=1 << lead))).astype(np.int32)
+        # The last one stands for all that are beyond the others.
+        self.hashes, self.values = np.append(hashes, ~np.uint64(0)), np.append(values, 0.0)
+
+    def find(self, keys: np.ndarray, absent: float = 0.0) -> np.ndarray:
+        """The value of each key, or ``absent``."""
+        at = self.first[(keys >> self.shift).astype(np.int64)]
+        there = self.hashes[at]
+        behind = np.flatnonzero(there < keys)
+        while len(behind):
+            at[behind] += 1
+            there[behind] = self.hashes[at[behind]]
+            behind = behind[there[behind] < keys[behind]]
+        return np.where((there == keys) & (at < len(self.hashes) - 1), self.values[at], absent)
 
 
 def trusted_ids(labels: DataFrame, held: bool) -> DataFrame:
@@ -338,8 +412,8 @@ class Model:
 
     def __init__(self, trigrams: DataFrame, words: DataFrame, shards: int, off: list[tuple[float, float, float]], pairs: int, unknown: float, frequent: tuple[np.ndarray, np.ndarray], codes: Codes):
         self.trigrams, self.words, self.shards, self.off, self.pairs, self.unknown = trigrams, words, shards, off, pairs, unknown
-        known, logs = frequent
-        self.sent = words.sparkSession.sparkContext.broadcast((codes, known, logs, _find(known, codes.words, logs, 1.0)))
+        known = Known(*frequent, bits=48)
+        self.sent = words.sparkSession.sparkContext.broadcast((codes, known, known.find(codes.words & _WORD, 1.0)))
 
     def log_probabilities(self, hashes: np.ndarray) -> np.ndarray:
         """log10 of each word's probability after the two before it, for a text."""
@@ -380,7 +454,7 @@ class Model:
         shards, off, pairs, unknown, sent = self.shards, self.off, self.pairs, self.unknown, self.sent
 
         def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            codes, known, logs, code_logs = sent.value
+            codes, known, code_logs = sent.value
             if hashed:
                 read = [(b.column(1).to_numpy(), [np.frombuffer(t, "<u8") for t in b.column(0).to_pylist()]) for b in batches]
                 groups = ((k.astype("<i8"), np.concatenate(h), np.array([len(x) for x in h])) for k, h in read if h)
@@ -397,7 +471,7 @@ class Model:
                 here = np.flatnonzero(dealt.home % TURNS == turn)
                 own = code_logs[dealt.code[here]]
                 rare = np.flatnonzero(dealt.code[here] == _RARE)
-                own[rare] = _find(known, dealt.word[here[rare]], logs, 1.0)
+                own[rare] = known.find(dealt.word[here[rare]], 1.0)
                 sums = np.bincount(of[here], np.where(own < 1.0, own, 0.0), len(keys))
                 lengths = many if turn == 0 else np.zeros(len(keys))
                 any_shard = turn + TURNS * (group % (shards // TURNS))
@@ -418,7 +492,7 @@ class Model:
             sort = np.argsort(word)
             c1 = own_words.column("c").to_numpy()[sort]
             word, p1 = word[sort], (c1 - _off(c1, off[0])) / max(pairs, 1) + unknown
-            log1 = np.log10(p1)
+            log1, p1 = Known(word, np.log10(p1), bits=48), Known(word, p1, bits=48)
             train = [row[1:] for row in taken(0)]
             known = len(train) > 0
             if known:
@@ -426,23 +500,34 @@ class Model:
                 del train
                 share2, left2 = _shares(t.pair_n, t.of_before, off[1])
                 share3, left3 = _shares(t.n, t.of_context, off[2])
-                lower = left2[t.of_before] * _find(word, t.pair_word, p1, unknown)
+                lower = left2[t.of_before] * p1.find(t.pair_word, unknown)
                 gain2 = np.log10(1 + share2 / lower)
                 gain3 = np.log10(1 + share3 / (left3[t.of_context] * (share2 + lower)[t.of_pair]))
-                left2, left3 = np.log10(left2), np.log10(left3)
+                left2, left3 = Known(t.before, np.log10(left2), bits=48), Known(t.contexts, np.log10(left3))
+                gain2, gain3 = Known(t.pair, gain2), Known(t.key, gain3)
+                del t, share2, share3, lower
             rows = [(group, np.arange(len(keys) // 8, dtype="<u2").tobytes(), own, keys, lengths) for group, own, lengths, _, _, keys in taken(2)]
 
-            def add(group: int, of: bytes, logs: np.ndarray) -> None:
-                of, inverse = np.unique(np.frombuffer(of, "<u2"), return_inverse=True)
-                rows.append((group, of.tobytes(), np.bincount(inverse, logs).tobytes(), None, None))
+            def add(bunch: list[tuple], logs: np.ndarray) -> None:
+                of, n = np.frombuffer(b"".join(row[-1] for row in bunch), "<u2"), np.array([len(row[-1]) // 2 for row in bunch])
+                # Each row has places of its own for the texts of its group.
+                most = np.maximum.reduceat(of, np.cumsum(n) - n).astype(np.int64) + 1
+                base = np.cumsum(most) - most
+                at = np.repeat(base, n) + of
+                asking = np.flatnonzero(np.bincount(at))
+                cuts = np.append(np.searchsorted(asking, base), len(asking))
+                of = (asking - np.repeat(base, np.diff(cuts))).astype("<u2")
+                sums = np.bincount(at, logs)[asking]
+                for row, low, high in zip(bunch, cuts, cuts[1:]):
+                    rows.append((row[0], of[low:high].tobytes(), sums[low:high].tobytes(), None, None))
 
             # Without trigrams in this shard the words before leave all to the order below.
-            for group, *written, of in taken(1) if known else ():
-                two, before, words = codes.read(*written)
+            for bunch in _bunches(taken(1)) if known else ():
+                two, before, words = codes.read([row[1:5] for row in bunch])
                 pair, context = _pair(before, words), _pair(two, before)
-                add(group, of, _find(t.before, before, left2) + _find(t.contexts, context, left3) + _find(t.pair, pair, gain2) + _find(t.key, _pair(context, words), gain3))
-            for group, _, _, _, rare, of in taken(3):
-                add(group, of, _find(word, _unpacked(rare), log1, math.log10(unknown)))
+                add(bunch, left2.find(before) + left3.find(context) + gain2.find(pair) + gain3.find(_pair(context, words)))
+            for bunch in _bunches(taken(3)):
+                add(bunch, log1.find(_unpacked(b"".join(row[4] for row in bunch)), math.log10(unknown)))
             kinds = [pa.int64(), *[pa.binary()] * 4]
             out = pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["group", "n", "sums", "keys", "lengths"])
             give_back()

@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import product
@@ -264,6 +265,64 @@ def test_hashes_of_many_texts():
     assert hashes_of([b""])[1].tolist() == [0]
 
 
+def test_known_hashes_are_found_in_few_steps():
+    """Values of keys that are there, not there, beyond all others or crowded; and faster than a binary search of all."""
+    from inkwell.llm.quality import Known
+
+    choose = np.random.default_rng(8)
+    for bits in (48, 64):
+        top = (1 << bits) - 1
+        spread = choose.integers(0, top, 5_000, np.uint64)
+        crowded = np.uint64(top // 3) + np.arange(300, dtype=np.uint64)
+        for hashes in (spread[:0], spread[:1], np.unique(spread), np.unique(np.concatenate([spread[:40], crowded])), np.array([0, 1, top - 1, top], np.uint64)):
+            values = choose.random(len(hashes))
+            keys = np.concatenate([hashes, spread, hashes + np.uint64(1) if len(hashes) < 4 else crowded, np.array([0, top], np.uint64)]) & np.uint64(top)
+            want = dict(zip(hashes.tolist(), values.tolist(), strict=True))
+            assert Known(hashes, values, bits).find(keys, 9.0).tolist() == [want.get(k, 9.0) for k in keys.tolist()]
+
+    hashes = np.unique(choose.integers(0, (1 << 64) - 1, 1 << 18, np.uint64))
+    keys = choose.permutation(np.append(hashes, choose.integers(0, (1 << 64) - 1, 1 << 18, np.uint64)))
+    known = Known(hashes, np.arange(len(hashes)))
+
+    def seconds(work):
+        began = time.process_time()
+        work()
+        return time.process_time() - began
+
+    assert min(seconds(lambda: known.find(keys)) for _ in range(5)) < min(seconds(lambda: np.searchsorted(hashes, keys)) for _ in range(5))
+
+
+def test_distinct_hashes():
+    from inkwell.llm.quality import _distinct
+
+    choose = np.random.default_rng(9)
+    few = choose.integers(0, (1 << 64) - 1, 50, np.uint64)
+    for x in (few[:0], few[:1], few, choose.choice(few, 3_000), choose.choice(np.append(few, few ^ np.uint64(1)), 3_000), choose.integers(0, 40, 3_000, np.uint64)):
+        found, first, inverse = _distinct(x)
+        assert (found == np.unique(x)).all() and (x[first] == found).all() and (found[inverse] == x).all()
+
+
+def test_trigrams_are_read_as_they_were_dealt():
+    """Rows of several shards together, with words that have codes and words that don't."""
+    from inkwell.llm.quality import _bunches, Codes, Dealt
+
+    choose = np.random.default_rng(10)
+    words = choose.integers(0, 1 << 48, 400, np.uint64)
+    many = choose.integers(0, 30, 200)
+    codes = Codes(words[:150])
+    dealt = Dealt(choose.choice(words, many.sum()), many, codes, 7)
+    rows = [(at, blobs) for _, at, blobs in dealt.blobs(np.arange(many.sum()))]
+    assert len(rows) == 7
+    places = np.concatenate([at for at, _ in rows])
+    assert sorted(places.tolist()) == list(range(many.sum()))
+    for have, want in zip(codes.read([blobs for _, blobs in rows]), (dealt.two, dealt.before, dealt.word), strict=True):
+        assert (have == want[places]).all()
+    rows = [(k, b"xx" * choose.integers(1, 40_000)) for k in range(500)] + [(500 + k, b"xx") for k in range(500)]
+    bunches = list(_bunches(iter(rows)))
+    assert sum(bunches, []) == rows and max(map(len, bunches)) <= 64
+    assert all(sum(len(row[-1]) // 2 for row in bunch[:-1]) < 1 << 17 for bunch in bunches)
+
+
 def test_hmm(docs, no_docs, monkeypatch):
     from inkwell.llm import hmm
 
